@@ -9,6 +9,7 @@ from blotterline.operators import (
     arrest_share,
     auc,
     classifiers,
+    clean_records,
     confusion,
     day_name,
     dedup_first,
@@ -56,6 +57,7 @@ __all__ = [
     "best_model",
     "build_session",
     "classifiers",
+    "clean_records",
     "confusion",
     "dashboard_report",
     "day_name",

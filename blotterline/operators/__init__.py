@@ -19,7 +19,13 @@ from blotterline.operators.frequency import (
     weekend_counts,
 )
 from blotterline.operators.importance import importances
-from blotterline.operators.layers import parse_payload, to_bronze, to_gold, to_silver
+from blotterline.operators.layers import (
+    clean_records,
+    parse_payload,
+    to_bronze,
+    to_gold,
+    to_silver,
+)
 from blotterline.operators.ranking import auc, roc_points
 from blotterline.operators.split import split_by_hash, split_random
 
@@ -28,6 +34,7 @@ __all__ = [
     "arrest_share",
     "auc",
     "classifiers",
+    "clean_records",
     "collapse_copies",
     "confusion",
     "day_name",

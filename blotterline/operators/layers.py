@@ -39,8 +39,14 @@ def is_complete() -> Column:
     return reduce(and_, [F.col(name).isNotNull() for name in REQUIRED_FIELDS])
 
 
+def clean_records(parsed: DataFrame) -> DataFrame:
+    """Complete records with typed flags. Narrow: repeated records stay."""
+    flags = {name: flag(F.col(name)) for name in FLAG_FIELDS}
+    return parsed.filter(is_complete()).withColumns(flags)
+
+
 def to_silver(parsed: DataFrame, delay: str | None = None) -> DataFrame:
-    """Complete records with typed flags, one per ``ID``.
+    """:func:`clean_records`, one per ``ID``.
 
     On a stream, the first arrival of an ``ID`` wins over the whole life of the
     checkpoint, and the state keeps every ``ID`` ever seen. ``delay`` (such as
@@ -51,8 +57,7 @@ def to_silver(parsed: DataFrame, delay: str | None = None) -> DataFrame:
 
     On a batch, the smallest copy in column order wins, so that reruns agree.
     """
-    flags = {name: flag(F.col(name)) for name in FLAG_FIELDS}
-    complete = parsed.filter(is_complete()).withColumns(flags)
+    complete = clean_records(parsed)
     if not complete.isStreaming:
         return dedup_first(complete, ["ID"], [c for c in complete.columns if c != "ID"])
 
