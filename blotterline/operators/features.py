@@ -27,17 +27,17 @@ def derive_features(gold: DataFrame) -> DataFrame:
     located = gold.filter(
         ~is_blank(F.col("Latitude")) & ~is_blank(F.col("Longitude")) & ~is_blank(F.col("Date"))
     )
-    read = located.withColumns(
-        {
-            "ts": event_time(F.col("Date")),
-            "Latitude": to_number(F.col("Latitude")),
-            "Longitude": to_number(F.col("Longitude")),
-            "label": F.col("Arrest").cast("int"),
-        }
+    # One generated struct holds what is read from text: the filter below then tests the
+    # values read. Written as plain columns, it would be pushed down and read them again.
+    read = F.struct(
+        event_time(F.col("Date")).alias("ts"),
+        to_number(F.col("Latitude")).alias("Latitude"),
+        to_number(F.col("Longitude")).alias("Longitude"),
     )
-    usable = read.filter(
+    kept = [name for name in gold.columns if name not in ("Latitude", "Longitude")]
+    usable = located.select(*kept, F.inline(F.array(read))).filter(
         F.col("ts").isNotNull()
-        & F.col("label").isNotNull()
+        & F.col("Arrest").isNotNull()
         & F.col("Latitude").isNotNull()
         & ~F.isnan("Latitude")
         & F.col("Longitude").isNotNull()
@@ -54,7 +54,7 @@ def derive_features(gold: DataFrame) -> DataFrame:
         hour_of_day(F.col("ts")).alias("Hour"),
         day_number(F.col("ts")).alias("DayOfWeek"),
         weekend_flag(day_number(F.col("ts"))).alias("IsWeekend"),
-        "label",
+        F.col("Arrest").cast("int").alias("label"),
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blotterline.functions import day_number, event_time, hour_of_day, weekend_text
-from blotterline.operators.frequency import top_k, value_counts
+from blotterline.operators.frequency import top_k
 
 
 def dashboard_report(gold: DataFrame, k: int = 10) -> DataFrame:
@@ -35,12 +35,15 @@ def dashboard_report(gold: DataFrame, k: int = 10) -> DataFrame:
 
     total = F.coalesce(F.sum("count"), F.lit(0)).alias("count")
     all_rows = calendar.agg(total).withColumn("item", F.lit("all"))
-    hours = calendar.filter(F.col("Hour").isNotNull()).groupBy("Hour").agg(total)
+    # A filter on the hour would be pushed below the shared aggregate and split it in two.
+    dated = F.sum(F.when(F.col("Hour").isNotNull(), F.col("count"))).alias("count")
+    hours = calendar.groupBy("Hour").agg(dated).filter(F.col("count").isNotNull())
     periods = calendar.groupBy("period").agg(total)
+    arrests = gold.filter(F.col("Arrest").isNotNull()).groupBy("Arrest").count()
     parts = [
         section("rows", "item", all_rows),
         section("hour", "Hour", hours),
-        section("arrest", "Arrest", value_counts(gold, "Arrest")),
+        section("arrest", "Arrest", arrests),
         section("type", "Primary_Type", top_k(gold, "Primary_Type", k)),
         section("period", "period", periods),
         section("location", "Location_Description", top_k(gold, "Location_Description", k)),

@@ -54,10 +54,11 @@ def train_all(
         )
         return row, PipelineModel([*prep.stages, fitted])
 
+    in_thread = inheritable_thread_target(train.sparkSession)
     try:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
             started = {
-                name: pool.submit(inheritable_thread_target(run), name, estimator)
+                name: pool.submit(in_thread(run), name, estimator)
                 for name, estimator in chosen.items()
             }
             finished = {name: future.result() for name, future in started.items()}
