@@ -33,7 +33,13 @@ from blotterline.operators import (
     weekend_label,
     weighted_f1,
 )
-from blotterline.plans import backfill, best_model, dashboard_report, train_all
+from blotterline.plans import (
+    backfill,
+    best_model,
+    dashboard_report,
+    train_all,
+    train_and_record,
+)
 from blotterline.session import build_session, materialize
 from blotterline.sinks import append_runs, publish, save_model
 from blotterline.sources import (
@@ -88,6 +94,7 @@ __all__ = [
     "to_silver",
     "top_k",
     "train_all",
+    "train_and_record",
     "value_counts",
     "weekend_counts",
     "weekend_label",

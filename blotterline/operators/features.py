@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blotterline.functions import (
@@ -18,6 +18,16 @@ from blotterline.functions import (
 )
 
 
+def _with_read(df: DataFrame, kept: list[str], **read: Column) -> DataFrame:
+    """Columns ``kept`` and columns read from text, each text read once.
+
+    The generated struct keeps later filters on the values above the reading. As plain
+    columns, they would be pushed below it and read the text again.
+    """
+    values = F.struct(*[column.alias(name) for name, column in read.items()])
+    return df.select(*kept, F.inline(F.array(values)))
+
+
 def derive_features(gold: DataFrame) -> DataFrame:
     """Gold plus ``ts, Hour, DayOfWeek, IsWeekend, label``; coordinates as double.
 
@@ -27,15 +37,14 @@ def derive_features(gold: DataFrame) -> DataFrame:
     located = gold.filter(
         ~is_blank(F.col("Latitude")) & ~is_blank(F.col("Longitude")) & ~is_blank(F.col("Date"))
     )
-    # One generated struct holds what is read from text: the filter below then tests the
-    # values read. Written as plain columns, it would be pushed down and read them again.
-    read = F.struct(
-        event_time(F.col("Date")).alias("ts"),
-        to_number(F.col("Latitude")).alias("Latitude"),
-        to_number(F.col("Longitude")).alias("Longitude"),
+    read = _with_read(
+        located,
+        [name for name in gold.columns if name not in ("Latitude", "Longitude")],
+        ts=event_time(F.col("Date")),
+        Latitude=to_number(F.col("Latitude")),
+        Longitude=to_number(F.col("Longitude")),
     )
-    kept = [name for name in gold.columns if name not in ("Latitude", "Longitude")]
-    usable = located.select(*kept, F.inline(F.array(read))).filter(
+    usable = read.filter(
         F.col("ts").isNotNull()
         & F.col("Arrest").isNotNull()
         & F.col("Latitude").isNotNull()
@@ -70,9 +79,12 @@ def weekend_label(
     """
     if bad_date not in ("weekday", "drop"):
         raise ValueError("bad_date must be 'weekday' or 'drop'")
-    ts = event_time(F.col("Date"))
-    kept = df.filter(ts.isNotNull()) if bad_date == "drop" else df
-    return kept.withColumn("period", weekend_text(day_number(ts), *labels))
+    if bad_date == "weekday":
+        day = day_number(event_time(F.col("Date")))
+        return df.withColumn("period", weekend_text(day, *labels))
+    dated = _with_read(df, df.columns, __ts=event_time(F.col("Date")))
+    period = weekend_text(day_number(F.col("__ts")), *labels)
+    return dated.filter(F.col("__ts").isNotNull()).select(*df.columns, period.alias("period"))
 
 
 def day_name(df: DataFrame) -> DataFrame:

@@ -18,17 +18,20 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"))
 
 
+def frequencies(df: DataFrame, column: str) -> DataFrame:
+    """Rows per value, nulls skipped, in no order.
+
+    Null is counted as 0 and goes after counting. A filter on the column itself would be
+    pushed to the scan and, for a computed column, compute it a second time.
+    """
+    counts = df.groupBy(column).agg(F.count(column).alias("count"))
+    return counts.filter(F.col("count") > 0)
+
+
 def hourly_counts(df: DataFrame) -> DataFrame:
     """Rows per hour of the day, ascending. Unreadable dates and empty hours are absent."""
-    # The null hour goes after counting: a filter on the hour itself would be pushed down
-    # to the scan and parse every date a second time.
     hours = df.select(hour_of_day(event_time(F.col("Date"))).alias("Hour"))
-    counted = hours.groupBy("Hour").agg(F.count("Hour").alias("count"))
-    return counted.filter(F.col("count") > 0).orderBy("Hour")
-
-
-def _frequencies(df: DataFrame, column: str) -> DataFrame:
-    return df.filter(F.col(column).isNotNull()).groupBy(column).count()
+    return frequencies(hours, "Hour").orderBy("Hour")
 
 
 def value_counts(df: DataFrame, column: str, share: bool = False) -> DataFrame:
@@ -37,7 +40,7 @@ def value_counts(df: DataFrame, column: str, share: bool = False) -> DataFrame:
     ``share`` adds each value's part of all counted rows. The total is a scalar subquery
     over the same partial counts, so that no task sees the whole table of values.
     """
-    counts = _frequencies(df, column)
+    counts = frequencies(df, column)
     if share:
         total = counts.agg(F.sum("count")).scalar()
         counts = counts.withColumn("share", F.col("count") / total)
@@ -50,7 +53,7 @@ def top_k(df: DataFrame, column: str, k: int = 10, share: bool = False) -> DataF
     ``share`` is each value's part of the rows shown, as in a chart of just these.
     """
     order = [F.desc("count"), F.asc(column)]
-    top = _frequencies(df, column).orderBy(*order).limit(k)
+    top = frequencies(df, column).orderBy(*order).limit(k)
     if not share:
         return top
     # The window sees the k rows of the limit only.

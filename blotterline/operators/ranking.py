@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from blotterline.operators.evaluation import rows_of, score_of
+from blotterline.session import materialize
 
 ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 4096
@@ -54,6 +55,9 @@ def _curve(predictions: DataFrame, score: str, weight: str | None, rows_per_rang
         )
         .withColumn("steps", F.lit(1).cast("bigint"))
     )
+    if weight is None:
+        # Single predictions may be costly to make; all passes below read the counts.
+        by_score = materialize(by_score, "by-score")
     totals = by_score.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _COUNTS]).head()
     ranges = min(math.ceil(totals["steps"] / rows_per_range), MAX_RANGES)
     if ranges <= 1:
@@ -116,8 +120,9 @@ def auc(
 ) -> DataFrame:
     """One row, ``auc``: the exact area under ROC, null when a class is absent.
 
-    ``score`` is ``'probability'``, ``'raw'`` or the name of a score column. The frame is
-    read more than once; hand in a materialised :func:`score_tally` when it is expensive.
+    ``score`` is ``'probability'``, ``'raw'`` or the name of a score column. Predictions
+    are counted by score into the shared work folder and so made once. With ``weight`` the
+    frame is taken for a stored :func:`score_tally` and read as often as needed.
     """
     curve = _curve(predictions, score, weight, rows_per_range)
     # Twice the number of (positive, negative) pairs in right order, ties as half, in

@@ -2,6 +2,6 @@
 
 from blotterline.plans.backfill import backfill
 from blotterline.plans.dashboard import dashboard_report
-from blotterline.plans.training import best_model, train_all
+from blotterline.plans.training import best_model, train_all, train_and_record
 
-__all__ = ["backfill", "best_model", "dashboard_report", "train_all"]
+__all__ = ["backfill", "best_model", "dashboard_report", "train_all", "train_and_record"]

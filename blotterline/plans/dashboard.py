@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blotterline.functions import day_number, event_time, hour_of_day, weekend_text
-from blotterline.operators.frequency import top_k
+from blotterline.operators.frequency import frequencies, top_k
 
 
 def dashboard_report(gold: DataFrame, k: int = 10) -> DataFrame:
@@ -39,11 +39,10 @@ def dashboard_report(gold: DataFrame, k: int = 10) -> DataFrame:
     dated = F.sum(F.when(F.col("Hour").isNotNull(), F.col("count"))).alias("count")
     hours = calendar.groupBy("Hour").agg(dated).filter(F.col("count").isNotNull())
     periods = calendar.groupBy("period").agg(total)
-    arrests = gold.filter(F.col("Arrest").isNotNull()).groupBy("Arrest").count()
     parts = [
         section("rows", "item", all_rows),
         section("hour", "Hour", hours),
-        section("arrest", "Arrest", arrests),
+        section("arrest", "Arrest", frequencies(gold, "Arrest")),
         section("type", "Primary_Type", top_k(gold, "Primary_Type", k)),
         section("period", "period", periods),
         section("location", "Location_Description", top_k(gold, "Location_Description", k)),

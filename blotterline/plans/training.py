@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel
@@ -12,10 +13,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blotterline.operators.encoding import classifiers, prep_pipeline
-from blotterline.operators.evaluation import accuracy, score_tally, weighted_f1
-from blotterline.operators.ranking import auc
+from blotterline.operators.evaluation import accuracy, confusion, score_tally, weighted_f1
+from blotterline.operators.features import derive_features
+from blotterline.operators.importance import importances
+from blotterline.operators.ranking import auc, roc_points
+from blotterline.operators.split import split_by_hash
 from blotterline.schema import RUN_SCHEMA
 from blotterline.session import materialize
+from blotterline.sinks.tables import append_runs, save_model
+
+# Ensembles whose feature importances are reported.
+ENSEMBLES = ["RandomForest", "GBTClassifier"]
 
 
 def train_all(
@@ -79,3 +87,36 @@ def _prepared(prep: PipelineModel, part: DataFrame) -> DataFrame:
 def best_model(runs: DataFrame, by: str = "auc") -> DataFrame:
     """The run with the highest ``by``; runs without a value come last."""
     return runs.orderBy(F.desc_nulls_last(by), "classifier", "run_ts").limit(1)
+
+
+def train_and_record(
+    gold: DataFrame,
+    base: str,
+    fmt: str = "parquet",
+    parallelism: int = 1,
+    max_roc_points: int | None = 1000,
+) -> DataFrame:
+    """The whole training job over gold; gives back the run rows.
+
+    Below ``base``: ``runs`` gains the run rows; ``models/<classifier>`` and the tables
+    ``importances`` (of the ensembles), ``confusion`` and ``roc`` (of the model with the
+    best AUC) are replaced.
+    """
+    train, test = split_by_hash(derive_features(gold))
+    runs, models = train_all(train, test, parallelism=parallelism)
+    append_runs(runs, f"{base}/runs", fmt)
+    for name, model in models.items():
+        save_model(model, f"{base}/models/{name}")
+
+    best = best_model(runs).head()["classifier"]
+    tally = materialize(score_tally(models[best].transform(test)), f"scores-{best}")
+    tables = {
+        "importances": [(name, importances(models[name])) for name in ENSEMBLES],
+        "confusion": [(best, confusion(tally, "rows"))],
+        "roc": [(best, roc_points(tally, max_roc_points, "score", "rows"))],
+    }
+    for table, parts in tables.items():
+        named = [part.select(F.lit(name).alias("classifier"), "*") for name, part in parts]
+        rows = reduce(DataFrame.unionByName, named)
+        rows.write.format(fmt).mode("overwrite").save(f"{base}/{table}")
+    return runs

@@ -123,3 +123,38 @@ def test_reading_again_is_the_refresh(spark, tmp_path, records):
     assert bl.read_layer(spark, path).count() == 1
     records(incident("2")).write.mode("append").parquet(path)
     assert bl.read_layer(spark, path).count() == 2
+
+
+class Recorder:
+    """Stands in for a session without the Kafka package; keeps the source's options."""
+
+    def __init__(self):
+        self.options = {}
+        self.readStream = self
+
+    def format(self, name):
+        self.options["format"] = name
+        return self
+
+    def option(self, key, value):
+        self.options[key] = value
+        return self
+
+    def load(self):
+        return self.options
+
+
+def test_kafka_options():
+    assert bl.kafka_source(Recorder(), "host:9092", "incidents") == {
+        "format": "kafka",
+        "kafka.bootstrap.servers": "host:9092",
+        "subscribe": "incidents",
+        "startingOffsets": "latest",
+        "failOnDataLoss": "false",
+    }
+    backfill = bl.kafka_source(
+        Recorder(), "h", "t", "earliest", True, max_offsets_per_trigger=9, min_partitions=7
+    )
+    assert backfill["startingOffsets"] == "earliest"
+    assert backfill["failOnDataLoss"] == "true"
+    assert (backfill["maxOffsetsPerTrigger"], backfill["minPartitions"]) == (9, 7)
