@@ -83,9 +83,11 @@ def _running_sums(df: DataFrame, order: Window) -> DataFrame:
 
 def _running_sums_by_range(by_score: DataFrame, ranges: int) -> DataFrame:
     cuts = _range_cuts(by_score, ranges)
-    ranged = Bucketizer(
+    # NaN, which sorts above all scores, gets a range of its own above the others.
+    bucketizer = Bucketizer(
         splits=cuts, inputCol="score", outputCol="range", handleInvalid="keep"
-    ).transform(by_score)
+    )
+    ranged = bucketizer.transform(by_score).withColumn("range", F.col("range").cast("int"))
 
     # One row per range, at most MAX_RANGES + 1: fit for one window and for a broadcast.
     above = Window.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)

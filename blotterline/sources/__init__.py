@@ -2,10 +2,11 @@
 
 from blotterline.sources.incident_csv import read_incident_csv
 from blotterline.sources.layers import LayerNotReady, read_layer
-from blotterline.sources.messages import file_source, kafka_source, read_messages
+from blotterline.sources.messages import as_envelope, file_source, kafka_source, read_messages
 
 __all__ = [
     "LayerNotReady",
+    "as_envelope",
     "file_source",
     "kafka_source",
     "read_incident_csv",

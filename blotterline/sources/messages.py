@@ -54,15 +54,17 @@ def file_source(
     stream = spark.readStream.format("text")
     if max_files_per_trigger is not None:
         stream = stream.option("maxFilesPerTrigger", max_files_per_trigger)
-    return _as_envelope(stream.load(path))
+    return as_envelope(stream.load(path))
 
 
 def read_messages(spark: SparkSession, path: str) -> DataFrame:
     """All messages of a folder of JSON-lines files as a batch."""
-    return _as_envelope(spark.read.text(path))
+    return as_envelope(spark.read.text(path))
 
 
-def _as_envelope(lines: DataFrame) -> DataFrame:
+def as_envelope(lines: DataFrame) -> DataFrame:
+    """Message texts (``value``) with the other envelope columns as typed nulls."""
+
     def column(name: str) -> Column:
         return F.col(name) if name == "value" else F.lit(None)
 

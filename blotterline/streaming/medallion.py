@@ -63,6 +63,8 @@ def start_medallion(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # Named after the query as well: batches of a new checkpoint are new batches.
         query_id = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
+        if query_id is None:
+            raise RuntimeError("micro-batch without query id")
         name = f"{query_id}_{batch_id}"
         silver = replace_batch(batch, f"{base}/silver", fmt, name)
         gold = replace_batch(to_gold(silver), f"{base}/gold", fmt, name)
@@ -76,12 +78,13 @@ def start_medallion(
         F.count(F.lit(1)).alias("records"),
         F.count_if(~is_complete()).alias("incomplete"),
     )
-    with conf_defaults(source.sparkSession, STATE_CONF):
-        refined = (
-            _writer(to_silver(parsed, delay), f"{checkpoint}/refined", trigger)
-            .foreachBatch(write_batch)
-            .start()
-        )
+    writer = _writer(to_silver(parsed, delay), f"{checkpoint}/refined", trigger)
+    try:
+        with conf_defaults(source.sparkSession, STATE_CONF):
+            refined = writer.foreachBatch(write_batch).start()
+    except Exception:
+        bronze.stop()
+        raise
     return [bronze, refined]
 
 

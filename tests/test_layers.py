@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 import blotterline as bl
 from blotterline.operators import collapse_copies
 from blotterline.schema import BRONZE_SCHEMA, FIELDS, GOLD_SCHEMA, SILVER_SCHEMA
+from blotterline.sources import as_envelope
 from tests.conftest import incident, plan_of
-from verification.feed import as_envelope
 
 
 @pytest.fixture(scope="module")

@@ -9,8 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotterline.schema import DATE_FORMAT, ENVELOPE_SCHEMA, FIELDS
-from blotterline.sinks.messages import to_messages
+from blotterline.schema import DATE_FORMAT, FIELDS
 
 
 def _hit(divisor: int) -> Column:
@@ -66,16 +65,3 @@ def message_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.to_json(record, {"ignoreNullFields": "false"})
     copies = F.array_repeat(text, (F.col("user_id") % 3 + 1).cast("int"))
     return events.select(F.explode(F.array_append(copies, F.col("props"))).alias("value"))
-
-
-def as_envelope(messages: DataFrame) -> DataFrame:
-    """Message text in the shape of the message sources."""
-    return messages.select(
-        *[
-            (F.col("value") if f.name == "value" else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in ENVELOPE_SCHEMA.fields
-        ]
-    )
-
-
-__all__ = ["as_envelope", "incident_feed", "message_feed", "to_messages"]

@@ -13,7 +13,8 @@ import blotterline as bl
 from blotterline.functions import percent_bucket
 from blotterline.schema import FIELD_TO_HEADER, GOLD_SCHEMA, SILVER_SCHEMA
 from blotterline.session import work_folder
-from verification.feed import as_envelope, incident_feed, message_feed
+from blotterline.sources import as_envelope
+from verification.feed import incident_feed, message_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
