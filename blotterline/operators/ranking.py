@@ -1,10 +1,9 @@
 """Exact area under ROC and ROC points.
 
 Both need running sums over all scores in order. Rows are counted per score first, which
-takes care of scores that very many rows share. The distinct scores are then cut into value
-ranges of about equal size; each range is summed on its own and starts from the total of
-the ranges above it. No task holds more than one range, and the result is exact whatever
-the cuts are.
+takes care of scores that very many rows share. The distinct scores are then partitioned
+by range; each range is summed on its own and starts from the totals of the ranges above
+it. No task holds more than one partition, and the result is exact whatever the ranges.
 """
 
 from __future__ import annotations
@@ -12,17 +11,13 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from blotterline.operators.evaluation import rows_of, score_of
 from blotterline.session import materialize
 
-ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 4096
-
-_COUNTS = ["positives", "negatives", "steps"]
+_COUNTS = ["positives", "negatives", "scores"]
 
 
 @dataclass
@@ -34,99 +29,88 @@ class _Curve:
     """
 
     steps: DataFrame
-    scores: int
     positives: int
     negatives: int
+    scores: int
 
 
-def _curve(predictions: DataFrame, score: str, weight: str | None, rows_per_range: int) -> _Curve:
-    rows = rows_of(weight)
+def _counts_by_score(
+    predictions: DataFrame, score: str, weight: str | None, ranges: int | None
+) -> DataFrame:
+    """``score, positives, negatives, scores`` (1) per distinct score, and its ``range``.
+
+    Ranges are Spark's partitions in descending order of score, numbered from 0. The
+    result is stored, which fixes the numbers and makes the predictions once.
+    """
+    positive = F.col("label") == 1
     by_score = (
         predictions.select(
             score_of(predictions, score).alias("score"),
             F.col("label").cast("int").alias("label"),
-            rows.alias("rows"),
+            rows_of(weight).alias("rows"),
         )
         .filter(F.col("score").isNotNull() & F.col("label").isNotNull())
         .groupBy("score")
         .agg(
-            F.sum(F.when(F.col("label") == 1, F.col("rows")).otherwise(0)).alias("positives"),
-            F.sum(F.when(F.col("label") == 1, 0).otherwise(F.col("rows"))).alias("negatives"),
+            F.sum(F.when(positive, F.col("rows")).otherwise(0)).alias("positives"),
+            F.sum(F.when(positive, 0).otherwise(F.col("rows"))).alias("negatives"),
         )
-        .withColumn("steps", F.lit(1).cast("bigint"))
-    )
-    if weight is None:
-        # Single predictions may be costly to make; all passes below read the counts.
-        by_score = materialize(by_score, "by-score")
-    totals = by_score.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _COUNTS]).head()
-    ranges = min(math.ceil(totals["steps"] / rows_per_range), MAX_RANGES)
-    if ranges <= 1:
-        # Checked above: the one partition of this window has at most rows_per_range rows.
-        running = _running_sums(by_score, Window.orderBy(F.desc("score")))
-    else:
-        running = _running_sums_by_range(by_score, ranges)
-    steps = running.select(
-        "score",
-        "positives",
-        "negatives",
-        F.col("sum_positives").alias("tp"),
-        F.col("sum_negatives").alias("fp"),
-        F.col("sum_steps").alias("step"),
+        .withColumn("scores", F.lit(1).cast("bigint"))
     )
-    return _Curve(steps, totals["steps"], totals["positives"], totals["negatives"])
+    # Without a number, adaptive execution makes as many ranges as the size asks for.
+    number = () if ranges is None else (ranges,)
+    ranged = by_score.repartitionByRange(*number, F.desc("score"))
+    return materialize(ranged.withColumn("range", F.spark_partition_id()), "by-score")
 
 
-def _running_sums(df: DataFrame, order: Window) -> DataFrame:
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumns({f"sum_{c}": F.sum(c).over(upto) for c in _COUNTS})
-
-
-def _running_sums_by_range(by_score: DataFrame, ranges: int) -> DataFrame:
-    cuts = _range_cuts(by_score, ranges)
-    # NaN, which sorts above all scores, gets a range of its own above the others.
-    bucketizer = Bucketizer(
-        splits=cuts, inputCol="score", outputCol="range", handleInvalid="keep"
-    )
-    ranged = bucketizer.transform(by_score).withColumn("range", F.col("range").cast("int"))
+def _curve(
+    predictions: DataFrame, score: str, weight: str | None, ranges: int | None
+) -> _Curve:
+    by_score = _counts_by_score(predictions, score, weight, ranges)
+    totals = by_score.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _COUNTS]).head()
 
-    # One row per range, at most MAX_RANGES + 1: fit for one window and for a broadcast.
-    above = Window.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range, of which there are no more than shuffle partitions: fit for one
+    # window and for a broadcast.
+    above = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        ranged.groupBy("range")
+        by_score.groupBy("range")
         .agg(*[F.sum(c).alias(c) for c in _COUNTS])
         .select(
             "range",
-            *[F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"start_{c}") for c in _COUNTS],
+            *[F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"{c}_above") for c in _COUNTS],
         )
     )
-    within = _running_sums(ranged, Window.partitionBy("range").orderBy(F.desc("score")))
-    return within.join(F.broadcast(starts), "range").withColumns(
-        {f"sum_{c}": F.col(f"sum_{c}") + F.col(f"start_{c}") for c in _COUNTS}
+    upto = (
+        Window.partitionBy("range")
+        .orderBy(F.desc("score"))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-
-
-def _range_cuts(by_score: DataFrame, ranges: int) -> list[float]:
-    """Ascending cuts that split the distinct scores into about equal ranges."""
-    finite = F.when(~F.isnan("score") & (F.abs("score") < math.inf), F.col("score"))
-    quantiles = by_score.agg(
-        F.percentile_approx(finite, [i / ranges for i in range(1, ranges)], 20 * ranges)
-    ).head()[0]
-    return [-math.inf, *sorted(set(quantiles or [])), math.inf]
+    within = by_score.withColumns({f"{c}_within": F.sum(c).over(upto) for c in _COUNTS})
+    tp, fp, step = [F.col(f"{c}_above") + F.col(f"{c}_within") for c in _COUNTS]
+    steps = within.join(F.broadcast(starts), "range").select(
+        "score",
+        "positives",
+        "negatives",
+        tp.alias("tp"),
+        fp.alias("fp"),
+        step.alias("step"),
+    )
+    return _Curve(steps, totals["positives"], totals["negatives"], totals["scores"])
 
 
 def auc(
     predictions: DataFrame,
     score: str = "probability",
     weight: str | None = None,
-    rows_per_range: int = ROWS_PER_RANGE,
+    ranges: int | None = None,
 ) -> DataFrame:
     """One row, ``auc``: the exact area under ROC, null when a class is absent.
 
-    ``score`` is ``'probability'``, ``'raw'`` or the name of a score column. Predictions
-    are counted by score into the shared work folder and so made once. With ``weight`` the
-    frame is taken for a stored :func:`score_tally` and read as often as needed.
+    ``score`` is ``'probability'``, ``'raw'`` or the name of a score column. Runs at once
+    as far as the counts by score, which go to the shared work folder. ``ranges`` fixes
+    the number of score ranges, which is otherwise chosen by size.
     """
-    curve = _curve(predictions, score, weight, rows_per_range)
+    curve = _curve(predictions, score, weight, ranges)
     # Twice the number of (positive, negative) pairs in right order, ties as half, in
     # whole numbers: the sum does not depend on the order of its terms.
     below = F.lit(curve.negatives).cast("bigint") - F.col("fp")
@@ -145,16 +129,16 @@ def roc_points(
     max_points: int | None = None,
     score: str = "probability",
     weight: str | None = None,
-    rows_per_range: int = ROWS_PER_RANGE,
+    ranges: int | None = None,
 ) -> DataFrame:
     """ROC points ``threshold, tp, fp, tpr, fpr``, one per distinct score and the origin.
 
     ``max_points`` thins the curve for drawing: points on it are kept at even steps,
-    always with both ends.
+    always with both ends. See :func:`auc` for the other parameters.
     """
     if max_points is not None and max_points < 2:
         raise ValueError("max_points must be at least 2")
-    curve = _curve(predictions, score, weight, rows_per_range)
+    curve = _curve(predictions, score, weight, ranges)
     steps = curve.steps
     if max_points is not None and curve.scores > max_points - 1:
         stride = math.ceil(curve.scores / (max_points - 1))

@@ -296,10 +296,10 @@ QUERIES: dict[str, Query] = {
     "weighted_f1": lambda s, d: bl.weighted_f1(label_predictions(s, d)),
     "confusion": lambda s, d: bl.confusion(label_predictions(s, d)),
     "auc": lambda s, d: bl.auc(event_scores(s, d), "score"),
-    "auc_by_range": lambda s, d: bl.auc(event_scores(s, d), "score", rows_per_range=1000),
+    "auc_by_range": lambda s, d: bl.auc(event_scores(s, d), "score", ranges=7),
     "roc_points": lambda s, d: bl.roc_points(event_scores(s, d), score="score"),
     "roc_points_thinned": lambda s, d: bl.roc_points(
-        event_scores(s, d), 101, "score", rows_per_range=1000
+        event_scores(s, d), 101, "score", ranges=7
     ),
     "rule_metrics": lambda s, d: bl.metrics_long(rule_runs(s, d)),
     "best_rule": lambda s, d: bl.best_model(
