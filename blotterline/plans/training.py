@@ -18,7 +18,7 @@ from blotterline.operators.features import derive_features
 from blotterline.operators.importance import importances
 from blotterline.operators.ranking import auc, roc_points
 from blotterline.operators.split import split_by_hash
-from blotterline.schema import RUN_SCHEMA
+from blotterline.schema import ENCODED, FEATURE_INPUTS, RUN_SCHEMA
 from blotterline.session import materialize
 from blotterline.sinks.tables import append_runs, save_model
 
@@ -102,7 +102,13 @@ def train_and_record(
     ``importances`` (of the ensembles), ``confusion`` and ``roc`` (of the model with the
     best AUC) are replaced.
     """
-    train, test = split_by_hash(derive_features(gold))
+    inputs = [name for name in FEATURE_INPUTS if name not in ENCODED]
+    categories = [source for _, source in ENCODED.values()]
+    # Dates and coordinates are read once; the passes below scan these few columns.
+    features = materialize(
+        derive_features(gold).select("ID", *inputs, *categories, "label"), "features"
+    )
+    train, test = split_by_hash(features)
     runs, models = train_all(train, test, parallelism=parallelism)
     append_runs(runs, f"{base}/runs", fmt)
     for name, model in models.items():
