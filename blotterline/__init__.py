@@ -14,6 +14,7 @@ from blotterline.operators import (
     day_name,
     dedup_first,
     derive_features,
+    fit_prep,
     hourly_counts,
     importances,
     metrics_long,
@@ -71,6 +72,7 @@ __all__ = [
     "derive_features",
     "drain",
     "file_source",
+    "fit_prep",
     "hourly_counts",
     "importances",
     "kafka_source",

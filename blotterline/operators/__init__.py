@@ -1,7 +1,7 @@
 """DataFrame -> DataFrame operators."""
 
 from blotterline.operators.dedup import collapse_copies, dedup_first
-from blotterline.operators.encoding import classifiers, prep_pipeline
+from blotterline.operators.encoding import classifiers, fit_prep, prep_pipeline
 from blotterline.operators.evaluation import (
     accuracy,
     confusion,
@@ -40,6 +40,7 @@ __all__ = [
     "day_name",
     "dedup_first",
     "derive_features",
+    "fit_prep",
     "hourly_counts",
     "importances",
     "metrics_long",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Estimator, Pipeline
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -10,26 +10,59 @@ from pyspark.ml.classification import (
     NaiveBayes,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    OneHotEncoder,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+)
+from pyspark.sql import DataFrame
 
+from blotterline.operators.frequency import value_counts
 from blotterline.schema import ENCODED, FEATURE_INPUTS
 
 
+_INDEXES = [index for index, _ in ENCODED.values()]
+_SOURCES = [source for _, source in ENCODED.values()]
+
+
+def _encoder() -> OneHotEncoder:
+    return OneHotEncoder(inputCols=_INDEXES, outputCols=list(ENCODED))
+
+
+def _assembler() -> VectorAssembler:
+    return VectorAssembler(inputCols=FEATURE_INPUTS, outputCol="features")
+
+
 def prep_pipeline() -> Pipeline:
     """Index and one-hot both categories, then assemble ``features``.
 
     Categories unseen in training, and null, become the all-zero vector. One indexer
     counts both columns in one pass.
     """
-    indexes = [index for index, _ in ENCODED.values()]
-    sources = [source for _, source in ENCODED.values()]
-    return Pipeline(
-        stages=[
-            StringIndexer(inputCols=sources, outputCols=indexes, handleInvalid="keep"),
-            OneHotEncoder(inputCols=indexes, outputCols=list(ENCODED)),
-            VectorAssembler(inputCols=FEATURE_INPUTS, outputCol="features"),
-        ]
-    )
+    indexer = StringIndexer(inputCols=_SOURCES, outputCols=_INDEXES, handleInvalid="keep")
+    return Pipeline(stages=[indexer, _encoder(), _assembler()])
+
+
+def fit_prep(train: DataFrame) -> PipelineModel:
+    """``prep_pipeline().fit(train)`` for very many partitions or values.
+
+    Spark's indexer merges one map of all values per partition in a single task. Here the
+    values are counted as any other column, so only the finished list of values, which the
+    model holds anyway, reaches the driver.
+    """
+    indexers = [
+        StringIndexerModel.from_labels(
+            [row[0] for row in value_counts(train, source).collect()],
+            inputCol=source,
+            outputCol=index,
+            handleInvalid="keep",
+        )
+        for index, source in ENCODED.values()
+    ]
+    # The sizes of the one-hot vectors come from the indexers' metadata, without a job.
+    encoder = _encoder().fit(PipelineModel(indexers).transform(train))
+    return PipelineModel([*indexers, encoder, _assembler()])
 
 
 def classifiers(seed: int = 42) -> dict[str, Estimator]:

@@ -12,7 +12,7 @@ from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blotterline.operators.encoding import classifiers, prep_pipeline
+from blotterline.operators.encoding import classifiers, fit_prep
 from blotterline.operators.evaluation import accuracy, confusion, score_tally, weighted_f1
 from blotterline.operators.features import derive_features
 from blotterline.operators.importance import importances
@@ -45,7 +45,7 @@ def train_all(
     chosen = classifiers(seed)
     if names is not None:
         chosen = {name: chosen[name] for name in names}
-    prep = prep_pipeline().fit(train)
+    prep = fit_prep(train)
     train_vectors = _prepared(prep, train)
     test_vectors = _prepared(prep, test)
 

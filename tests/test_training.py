@@ -84,7 +84,7 @@ def test_training_again_gives_the_same_measures(parts, trained):
 
 def test_unseen_and_null_categories_give_zero_vectors(spark, parts):
     train, _ = parts
-    prep = bl.prep_pipeline().fit(train)
+    prep = bl.fit_prep(train)
     strange = train.limit(2).withColumn("Primary_Type", F.lit("never seen")).unionByName(
         train.limit(1).withColumn("Primary_Type", F.lit(None).cast("string"))
     )
@@ -94,8 +94,22 @@ def test_unseen_and_null_categories_give_zero_vectors(spark, parts):
     assert all(row["features"].size == 5 + 4 + 7 for row in rows)
 
 
+def test_both_ways_to_fit_the_preparation_agree(parts):
+    train, test = parts
+    stock, counted = bl.prep_pipeline().fit(train), bl.fit_prep(train)
+    assert [list(stage.labels) for stage in counted.stages[:2]] == [
+        list(labels) for labels in stock.stages[0].labelsArray
+    ]
+    kept = ["ID", "Type_Vec", "Loc_Vec", "features"]
+    assert sorted(counted.transform(test).select(kept).collect()) == sorted(
+        stock.transform(test).select(kept).collect()
+    )
+    metadata = [m.transform(test).schema["features"].metadata for m in (stock, counted)]
+    assert metadata[0] == metadata[1]
+
+
 def test_feature_order(parts):
-    prep = bl.prep_pipeline().fit(parts[0])
+    prep = bl.fit_prep(parts[0])
     row = prep.transform(parts[0].limit(1)).head()
     assert list(row["features"].toArray()[:5]) == [float(row[c]) for c in FEATURE_INPUTS[:5]]
 

@@ -155,7 +155,7 @@ def encoded_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where the fitted preparation puts each record's categories, and what it assembles."""
     derived = features(spark, sf_dir)
     train, _ = bl.split_by_hash(derived)
-    vectors = bl.prep_pipeline().fit(train).transform(derived)
+    vectors = bl.fit_prep(train).transform(derived)
     slots = vector_to_array("features")
 
     def one_hot_slot(name: str) -> Column:
