@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blotterline.llm.bpe import code_digests
 from blotterline.llm.common import read_table
+from blotterline.llm.language_id import identify
+from blotterline.llm.packing import pack_documents
 from blotterline.llm.sharding import shard_rows
 from blotterline.llm.vector_search import quantised, top_k
 
@@ -23,7 +27,24 @@ def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return pack_documents(read_table(spark, sf_dir, "documents"), path)
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return code_digests(read_table(spark, sf_dir, "documents"), path)
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_topk_search": op2_topk_search,
+    "op3_packing": op3_packing,
+    "op5_bpe": op5_bpe,
+    "op8_language_id": op8_language_id,
 }
