@@ -6,7 +6,8 @@ the root names the leftmost of the lowest-ranked pairs. Merging it changes three
 itself, the pair that starts at the swallowed symbol (gone) and the pair before. Each change is a
 walk from leaf to root. When the root holds no rank, the word is done.
 
-Words of up to 64 bytes are merged side by side as rows of one array, one merge per word and
+A text is cut into units no word crosses (mostly at blanks), and units are remembered with their
+ids. Words of up to 64 bytes are merged side by side as rows of one array, one merge per word and
 step; longer ones one by one, in time proportional to n * log(n).
 """
 
@@ -15,8 +16,8 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
-from collections.abc import Iterable, Iterator
-from itertools import chain, islice
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -30,8 +31,12 @@ from blotterline.llm.common import small_frames
 NONE = np.int64(1) << 62
 SIDE_BY_SIDE = 64  # longest word, in bytes, of the array form
 AT_ONCE = 32_768  # words per array
-MOST_WORDS = 300_000  # words whose ids a worker remembers
-SLICE = 200_000  # words of a text that are looked up at once
+MOST_UNITS = 400_000  # units of text whose ids a worker remembers
+GROUP = 300_000  # units that are looked up at once
+LONGEST = 1_000_000  # characters of a text that are cut into units at once
+BLANK_RUN = regex.compile(r" \s")
+WHITE = regex.compile(r"\s+")
+SAFE_CUT = regex.compile(r"[^\s](?= [^\s])")
 
 # Fixed value: the word pattern that a byte-level pre-tokenizer with use_regex stands for.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -184,7 +189,8 @@ class Codec:
         longest_first = sorted(map(regex.escape, self.special), key=len, reverse=True)
         self.special_pattern = regex.compile("|".join(longest_first)) if longest_first else None
         self.steps = self._normalizers(spec.get("normalizer"))
-        self.pattern = regex.compile(self._pattern(spec["pre_tokenizer"]))
+        pattern = self._pattern(spec["pre_tokenizer"])
+        self.pattern, self.blank_leads = regex.compile(pattern), pattern == BYTE_LEVEL_PATTERN
         self._decoder = (spec.get("decoder") or {}).get("type")
         self.letter_bytes = {x: bytes([b]) for b, x in enumerate(letters)}
         self.ids: dict[str, bytes] = {}
@@ -206,7 +212,8 @@ class Codec:
         if spec["type"] == "ByteLevel" and spec.get("use_regex", True) and not spec["add_prefix_space"]:
             return BYTE_LEVEL_PATTERN
         split, level = spec.get("pretokenizers", [{}, {}])
-        if split.get("type") == "Split" and split["invert"] and split["behavior"] == "Removed" and not (
+        # Words hold no white space, or a unit could not end at a blank.
+        if split.get("type") == "Split" and r"[^\s" in split["pattern"]["Regex"] and split["invert"] and split["behavior"] == "Removed" and not (
             level.get("use_regex", True) or level["add_prefix_space"]
         ):
             return split["pattern"]["Regex"]
@@ -225,35 +232,58 @@ class Codec:
         self.familiar |= new
         return True
 
-    def _words(self, text: str) -> Iterator[str]:
+    def _words(self, text: str) -> list[str]:
         """The words of a text without special tokens."""
         if not self._familiar(text):
-            yield from self._library_words(text)
-            return
+            return self._library_words(text)
+        return self.pattern.findall(self._normal(text))
+
+    def _normal(self, text: str) -> str:
         for step in self.steps:
-            if step == "NFC":
-                text = unicodedata.normalize("NFC", text)
-            elif step == "Replace":
-                text = regex.sub(r"\s+", " ", text)
-            else:  # letter by letter, so a final sigma is like any other
-                text = text.replace("Σ", "σ").lower()
-        if len(text) < SLICE:
-            yield from self.pattern.findall(text)
-        else:
-            yield from (m[0] for m in self.pattern.finditer(text))
+            text = self._step(step, text)
+        return text
+
+    @staticmethod
+    def _step(step: str, text: str) -> str:
+        if step == "NFC":
+            return unicodedata.normalize("NFC", text)
+        if step == "Replace":
+            return WHITE.sub(" ", text)
+        return text.replace("Σ", "σ").lower()  # letter by letter: a final sigma is like any other
+
+    def _words_of(self, units: list[str]) -> list[list[str]]:
+        """The words of each unit."""
+        if not self._familiar("".join(units)):
+            return [self._words(unit) for unit in units]
+        if self.blank_leads:
+            return list(map(self.pattern.findall, map(self._normal, units) if self.steps else units))
+        # These units hold no blank, and white space is in no word: all are normalized at once.
+        text = " ".join(units)
+        for step in self.steps:
+            text = text if step == "Replace" else self._step(step, text)
+        return list(map(self.pattern.findall, text.split(" ")))
 
-    def _library_words(self, text: str) -> Iterator[str]:
+    def _library_words(self, text: str) -> list[str]:
         """Words as the tokenizer's own library cuts them."""
         from tokenizers import Tokenizer
 
         self.library = self.library or Tokenizer.from_str(self.spec_json)
         if self.library.normalizer is not None:
             text = self.library.normalizer.normalize_str(text)
-        for word, _ in self.library.pre_tokenizer.pre_tokenize_str(text):
-            yield b"".join(self.letter_bytes[x] for x in word).decode()
+        words = (word for word, _ in self.library.pre_tokenizer.pre_tokenize_str(text))
+        return [b"".join(map(self.letter_bytes.__getitem__, word)).decode() for word in words]
+
+    def _units(self, text: str) -> list[str]:
+        """The text cut where no word crosses, so that each unit is encoded without the others."""
+        if self.blank_leads:
+            # A blank belongs to the word after it, unless more white space follows.
+            if BLANK_RUN.search(text) or "\0" in text:
+                return self._words(text)
+            return text.replace(" ", "\0 ").split("\0")
+        return text.replace("\n", " ").split(" ")
 
     def _slices(self, text: str) -> Iterator[list[str] | int]:
-        """The text as lists of words and ids of special tokens."""
+        """The text as lists of units and ids of special tokens."""
         at = 0
         for match in self.special_pattern.finditer(text) if self.special_pattern else ():
             yield from self._lists(text[at : match.start()])
@@ -262,49 +292,64 @@ class Codec:
         yield from self._lists(text[at:] if at else text)
 
     def _lists(self, text: str) -> Iterator[list[str]]:
-        words = iter(self._words(text)) if text else iter(())
-        while some := list(islice(words, SLICE)):
-            yield some
-
-    def learn(self, words: Iterable[str]) -> None:
-        """Encode words that are not known yet."""
-        new = [w for w in words if w not in self.ids]
-        if len(self.ids) + len(new) > MOST_WORDS:
-            self.ids.clear()  # the words of the present slice are all in ``words``
-            new = list(words)
+        """Units of stretches of bounded length, as far as there are places to cut."""
+        while len(text) > LONGEST:
+            cut = SAFE_CUT.search(text, LONGEST - 1)
+            if not cut:
+                break
+            yield self._units(text[: cut.end()])
+            text = text[cut.end() :]
+        if text:
+            yield self._units(text)
+
+    def learn(self, units: set[str]) -> None:
+        """Encode units that are not known yet."""
+        new = units.difference(self.ids)
+        if len(self.ids) + len(new) > MOST_UNITS:
+            self.ids.clear()
+            new = units
+        new = list(new)
+        words_of = self._words_of(new)
+        ids = self._encode_words(set(chain.from_iterable(words_of)))
+        for unit, words in zip(new, words_of, strict=True):
+            self.ids[unit] = ids[words[0]] if len(words) == 1 else b"".join(map(ids.__getitem__, words))
+
+    def _encode_words(self, words: set[str]) -> dict[str, bytes]:
+        found: dict[str, bytes] = {}
+        new = list(words)
         encoded = [w.encode() for w in new]
         sizes = np.array([len(e) for e in encoded], np.int64)
         for width in (2, 4, 8, 16, 32, SIDE_BY_SIDE):
             chosen = np.flatnonzero((sizes <= width) & (sizes > (width // 2 if width > 2 else 0)))
             for start in range(0, len(chosen), AT_ONCE):
                 part = chosen[start : start + AT_ONCE]
-                self._learn_rows([new[i] for i in part], [encoded[i] for i in part], sizes[part], width)
+                rows = self._merge_rows([encoded[i] for i in part], sizes[part], width)
+                found.update(zip((new[i] for i in part), rows, strict=True))
         for i in np.flatnonzero(sizes > SIDE_BY_SIDE):
             body = np.frombuffer(encoded[i], np.uint8)
             symbols = [*self.inner[body[:-1]].tolist(), int(self.final[body[-1]])]
-            self.ids[new[i]] = np.array(merge_word(symbols, self.pairs), "<u4").tobytes()
+            found[new[i]] = np.array(merge_word(symbols, self.pairs), "<u4").tobytes()
+        return found
 
-    def _learn_rows(self, words: list[str], encoded: list[bytes], sizes: np.ndarray, width: int) -> None:
+    def _merge_rows(self, encoded: list[bytes], sizes: np.ndarray, width: int) -> list[bytes]:
         body = np.frombuffer(b"".join(encoded), np.uint8)
         ids = self.inner[body]
         ends = np.cumsum(sizes) - 1
         ids[ends] = self.final[body[ends]]
-        symbols = np.full((len(words), width), -1, np.int64)
+        symbols = np.full((len(encoded), width), -1, np.int64)
         symbols[np.arange(width) < sizes[:, None]] = ids
         merge_rows(symbols, sizes, self.pairs)
         kept = symbols >= 0
         packed = symbols[kept].astype("<u4").tobytes()
         stops = (4 * np.cumsum(kept.sum(axis=1))).tolist()
-        start = 0
-        for word, stop in zip(words, stops, strict=True):
-            self.ids[word] = packed[start:stop]
-            start = stop
+        return [packed[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
         result = []
         for group in _groups(texts, self._slices):
-            self.learn(set(chain.from_iterable(x for x in chain.from_iterable(group) if not isinstance(x, int))))
+            units = (x for x in chain.from_iterable(group) if not isinstance(x, int))
+            self.learn(set(chain.from_iterable(units)))
             known = self.ids.__getitem__
             for slices in group:
                 parts = [
@@ -330,15 +375,15 @@ class Codec:
 
 
 def _groups(texts: list[str], slices) -> Iterator[list[list]]:
-    """Texts as slices, so many at a time that their words fit the memory of words.
+    """Texts as slices, so many at a time that their units fit the memory of units.
 
-    Texts of more than ``SLICE`` words come alone and are still whole.
+    A text of more than ``GROUP`` units comes alone and is still whole.
     """
     group, held = [], 0
     for text in texts:
         own = list(slices(text))
         size = sum(1 if isinstance(x, int) else len(x) for x in own)
-        if group and held + size > SLICE:
+        if group and held + size > GROUP:
             yield group
             group, held = [], 0
         group.append(own)
