@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +13,8 @@ from pyspark.sql.window import Window
 from blotterline.session import materialize
 
 __all__ = [
+    "blocks_for",
+    "bound_batches",
     "by_global_order",
     "crc32_of",
     "materialize",
@@ -27,6 +29,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Let an Arrow batch hold 16 MB (or one row), unless the session has its own bound.
+
+    Spark's default is 64 MB; a worker holds several copies of a batch while it works on it.
+    """
+    key, default = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+    if spark.conf.get(key) == default:
+        spark.conf.set(key, "16m")
+
+
 def parallelism(spark: SparkSession) -> int:
     """Number of tasks that a shuffle of this session has."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -95,11 +107,3 @@ def small_frames(
         piece = frame[text].str.len().fillna(0).cumsum() // most_chars
         for _, part in frame.groupby(piece, sort=True):
             yield part.reset_index(drop=True)
-
-
-def each_text(
-    frames: Iterator[pd.DataFrame], text: str, work: Callable[[pd.DataFrame], pd.DataFrame]
-) -> Iterator[pd.DataFrame]:
-    """``work`` on each small frame."""
-    for frame in small_frames(frames, text):
-        yield work(frame)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from blotterline.llm.common import crc32_of, small_frames
+from blotterline.llm.common import bound_batches, crc32_of, small_frames
 from blotterline.llm.models import (
     LETTER,
     UPPER,
@@ -128,6 +128,7 @@ def fit_filters(
     Fitted on at most ``SAMPLE_PER_LANGUAGE`` texts of each language (whole ones), counted in
     Spark; the driver gets at most ``NGRAMS_PER_LANGUAGE`` n-grams of each.
     """
+    bound_batches(training.sparkSession)
     labelled = training.where(F.col(lang).isNotNull()).select(
         F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")
     )
@@ -174,6 +175,7 @@ def with_language(docs: DataFrame, filters: LanguageFilters, text: str = "text")
     of the language's n-grams among those of all languages. Rows are judged one by one: no
     shuffle, repeated rows stay, an empty table gives no rows.
     """
+    bound_batches(docs.sparkSession)
     docs = docs.drop("lang_pred", "lang_score")
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 

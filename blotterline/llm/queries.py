@@ -13,6 +13,7 @@ from blotterline.llm.common import read_table
 from blotterline.llm.language_id import identify
 from blotterline.llm.packing import pack_documents
 from blotterline.llm.sharding import shard_rows
+from blotterline.llm.simhash import hex_digits, near_duplicates
 from blotterline.llm.vector_search import quantised, top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +33,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), path)
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.withColumn("fingerprint", hex_digits(F.col("fingerprint")))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return code_digests(read_table(spark, sf_dir, "documents"), path)
@@ -45,6 +51,7 @@ QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_topk_search": op2_topk_search,
     "op3_packing": op3_packing,
+    "op4_simhash": op4_simhash,
     "op5_bpe": op5_bpe,
     "op8_language_id": op8_language_id,
 }
