@@ -12,6 +12,7 @@ from blotterline.llm.bpe import code_digests
 from blotterline.llm.common import read_table
 from blotterline.llm.language_id import identify
 from blotterline.llm.packing import pack_documents
+from blotterline.llm.quality import fit_quality, judged
 from blotterline.llm.sharding import shard_rows
 from blotterline.llm.simhash import hex_digits, near_duplicates
 from blotterline.llm.vector_search import quantised, top_k
@@ -47,6 +48,21 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read_table(spark, sf_dir, "documents"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    scored = judged(docs, fit_quality(docs, read_table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        "host",
+        "path",
+        "evidence",
+        "host_posterior",
+        "path_posterior",
+        F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_topk_search": op2_topk_search,
@@ -54,4 +70,5 @@ QUERIES: dict[str, Query] = {
     "op4_simhash": op4_simhash,
     "op5_bpe": op5_bpe,
     "op8_language_id": op8_language_id,
+    "op9_quality": op9_quality,
 }

@@ -259,14 +259,41 @@ def near_duplicates(
     """
     chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     marked = materialize(with_fingerprint(chosen).select("doc_id", "fingerprint"), "fingerprints")
+    return classes(marked, most).select("doc_id", "fingerprint", "component_id")
+
+
+def classes(marked: DataFrame, most: int = MOST_DIFFERENT) -> DataFrame:
+    """``marked`` (doc_id, fingerprint, others) with ``component``, the least fingerprint linked,
+    and ``component_id``, the smallest doc_id linked."""
     distinct = marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
     linked = components(fingerprint_links(distinct.select("fingerprint"), most))
     owner = distinct.join(
         linked.select(F.col("node").alias("fingerprint"), "component"), "fingerprint", "left"
     ).withColumn("component", F.coalesce("component", "fingerprint"))
     named = owner.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_print = materialize(owner.join(named, "component").select("fingerprint", "component_id"), "classes")
-    return marked.join(of_print, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    of_print = materialize(
+        owner.join(named, "component").select("fingerprint", "component", "component_id"), "classes"
+    )
+    return marked.join(of_print, "fingerprint")
+
+
+def one_of_each(docs: DataFrame, most: int = MOST_DIFFERENT) -> DataFrame:
+    """``docs`` with one document of each component: the one with the smallest doc_id.
+
+    Rows with the same doc_id and text are one document, so one of them stays.
+    """
+    key = [
+        F.xxhash64("doc_id", "text").alias("_key"),
+        F.coalesce(F.octet_length("text"), F.lit(-1)).alias("_size"),
+    ]
+    marked = with_fingerprint(docs.select("doc_id", F.col("text").cast("string").alias("text")))
+    marked = materialize(marked.select("doc_id", "fingerprint", *key), "fingerprints")
+    kept = classes(marked, most).groupBy("component").agg(
+        F.min(F.struct("doc_id", "_size", "_key")).alias("_one")
+    )
+    kept = kept.select("_one._key", "_one._size")
+    found = docs.select("*", *key).join(kept, ["_key", "_size"], "left_semi")
+    return found.dropDuplicates(["_key", "_size"]).select(*docs.columns)
 
 
 def hex_digits(fingerprint: Column) -> Column:
