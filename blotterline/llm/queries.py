@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from blotterline.llm.bpe import code_digests
 from blotterline.llm.common import read_table
+from blotterline.llm.html_text import extract
 from blotterline.llm.language_id import identify
 from blotterline.llm.packing import pack_documents
 from blotterline.llm.quality import fit_quality, judged
@@ -63,6 +64,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract(read_table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_topk_search": op2_topk_search,
@@ -71,4 +77,5 @@ QUERIES: dict[str, Query] = {
     "op5_bpe": op5_bpe,
     "op8_language_id": op8_language_id,
     "op9_quality": op9_quality,
+    "op10_html": op10_html,
 }
