@@ -26,13 +26,14 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotterline.llm.common import small_frames
+from blotterline.llm.common import bound_batches, small_frames
 
 NONE = np.int64(1) << 62
 SIDE_BY_SIDE = 64  # longest word, in bytes, of the array form
 AT_ONCE = 32_768  # words per array
-MOST_UNITS = 400_000  # units of text whose ids a worker remembers
-GROUP = 300_000  # units that are looked up at once
+MOST_UNITS = 200_000  # units of text whose ids a worker remembers
+MOST_WORDS = 300_000  # words whose ids a worker remembers
+GROUP = 150_000  # units that are looked up at once
 LONGEST = 1_000_000  # characters of a text that are cut into units at once
 BLANK_RUN = regex.compile(r" \s")
 WHITE = regex.compile(r"\s+")
@@ -194,6 +195,7 @@ class Codec:
         self._decoder = (spec.get("decoder") or {}).get("type")
         self.letter_bytes = {x: bytes([b]) for b, x in enumerate(letters)}
         self.ids: dict[str, bytes] = {}
+        self.word_ids: dict[str, bytes] = {}
         self.familiar: set[str] = set(map(chr, range(128)))
 
     @staticmethod
@@ -310,7 +312,11 @@ class Codec:
             new = units
         new = list(new)
         words_of = self._words_of(new)
-        ids = self._encode_words(set(chain.from_iterable(words_of)))
+        words = set(chain.from_iterable(words_of))
+        if len(self.word_ids) + len(words) > MOST_WORDS:
+            self.word_ids = {}
+        ids = self.word_ids
+        ids.update(self._encode_words(words.difference(ids)))
         for unit, words in zip(new, words_of, strict=True):
             self.ids[unit] = ids[words[0]] if len(words) == 1 else b"".join(map(ids.__getitem__, words))
 
@@ -406,6 +412,7 @@ def codec_of(spec: Broadcast) -> Codec:
 
 def broadcast_tokenizer(spark: SparkSession, path: str) -> Broadcast:
     """A tokenizer file (a few MB, whatever the corpus) for all executors."""
+    bound_batches(spark)
     with open(path, encoding="utf-8") as file:
         return spark.sparkContext.broadcast(file.read())
 
@@ -422,7 +429,7 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec = codec_of(spec)
-        for frame in small_frames(frames, "text"):
+        for frame in small_frames(frames, "text", 2_000_000):
             texts = frame["text"].fillna("").tolist()
             yield pd.DataFrame({"doc_id": frame["doc_id"], "ids": codec.encode(texts)})
 
@@ -448,9 +455,24 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInPandas(run, f"doc_id {kind}, ids binary, text string")
 
 
+def round_trip(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, ids and the text decoded from them: ``encode`` and ``decode`` in one worker."""
+    spec = broadcast_tokenizer(docs.sparkSession, path)
+    kind = docs.schema[doc_id].dataType.simpleString()
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        codec = codec_of(spec)
+        for frame in small_frames(frames, "text", 2_000_000):
+            ids = codec.encode(frame["text"].fillna("").tolist())
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "ids": ids, "text": codec.decode(ids)})
+
+    chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return chosen.mapInPandas(run, f"doc_id {kind}, ids binary, text string")
+
+
 def code_digests(docs: DataFrame, path: str) -> DataFrame:
     """Per document the number of ids and digests of the ids and of the decoded text."""
-    return decode(encode(docs, path), path).select(
+    return round_trip(docs, path).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
