@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,3 +46,20 @@ def components(edges: DataFrame) -> DataFrame:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
         seen = state
         now = materialize(_small_star(_large_star(now)), "edges")
+
+
+def connect(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``parent`` (every entry a root) after joining the sets of ``a`` and ``b``, element by element."""
+    while len(a):
+        a, b = parent[a], parent[b]
+        apart = a != b
+        a, b = a[apart], b[apart]
+        if not len(a):
+            break
+        np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
+        while True:
+            above = parent[parent]
+            if np.array_equal(above, parent):
+                break
+            parent = above
+    return parent

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from blotterline.llm.bpe import code_digests
 from blotterline.llm.common import read_table
+from blotterline.llm.edit_fingerprint import edited_fingerprints
 from blotterline.llm.html_text import extract
 from blotterline.llm.language_id import identify
 from blotterline.llm.packing import pack_documents
@@ -45,6 +46,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_digests(read_table(spark, sf_dir, "documents"), path)
 
 
+def op7_edit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read_table(spark, sf_dir, "documents"))
 
@@ -75,6 +80,7 @@ QUERIES: dict[str, Query] = {
     "op3_packing": op3_packing,
     "op4_simhash": op4_simhash,
     "op5_bpe": op5_bpe,
+    "op7_edit_fingerprint": op7_edit_fingerprint,
     "op8_language_id": op8_language_id,
     "op9_quality": op9_quality,
     "op10_html": op10_html,

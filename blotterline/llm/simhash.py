@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_digest
 
 from blotterline.llm.common import bound_batches, materialize, numbered_rows, small_frames
-from blotterline.llm.components import components
+from blotterline.llm.components import components, connect
 
 MOST_DIFFERENT = 4
 SHINGLE_WORDS = 4
@@ -143,23 +143,6 @@ def patterns(values: np.ndarray, sizes: tuple[int, ...]) -> list[tuple[np.ndarra
     return result
 
 
-def connect(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """``parent`` (every entry a root) after joining the sets of ``a`` and ``b``, element by element."""
-    while len(a):
-        a, b = parent[a], parent[b]
-        apart = a != b
-        a, b = a[apart], b[apart]
-        if not len(a):
-            break
-        np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
-        while True:
-            above = parent[parent]
-            if np.array_equal(above, parent):
-                break
-            parent = above
-    return parent
-
-
 def links(x: np.ndarray, y: np.ndarray, same: bool, most: int) -> np.ndarray:
     """Roots of a spanning forest of all pairs of ``x`` and ``y`` with at most ``most`` differing
     bits: entry i is the root of value i of ``x`` followed by ``y`` (``x`` alone if ``same``).
