@@ -17,6 +17,7 @@ from blotterline.llm.packing import pack_documents
 from blotterline.llm.quality import fit_quality, judged
 from blotterline.llm.sharding import shard_rows
 from blotterline.llm.simhash import hex_digits, near_duplicates
+from blotterline.llm.toxicity import score_documents
 from blotterline.llm.vector_search import quantised, top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +47,11 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_digests(read_table(spark, sf_dir, "documents"), path)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (read_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return score_documents(docs, labels)
+
+
 def op7_edit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(read_table(spark, sf_dir, "documents"))
 
@@ -80,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op3_packing": op3_packing,
     "op4_simhash": op4_simhash,
     "op5_bpe": op5_bpe,
+    "op6_toxicity": op6_toxicity,
     "op7_edit_fingerprint": op7_edit_fingerprint,
     "op8_language_id": op8_language_id,
     "op9_quality": op9_quality,
