@@ -104,6 +104,6 @@ def small_frames(
     A single longer text is a frame of its own. Nothing is dropped.
     """
     for frame in frames:
-        piece = frame[text].str.len().fillna(0).cumsum() // most_chars
+        piece = frame[text].fillna("").str.len().cumsum() // most_chars
         for _, part in frame.groupby(piece, sort=True):
             yield part.reset_index(drop=True)

@@ -27,7 +27,7 @@ from pyspark.sql.window import Window
 from blotterline.llm.common import bound_batches, by_global_order, materialize
 
 # Names of HTML elements and attribute words.
-HIDDEN = frozenset({"script", "style", "head", "template", "noscript", "svg", "iframe", "object", "select", "textarea"})
+HIDDEN = frozenset({"script", "style", "head", "title", "template", "noscript", "svg", "iframe", "object", "select", "textarea"})
 RAW = frozenset({"script", "style", "textarea", "title", "iframe", "noscript"})
 VOID = frozenset({"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"})
 BOILERPLATE = frozenset({"nav", "footer", "aside", "form", "button", "dialog", "menu"})
