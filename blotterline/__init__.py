@@ -42,7 +42,7 @@ from blotterline.plans import (
     train_and_record,
 )
 from blotterline.session import build_session, materialize
-from blotterline.sinks import append_runs, publish, save_model
+from blotterline.sinks import append_runs, compact_layer, publish, save_model
 from blotterline.sources import (
     LayerNotReady,
     file_source,
@@ -51,7 +51,7 @@ from blotterline.sources import (
     read_layer,
     read_messages,
 )
-from blotterline.streaming import await_any, drain, start_medallion
+from blotterline.streaming import await_any, drain, late_records, start_medallion
 
 __all__ = [
     "LayerNotReady",
@@ -65,6 +65,7 @@ __all__ = [
     "build_session",
     "classifiers",
     "clean_records",
+    "compact_layer",
     "confusion",
     "dashboard_report",
     "day_name",
@@ -76,6 +77,7 @@ __all__ = [
     "hourly_counts",
     "importances",
     "kafka_source",
+    "late_records",
     "materialize",
     "metrics_long",
     "parse_payload",

@@ -27,8 +27,12 @@ def flag(text: Column) -> Column:
 
 
 def to_number(text: Column) -> Column:
-    """Text as double, null when it is no number. Surrounding blanks are accepted."""
-    return text.try_cast("double")
+    """Text as double, null when it is no number. Surrounding blanks are accepted.
+
+    Decimal notation with or without exponent. ``NaN`` and ``Infinity`` give those values, but
+    Java's type suffixes (``41.8f``) are no part of a number.
+    """
+    return F.when(~F.rlike(text, F.lit(r"[fFdD]\s*$")), text.try_cast("double"))
 
 
 def percent_bucket(key: Column) -> Column:

@@ -17,8 +17,8 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from blotterline.operators.frequency import value_counts
 from blotterline.schema import ENCODED, FEATURE_INPUTS
 
 
@@ -48,12 +48,21 @@ def fit_prep(train: DataFrame) -> PipelineModel:
     """``prep_pipeline().fit(train)`` for very many partitions or values.
 
     Spark's indexer merges one map of all values per partition in a single task. Here the
-    values are counted as any other column, so only the finished list of values, which the
-    model holds anyway, reaches the driver.
+    values of all columns are counted in one pass, so only the finished lists of values, which
+    the model holds anyway, reach the driver.
     """
+    pairs = [F.struct(F.lit(s).alias("source"), F.col(s).alias("value")) for s in _SOURCES]
+    counts = (
+        train.select(F.inline(F.array(*pairs)))
+        .where(F.col("value").isNotNull())
+        .groupBy("source", "value")
+        .count()
+        .orderBy("source", F.desc("count"), "value")
+        .collect()
+    )
     indexers = [
         StringIndexerModel.from_labels(
-            [row[0] for row in value_counts(train, source).collect()],
+            [row["value"] for row in counts if row["source"] == source],
             inputCol=source,
             outputCol=index,
             handleInvalid="keep",

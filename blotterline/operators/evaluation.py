@@ -2,6 +2,9 @@
 
 Input frames have ``label`` and ``prediction`` (0/1). ``weight`` names a column that says
 how many predictions a row stands for, as in the result of :func:`score_tally`.
+
+One rule for gaps: a row without a label or without a prediction (for the curve measures: a
+score) is no prediction and counts nowhere.
 """
 
 from __future__ import annotations
@@ -49,32 +52,38 @@ def score_tally(predictions: DataFrame, score: str = "probability") -> DataFrame
 def accuracy(predictions: DataFrame, weight: str | None = None) -> DataFrame:
     """One row, ``accuracy``: the part of rows predicted right."""
     rows = rows_of(weight)
-    right = F.when(F.col("label") == F.col("prediction"), rows).otherwise(0)
-    return predictions.agg(F.try_divide(F.sum(right), F.sum(rows)).alias("accuracy"))
+    right = F.col("label") == F.col("prediction")
+    return predictions.agg(
+        F.try_divide(
+            F.sum(F.when(right, rows).when(right.isNotNull(), 0)),
+            F.sum(F.when(right.isNotNull(), rows)),
+        ).alias("accuracy")
+    )
 
 
 def confusion(predictions: DataFrame, weight: str | None = None) -> DataFrame:
-    """Rows per ``label`` and ``prediction``: all four cells, absent ones as 0."""
-    rows = rows_of(weight)
-    cells = [(label, prediction) for label in (0, 1) for prediction in (0, 1)]
-
-    def counted(label: int, prediction: int) -> Column:
-        hit = (F.col("label") == label) & (F.col("prediction") == prediction)
-        return F.coalesce(F.sum(F.when(hit, rows)), F.lit(0))
-
-    one_row = predictions.agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(label).alias("label"),
-                    F.lit(prediction).alias("prediction"),
-                    counted(label, prediction).alias("count"),
-                )
-                for label, prediction in cells
-            ]
-        ).alias("cells")
+    """Rows per ``label`` and ``prediction``: the four cells of 0 and 1, absent ones as 0, and any
+    other pair that occurs."""
+    cells = predictions.sparkSession.range(4).select(
+        F.shiftright("id", 1).cast("int").alias("label"),
+        (F.col("id") % 2).cast("int").alias("prediction"),
+        F.lit(0).cast("bigint").alias("rows"),
+    )
+    prediction = F.col("prediction").cast("double")
+    whole = prediction == prediction.cast("int")
+    counted = predictions.select(
+        F.col("label").cast("int").alias("label"),
+        F.when(whole | prediction.isNull(), prediction.cast("int"))
+        .otherwise(F.raise_error(F.lit("a prediction is no class number")).cast("int"))
+        .alias("prediction"),
+        rows_of(weight).alias("rows"),
+    ).where(F.col("label").isNotNull() & F.col("prediction").isNotNull())
+    return (
+        counted.unionByName(cells)
+        .groupBy("label", "prediction")
+        .agg(F.sum("rows").alias("count"))
+        .orderBy("label", "prediction")
     )
-    return one_row.select(F.inline("cells"))
 
 
 def weighted_f1(predictions: DataFrame, weight: str | None = None) -> DataFrame:
@@ -85,6 +94,7 @@ def weighted_f1(predictions: DataFrame, weight: str | None = None) -> DataFrame:
             F.col("prediction").cast("double").alias("prediction"),
             rows_of(weight).alias("rows"),
         )
+        .dropna(subset=["label", "prediction"])
         .groupBy("label", "prediction")
         .agg(F.sum("rows").alias("rows"))
     )

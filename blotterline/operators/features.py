@@ -31,7 +31,7 @@ def _with_read(df: DataFrame, kept: list[str], **read: Column) -> DataFrame:
 def derive_features(gold: DataFrame) -> DataFrame:
     """Gold plus ``ts, Hour, DayOfWeek, IsWeekend, label``; coordinates as double.
 
-    Rows without a readable date or without two numeric coordinates are dropped. Blank
+    Rows without a readable date or without two finite coordinates are dropped. Blank
     categories become ``UNKNOWN``. No shuffle.
     """
     located = gold.filter(
@@ -47,10 +47,9 @@ def derive_features(gold: DataFrame) -> DataFrame:
     usable = read.filter(
         F.col("ts").isNotNull()
         & F.col("Arrest").isNotNull()
-        & F.col("Latitude").isNotNull()
-        & ~F.isnan("Latitude")
-        & F.col("Longitude").isNotNull()
-        & ~F.isnan("Longitude")
+        # Null, NaN and infinity are not below infinity.
+        & (F.abs("Latitude") < float("inf"))
+        & (F.abs("Longitude") < float("inf"))
     )
     return usable.select(
         *[

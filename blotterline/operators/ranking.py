@@ -69,8 +69,7 @@ def _curve(
     by_score = _counts_by_score(predictions, score, weight, ranges)
     totals = by_score.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _COUNTS]).head()
 
-    # One row per range, of which there are no more than shuffle partitions: fit for one
-    # window and for a broadcast.
+    # One row per range: fit for one window.
     above = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         by_score.groupBy("range")
@@ -87,7 +86,7 @@ def _curve(
     )
     within = by_score.withColumns({f"{c}_within": F.sum(c).over(upto) for c in _COUNTS})
     tp, fp, step = [F.col(f"{c}_above") + F.col(f"{c}_within") for c in _COUNTS]
-    steps = within.join(F.broadcast(starts), "range").select(
+    steps = within.join(starts, "range").select(
         "score",
         "positives",
         "negatives",

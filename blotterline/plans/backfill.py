@@ -5,18 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from blotterline.operators.layers import parse_payload, to_bronze, to_gold, to_silver
-from blotterline.sources.layers import read_layer
+from blotterline.sinks.batches import committed, foreign
+from blotterline.sinks.tables import replace_batch
+from blotterline.streaming.medallion import BACKFILL
 
 
 def backfill(envelope: DataFrame, base: str, fmt: str = "parquet") -> None:
     """Write bronze, silver and gold below ``base`` from a batch of messages, anew.
 
     Each layer is read back for the next, so messages are parsed and deduplicated once
-    and gold always has the records of silver.
+    and gold always has the records of silver. A base that a stream has written to is refused: its
+    checkpoint would go on as if its rows were there. History that a stream shall go on from is
+    run as that stream's first batches instead.
     """
     spark = envelope.sparkSession
-    to_bronze(envelope).write.format(fmt).mode("overwrite").save(f"{base}/bronze")
-    bronze = read_layer(spark, f"{base}/bronze", fmt)
-    to_silver(parse_payload(bronze)).write.format(fmt).mode("overwrite").save(f"{base}/silver")
-    silver = read_layer(spark, f"{base}/silver", fmt)
-    to_gold(silver).write.format(fmt).mode("overwrite").save(f"{base}/gold")
+    layers = [f"{base}/{name}" for name in ("bronze", "silver", "gold")]
+    if fmt == "parquet":
+        for path in layers:
+            others = [b for b in committed(spark, path) if not b.startswith(f"{BACKFILL}_")]
+            others += foreign(spark, path)
+            if others:
+                raise RuntimeError(f"{path} holds {others[0]}, which no backfill wrote")
+
+    def write(df: DataFrame, path: str) -> DataFrame:
+        if fmt == "parquet":
+            return replace_batch(df, path, fmt, BACKFILL, 0)
+        df.write.format(fmt).mode("overwrite").save(path)
+        return spark.read.format(fmt).load(path)
+
+    bronze = write(to_bronze(envelope), layers[0])
+    silver = write(to_silver(parse_payload(bronze)), layers[1])
+    write(to_gold(silver), layers[2])

@@ -42,6 +42,14 @@ def train_all(
     The preparation is fitted once, on the train part alone, and shared. Each model is
     applied to the test part once; its measures come from the counted scores.
     """
+    runs, models, _ = _train_and_measure(train, test, names, seed, parallelism)
+    return runs, models
+
+
+def _train_and_measure(
+    train: DataFrame, test: DataFrame, names: list[str] | None, seed: int, parallelism: int
+) -> tuple[DataFrame, dict[str, PipelineModel], dict[str, DataFrame]]:
+    """As :func:`train_all`, with each model's counted scores on the test part."""
     chosen = classifiers(seed)
     if names is not None:
         chosen = {name: chosen[name] for name in names}
@@ -49,7 +57,7 @@ def train_all(
     train_vectors = _prepared(prep, train)
     test_vectors = _prepared(prep, test)
 
-    def run(name: str, estimator: Estimator) -> tuple[tuple, PipelineModel]:
+    def run(name: str, estimator: Estimator) -> tuple[tuple, PipelineModel, DataFrame]:
         fitted = estimator.fit(train_vectors)
         tally = materialize(score_tally(fitted.transform(test_vectors)), f"scores-{name}")
         row = (
@@ -60,7 +68,7 @@ def train_all(
             weighted_f1(tally, "rows").head()[0],
             auc(tally, "score", "rows").head()[0],
         )
-        return row, PipelineModel([*prep.stages, fitted])
+        return row, PipelineModel([*prep.stages, fitted]), tally
 
     in_thread = inheritable_thread_target(train.sparkSession)
     try:
@@ -73,8 +81,9 @@ def train_all(
     finally:
         train_vectors.unpersist()
         test_vectors.unpersist()
-    runs = train.sparkSession.createDataFrame([row for row, _ in finished.values()], RUN_SCHEMA)
-    return runs, {name: model for name, (_, model) in finished.items()}
+    runs = train.sparkSession.createDataFrame([row for row, *_ in finished.values()], RUN_SCHEMA)
+    models = {name: model for name, (_, model, _) in finished.items()}
+    return runs, models, {name: tally for name, (*_, tally) in finished.items()}
 
 
 def _prepared(prep: PipelineModel, part: DataFrame) -> DataFrame:
@@ -94,13 +103,13 @@ def train_and_record(
     base: str,
     fmt: str = "parquet",
     parallelism: int = 1,
-    max_roc_points: int | None = 1000,
+    max_roc_points: int | None = None,
 ) -> DataFrame:
     """The whole training job over gold; gives back the run rows.
 
     Below ``base``: ``runs`` gains the run rows; ``models/<classifier>`` and the tables
     ``importances`` (of the ensembles), ``confusion`` and ``roc`` (of the model with the
-    best AUC) are replaced.
+    best AUC) are replaced. ``roc`` has every point unless ``max_roc_points`` thins it.
     """
     inputs = [name for name in FEATURE_INPUTS if name not in ENCODED]
     categories = [source for _, source in ENCODED.values()]
@@ -109,13 +118,13 @@ def train_and_record(
         derive_features(gold).select("ID", *inputs, *categories, "label"), "features"
     )
     train, test = split_by_hash(features)
-    runs, models = train_all(train, test, parallelism=parallelism)
+    runs, models, tallies = _train_and_measure(train, test, None, 42, parallelism)
     append_runs(runs, f"{base}/runs", fmt)
     for name, model in models.items():
         save_model(model, f"{base}/models/{name}")
 
     best = best_model(runs).head()["classifier"]
-    tally = materialize(score_tally(models[best].transform(test)), f"scores-{best}")
+    tally = tallies[best]
     tables = {
         "importances": [(name, importances(models[name])) for name in ENSEMBLES],
         "confusion": [(best, confusion(tally, "rows"))],

@@ -122,7 +122,3 @@ RUN_SCHEMA = T.StructType(
         T.StructField("auc", T.DoubleType()),
     ]
 )
-
-# Partition column that the streaming job adds to silver and gold so that a
-# replayed micro-batch replaces itself; readers do not see it.
-BATCH_COLUMN = "batch_id"

@@ -1,0 +1,133 @@
+"""Parquet layers as committed batches.
+
+A layer is a folder of data folders and a folder ``_batches`` with one small entry per batch,
+whose name says which data folder is the batch's content. Data is written to a folder of its own
+first; creating the entry commits it, in one step. Readers take the newest entry of each batch, so
+a replayed batch changes hands at once, and folders of attempts that never were committed are not
+seen. ``compact_layer`` rewrites finished batches into few files and commits that by one entry too.
+"""
+
+from __future__ import annotations
+
+import json
+import time
+import uuid
+
+from py4j.java_gateway import JavaObject
+from pyspark.sql import DataFrame, SparkSession
+
+ENTRIES = "_batches"
+COMPACTED = "compacted"
+
+
+def _folder(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    fs, where = _folder(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file with the file system's own client, if it is there."""
+    fs, where = _folder(spark, path)
+    fs.delete(where, True)
+
+
+def _commit(spark: SparkSession, path: str, batch: str, data: str, replaced: list[str]) -> None:
+    """Create the entry under another name and rename it: it is there whole or not at all."""
+    fs, entries = _folder(spark, f"{path}/{ENTRIES}")
+    fs.mkdirs(entries)
+    hidden = spark._jvm.org.apache.hadoop.fs.Path(entries, f".{uuid.uuid4().hex}")
+    out = fs.create(hidden)
+    out.write(json.dumps(replaced).encode())
+    out.close()
+    final = spark._jvm.org.apache.hadoop.fs.Path(entries, f"{batch}@{time.time_ns()}@{data}")
+    if not fs.rename(hidden, final):
+        raise OSError(f"could not commit {batch} of {path}")
+
+
+def _content(spark: SparkSession, path: str, entry: str) -> list[str]:
+    fs, where = _folder(spark, f"{path}/{ENTRIES}/{entry}")
+    stream = fs.open(where)
+    text = bytes(stream.readAllBytes()).decode()
+    stream.close()
+    return json.loads(text)
+
+
+def committed(spark: SparkSession, path: str) -> dict[str, str]:
+    """Batch -> data folder of a layer, in order of commit; empty if there is none."""
+    entries = [e for e in _names(spark, f"{path}/{ENTRIES}") if not e.startswith(".")]
+    newest: dict[str, tuple[int, str]] = {}
+    gone: set[str] = set()
+    for entry in entries:
+        batch, at, data = entry.split("@")
+        newest[batch] = max(newest.get(batch, (0, "")), (int(at), data))
+        if batch.startswith(COMPACTED):
+            gone |= set(_content(spark, path, entry))
+    kept = sorted((at, batch, data) for batch, (at, data) in newest.items() if batch not in gone)
+    return {batch: data for _, batch, data in kept}
+
+
+def foreign(spark: SparkSession, path: str) -> list[str]:
+    """Files of a layer's folder that no batch of this form wrote."""
+    names = [n for n in _names(spark, path) if not n.startswith(".") and n != ENTRIES]
+    return [n for n in names if not n.startswith("data-")]
+
+
+def write_batch(df: DataFrame, path: str, batch: str) -> DataFrame:
+    """Write ``df`` as the one content of ``batch`` and give back what was written."""
+    if "@" in batch:
+        raise ValueError("a batch name holds no @")
+    spark = df.sparkSession
+    data = f"data-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{data}")
+    before = committed(spark, path).get(batch)
+    _commit(spark, path, batch, data, [])
+    if before:
+        delete(spark, f"{path}/{before}")
+    return spark.read.schema(df.schema).parquet(f"{path}/{data}")
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of all committed batches; None if there are none with files."""
+    folders = [f"{path}/{data}" for data in committed(spark, path).values()]
+    return spark.read.parquet(*folders) if folders else None
+
+
+def compact_layer(spark: SparkSession, path: str, file_rows: int | None = None) -> int:
+    """Rewrite finished batches into one folder of few files; gives how many were replaced.
+
+    The newest batch of each writer stays as it is, as only that one can be written again. The old
+    folders are deleted after the commit: run this when no long read of the layer is under way.
+    ``file_rows`` bounds the rows of a file.
+    """
+    batches = committed(spark, path)
+    newest: dict[str, str] = {}
+    for batch in batches:
+        if not batch.startswith(COMPACTED):
+            newest[batch.rpartition("_")[0]] = batch
+    finished = {b: d for b, d in batches.items() if b not in newest.values()}
+    if len(finished) < 2:
+        return 0
+    rows = spark.read.parquet(*[f"{path}/{data}" for data in finished.values()])
+    data = f"data-{uuid.uuid4().hex}"
+    # A rebalance makes files of the advised size, also of many small batches.
+    writer = rows.hint("rebalance").write
+    if file_rows is not None:
+        writer = writer.option("maxRecordsPerFile", file_rows)
+    writer.parquet(f"{path}/{data}")
+    # Entries left over from an earlier compaction stay replaced.
+    entries = _names(spark, f"{path}/{ENTRIES}")
+    replaced = {e.split("@")[0] for e in entries if not e.startswith(".")} - set(newest.values())
+    _commit(spark, path, f"{COMPACTED}-{uuid.uuid4().hex}", data, sorted(replaced))
+    for old in finished.values():
+        delete(spark, f"{path}/{old}")
+    for entry in entries:
+        if entry.split("@")[0] in replaced:
+            delete(spark, f"{path}/{ENTRIES}/{entry}")
+    return len(finished)

@@ -4,32 +4,28 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from blotterline.schema import BATCH_COLUMN
+from blotterline.sinks.batches import write_batch
 
 
-def replace_batch(df: DataFrame, path: str, fmt: str, batch: str) -> DataFrame:
-    """Write ``df`` as the one content of ``batch`` and give back what was written.
+def delta_options(writer: str, number: int) -> dict[str, str]:
+    """Options that make a Delta append of a numbered batch happen once."""
+    return {"txnAppId": writer, "txnVersion": str(number)}
 
-    Writing a batch again replaces it, which makes an at-least-once caller exact. The
+
+def replace_batch(df: DataFrame, path: str, fmt: str, writer: str, number: int) -> DataFrame:
+    """Write ``df`` as the content of a writer's numbered batch and give back what was written.
+
+    Writing a batch again leaves it there once, which makes an at-least-once caller exact: as
+    Parquet, the new copy takes the place of the old one; as Delta, the append is skipped. The
     Delta form needs the Delta package and is not tested where that is not available.
     """
-    spark = df.sparkSession
     if fmt == "delta":
-        (
-            df.withColumn(BATCH_COLUMN, F.lit(batch))
-            .write.format(fmt)
-            .mode("overwrite")
-            .option("replaceWhere", f"{BATCH_COLUMN} = '{batch}'")
-            .partitionBy(BATCH_COLUMN)
-            .save(path)
-        )
-        table = spark.read.format(fmt).load(path)
-        return table.filter(F.col(BATCH_COLUMN) == batch).drop(BATCH_COLUMN)
-    target = f"{path}/{BATCH_COLUMN}={batch}"
-    df.write.format(fmt).mode("overwrite").save(target)
-    return spark.read.format(fmt).schema(df.schema).load(target)
+        df.write.format(fmt).mode("append").options(**delta_options(writer, number)).save(path)
+        return df
+    if fmt != "parquet":
+        raise ValueError(f"layers are parquet or delta, not {fmt}")
+    return write_batch(df, path, f"{writer}_{number}")
 
 
 def append_runs(runs: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from blotterline.schema import BATCH_COLUMN
+from blotterline.sinks.batches import read_batches
 
 # Error conditions that mean "nothing stored there yet".
 _MISSING = {
@@ -32,7 +32,8 @@ def read_layer(
 ) -> DataFrame:
     """The current content of a layer.
 
-    Every call lists the table anew, so calling again is the refresh.
+    Every call lists the table anew, so calling again is the refresh. A layer of committed
+    batches has the rows of those; any other folder has all its files.
 
     ``on_missing='error'`` raises :class:`LayerNotReady` for an absent or empty layer, as
     training needs; ``'empty'`` gives a frame of ``schema`` without rows for an absent one,
@@ -43,14 +44,14 @@ def read_layer(
     if on_missing == "empty" and schema is None:
         raise ValueError("on_missing='empty' needs a schema")
     try:
-        layer = spark.read.format(fmt).load(path)
+        layer = read_batches(spark, path) if fmt == "parquet" else None
+        layer = spark.read.format(fmt).load(path) if layer is None else layer
     except AnalysisException as error:
         if error.getCondition() not in _MISSING:
             raise
         if on_missing == "empty":
             return spark.createDataFrame([], schema)
         raise LayerNotReady(f"no layer at {path}") from error
-    layer = layer.drop(BATCH_COLUMN)
     if on_missing == "error" and layer.isEmpty():
         raise LayerNotReady(f"the layer at {path} has no rows")
     return layer

@@ -45,13 +45,18 @@ def kafka_source(
 
 
 def file_source(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int | None = None,
+    max_file_age: str = "36500d",
 ) -> DataFrame:
     """Stream of a folder of JSON-lines files, in the shape of :func:`kafka_source`.
 
-    ``max_files_per_trigger`` paces the feed.
+    ``max_files_per_trigger`` paces the feed. Files older than the newest by ``max_file_age``
+    are skipped without an error; the default skips none, whatever time stamps copies keep. The
+    checkpoint remembers the names of files of that age.
     """
-    stream = spark.readStream.format("text")
+    stream = spark.readStream.format("text").option("maxFileAge", max_file_age)
     if max_files_per_trigger is not None:
         stream = stream.option("maxFilesPerTrigger", max_files_per_trigger)
     return as_envelope(stream.load(path))

@@ -1,5 +1,5 @@
 """The streaming layer job."""
 
-from blotterline.streaming.medallion import await_any, drain, start_medallion
+from blotterline.streaming.medallion import await_any, drain, late_records, start_medallion
 
-__all__ = ["await_any", "drain", "start_medallion"]
+__all__ = ["await_any", "drain", "late_records", "start_medallion"]

@@ -16,6 +16,7 @@ from blotterline.operators.layers import (
     to_silver,
 )
 from blotterline.session import conf_defaults
+from blotterline.sinks.batches import committed, delete, foreign
 from blotterline.sinks.tables import replace_batch
 
 # The deduplication keeps every ID. RocksDB holds that state on disk instead of in the
@@ -28,6 +29,8 @@ STATE_CONF = {
 }
 
 QUERY_ID = "sql.streaming.queryId"
+# The writer name of batch backfills.
+BACKFILL = "backfill"
 
 
 def start_medallion(
@@ -38,14 +41,20 @@ def start_medallion(
     trigger: dict[str, Any] | None = None,
     console: bool = False,
     delay: str | None = None,
+    console_rows: int = 20,
 ) -> list[StreamingQuery]:
     """Start the job and give back its two queries, bronze and refined.
 
     ``source`` is a message stream. Layers are written below ``base``, checkpoints below
     ``checkpoint``; a restart with the same checkpoint resumes. ``trigger`` is passed to
     Spark (``{'availableNow': True}`` for a bounded run); without it, micro-batches follow
-    each other as fast as they can. ``console`` shows each batch of gold. ``delay`` bounds
-    the deduplication state, see :func:`to_silver`.
+    each other as fast as they can. ``console`` shows the first ``console_rows`` rows of each batch of
+    gold. ``delay`` bounds the deduplication state, see :func:`to_silver`; records that it drops are
+    counted by :func:`late_records`, and all of them are in bronze.
+
+    History goes through the same job: its files as the first, bounded batches of the same
+    checkpoint, so that the deduplication knows its IDs. A base that a batch backfill or
+    anything else has written to is refused.
 
     Silver and gold share one parse and one deduplication. Gold is made from the batch of
     silver as stored, so the two agree even when a lost executor forces a recomputation
@@ -54,23 +63,35 @@ def start_medallion(
     The number of state partitions is ``spark.sql.shuffle.partitions`` at the first start
     and is kept by the checkpoint.
     """
+    spark = source.sparkSession
+    if fmt == "parquet":
+        for layer in ("bronze", "silver", "gold"):
+            _refuse_strangers(spark, f"{base}/{layer}")
+
+    def write_bronze(batch: DataFrame, batch_id: int) -> None:
+        replace_batch(batch, f"{base}/bronze", fmt, _query_of(batch), batch_id)
+
     bronze = (
         _writer(to_bronze(source), f"{checkpoint}/bronze", trigger)
-        .format(fmt)
-        .start(f"{base}/bronze")
+        .foreachBatch(write_bronze)
+        .start()
     )
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # Named after the query as well: batches of a new checkpoint are new batches.
-        query_id = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
-        if query_id is None:
-            raise RuntimeError("micro-batch without query id")
-        name = f"{query_id}_{batch_id}"
-        silver = replace_batch(batch, f"{base}/silver", fmt, name)
-        gold = replace_batch(to_gold(silver), f"{base}/gold", fmt, name)
+        writer = _query_of(batch)
+        if fmt == "parquet":
+            silver = replace_batch(batch, f"{base}/silver", fmt, writer, batch_id)
+        else:
+            # Stored once first, so that silver and gold are made of the same rows.
+            staged = replace_batch(batch, f"{checkpoint}/staged", "parquet", writer, batch_id)
+            silver = replace_batch(staged, f"{base}/silver", fmt, writer, batch_id)
+        gold = replace_batch(to_gold(silver), f"{base}/gold", fmt, writer, batch_id)
         if console:
             print(f"Batch: {batch_id}")
-            gold.show(truncate=False)
+            gold.show(console_rows, truncate=False)
+        if fmt != "parquet":
+            delete(spark, f"{checkpoint}/staged")
 
     # Progress reports carry how many records came in and how many of them are incomplete.
     parsed = parse_payload(source).observe(
@@ -88,6 +109,34 @@ def start_medallion(
     return [bronze, refined]
 
 
+def _query_of(batch: DataFrame) -> str:
+    query_id = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
+    if query_id is None:
+        raise RuntimeError("micro-batch without query id")
+    return query_id
+
+
+def _refuse_strangers(spark: SparkSession, path: str) -> None:
+    """A layer that something else has written to is not appended to: the deduplication would
+    not know its records."""
+    others = foreign(spark, path)
+    others += [b for b in committed(spark, path) if b.startswith(f"{BACKFILL}_")]
+    if others:
+        raise RuntimeError(
+            f"{path} holds {others[0]}, which no stream wrote; run history as the first batches "
+            "of the stream, or use another base"
+        )
+
+
+def late_records(query: StreamingQuery) -> int:
+    """Records that the query dropped behind its watermark, as far as its progress reports go."""
+    return sum(
+        state.numRowsDroppedByWatermark
+        for progress in query.recentProgress
+        for state in progress.stateOperators
+    )
+
+
 def _writer(stream: DataFrame, checkpoint: str, trigger: dict[str, Any] | None):
     writer = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger) if trigger else writer

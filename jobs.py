@@ -1,7 +1,8 @@
 """The jobs for ``spark-submit``.
 
-    spark-submit jobs.py publish INPUT.csv (--path FOLDER | --servers HOSTS --topic TOPIC)
+    spark-submit jobs.py publish INPUT.csv (--multi-line | --single-line) (--path FOLDER | --servers HOSTS --topic TOPIC)
     spark-submit jobs.py layers BASE (--path FOLDER | --servers HOSTS --topic TOPIC)
+    spark-submit jobs.py compact BASE
     spark-submit jobs.py train BASE
     spark-submit jobs.py report BASE
 """
@@ -18,7 +19,7 @@ from blotterline.schema import GOLD_SCHEMA
 
 def publish(spark: SparkSession, args: argparse.Namespace) -> None:
     """Send the records of a CSV as messages."""
-    records = bl.read_incident_csv(spark, args.csv, multi_line=not args.single_line)
+    records = bl.read_incident_csv(spark, args.csv, multi_line=args.multi_line)
     bl.publish(records, args.path, args.servers, args.topic)
 
 
@@ -48,18 +49,29 @@ def layers(spark: SparkSession, args: argparse.Namespace) -> None:
         trigger,
         args.console,
         args.delay,
+        args.console_rows,
     )
     if args.once:
         bl.drain(queries)
+        if args.delay:
+            print(f"{bl.late_records(queries[-1])} records came too late for silver")
     else:
         bl.await_any(spark)
 
 
+def compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Rewrite finished batches of the Parquet layers below BASE into few files."""
+    for layer in ("bronze", "silver", "gold"):
+        print(f"{layer}: {bl.compact_layer(spark, f'{args.base}/{layer}')} batches")
+
+
 def train(spark: SparkSession, args: argparse.Namespace) -> None:
     """Train and compare the classifiers on gold, recording the results below BASE."""
     gold = bl.read_layer(spark, f"{args.base}/gold", args.format)
-    runs = bl.train_and_record(gold, args.base, args.format, args.parallelism)
-    runs.orderBy("auc").show(truncate=False)
+    runs = bl.train_and_record(
+        gold, args.base, args.format, args.parallelism, args.max_roc_points
+    )
+    print(runs.orderBy("auc").toPandas().to_string(index=False))
 
 
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -67,7 +79,8 @@ def report(spark: SparkSession, args: argparse.Namespace) -> None:
     gold = bl.read_layer(
         spark, f"{args.base}/gold", args.format, on_missing="empty", schema=GOLD_SCHEMA
     )
-    bl.dashboard_report(gold).orderBy("section", "item").show(1000, truncate=False)
+    shown = bl.dashboard_report(gold).orderBy("section", "item").toPandas()
+    print(shown.to_string(index=False))
 
 
 def parser() -> argparse.ArgumentParser:
@@ -87,7 +100,13 @@ def parser() -> argparse.ArgumentParser:
 
     sub = command(publish, "csv")
     add_feed(sub)
-    sub.add_argument("--single-line", action="store_true", help="no line breaks in values")
+    form = sub.add_mutually_exclusive_group(required=True)
+    form.add_argument(
+        "--multi-line", action="store_true", help="values may hold line breaks; one task per file"
+    )
+    form.add_argument(
+        "--single-line", action="store_true", help="no line breaks in values; files are split"
+    )
 
     sub = command(layers, "base")
     add_feed(sub)
@@ -97,11 +116,15 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--every", help="time between micro-batches, such as '1 minute'")
     sub.add_argument("--once", action="store_true", help="stop after what is there now")
     sub.add_argument("--console", action="store_true", help="show each batch of gold")
+    sub.add_argument("--console-rows", type=int, default=20, help="rows shown of each batch")
     sub.add_argument("--delay", help="forget IDs this long after their event date")
 
+    command(compact, "base")
+
     sub = command(train, "base")
     sub.add_argument("--format", default="parquet")
     sub.add_argument("--parallelism", type=int, default=1, help="models fitted at a time")
+    sub.add_argument("--max-roc-points", type=int, help="thin the stored ROC table")
 
     sub = command(report, "base")
     sub.add_argument("--format", default="parquet")

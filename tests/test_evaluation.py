@@ -150,3 +150,16 @@ def test_metrics_long_and_best_model(spark):
     assert long["A", "accuracy"] == 0.9
     assert bl.best_model(runs).head()["classifier"] == "B"
     assert bl.best_model(runs, by="f1").head()["classifier"] == "A"
+
+
+def test_one_rule_for_gaps(spark):
+    rows = [(1, 1.0, 0.9), (0, 1.0, 0.4), (None, 1.0, 0.5), (1, None, None), (2, 2.0, 0.1)]
+    frame = spark.createDataFrame(rows, "label int, prediction double, score double")
+    assert bl.accuracy(frame).head()[0] == pytest.approx(2 / 3)
+    cells = {(r["label"], r["prediction"]): r["count"] for r in bl.confusion(frame).collect()}
+    assert cells == {(0, 0): 0, (0, 1): 1, (1, 0): 0, (1, 1): 1, (2, 2): 1}
+    tally = bl.score_tally(frame, "score")
+    assert bl.accuracy(tally, "rows").head()[0] == pytest.approx(2 / 3)
+    assert bl.weighted_f1(tally, "rows").head() == bl.weighted_f1(frame).head()
+    with pytest.raises(Exception, match="no class number"):
+        bl.confusion(frame.withColumn("prediction", F.lit(0.5))).collect()

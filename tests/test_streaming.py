@@ -5,9 +5,11 @@ import os
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 import blotterline as bl
 from blotterline.session import conf_defaults
+from blotterline.sinks.tables import delta_options
 from blotterline.streaming.medallion import STATE_CONF
 from tests.conftest import incident
 
@@ -177,3 +179,85 @@ def test_state_settings_are_defaults_only(spark):
         assert spark.conf.get(key) == "own"
     finally:
         spark.conf.unset(key)
+
+
+def test_files_that_look_old_are_read(job):
+    job.land(incident("1"))
+    job.run()
+    job.land(incident("2"))
+    os.utime(job.landing / "002.txt", (1_600_000_000, 1_600_000_000))
+    job.run()
+    assert job.blocks().keys() == {"1", "2"}
+
+
+def test_late_records_are_counted(job):
+    early, late = "01/05/2023 01:00:00 PM", "03/05/2023 01:00:00 PM"
+    job.land(incident("1", Date=late))
+    job.land(incident("2", Date=late))
+    job.land(incident("3", Date=early), incident("4", Date=early), incident("5", Date="bad"))
+    bronze, refined = job.run(files_per_batch=1, delay="2 days")
+    assert job.blocks().keys() == {"1", "2", "5"}
+    assert bl.late_records(refined) == 2 and bl.late_records(bronze) == 0
+    assert job.layer("bronze").count() == 5
+
+
+def test_backfill_and_stream_do_not_share_a_base(job, tmp_path):
+    job.land(incident("1"))
+    messages = bl.read_messages(job.spark, str(job.landing))
+    bl.backfill(messages, job.base)
+    bl.backfill(messages, job.base)
+    assert job.blocks().keys() == {"1"}
+    with pytest.raises(RuntimeError, match="no stream wrote"):
+        job.run()
+    streamed = Job(job.spark, _made(tmp_path / "other"))
+    streamed.land(incident("2"))
+    streamed.run()
+    with pytest.raises(RuntimeError, match="no backfill wrote"):
+        bl.backfill(messages, streamed.base)
+    assert streamed.blocks().keys() == {"2"}
+    foreign = Job(job.spark, _made(tmp_path / "foreign"))
+    foreign.land(incident("3"))
+    job.layer("gold").write.parquet(f"{foreign.base}/gold")
+    with pytest.raises(RuntimeError, match="no stream wrote"):
+        foreign.run()
+
+
+def _made(folder: Path) -> Path:
+    folder.mkdir()
+    return folder
+
+
+def test_compaction_keeps_rows_and_lowers_the_number_of_files(job):
+    for number in range(6):
+        job.land(*[incident(str(10 * number + i), Block="a") for i in range(10)])
+    job.run(files_per_batch=1)
+    path = Path(job.base) / "silver"
+
+    def files() -> int:
+        return len(list(path.glob("data-*/*.parquet")))
+
+    before, rows = files(), sorted(job.layer("silver").collect())
+    assert bl.compact_layer(job.spark, str(path)) == 5
+    assert files() < before and sorted(job.layer("silver").collect()) == rows
+    assert len([p for p in (path / "_batches").iterdir() if not p.name.startswith(".")]) == 2
+    # The last batch is replayed, and a new one comes.
+    commits = job.checkpoint / "refined" / "commits"
+    last = max(int(p.name) for p in commits.iterdir() if p.name.isdigit())
+    (commits / str(last)).unlink()
+    (commits / f".{last}.crc").unlink(missing_ok=True)
+    job.land(incident("new", Block="a"), incident("3", Block="b"))
+    job.run()
+    assert len(job.blocks()) == 61 and job.agree()
+    assert bl.compact_layer(job.spark, str(path)) >= 2
+    assert len(job.blocks()) == 61
+
+
+def test_an_attempt_without_commit_is_not_seen(job):
+    job.land(incident("1"))
+    job.run()
+    job.layer("silver").withColumn("ID", F.lit("ghost")).write.parquet(f"{job.base}/silver/data-x")
+    assert job.blocks().keys() == {"1"}
+
+
+def test_delta_appends_are_numbered():
+    assert delta_options("query", 7) == {"txnAppId": "query", "txnVersion": "7"}

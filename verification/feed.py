@@ -38,18 +38,28 @@ def _fields() -> dict[str, Column]:
         "Domestic": F.when(_hit(7), "true").otherwise("false"),
         "District": (user % 25 + 1).cast("string"),
         "Year": F.year(ts).cast("string"),
-        "Latitude": F.when(_hit(97), "").otherwise(
+        "Latitude": F.when(_hit(97), "")
+        .when(_hit(131), "Infinity")
+        .when(_hit(137), "1e400")
+        .when(_hit(139), "NaN")
+        .when(_hit(149), "41.8f")
+        .otherwise(
             F.concat(F.lit("41."), (user % 400 + 600).cast("string"))
         ),
         "Longitude": F.concat(F.lit("-87."), (user % 300 + 500).cast("string")),
     }
 
 
+def spread(events: DataFrame, parts: int = 8) -> DataFrame:
+    """The events over several partitions; the test tables are one file each."""
+    return events.repartition(parts, "event_id")
+
+
 def incident_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One record per event, all 21 fields as strings."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     made = _fields()
-    return events.select(
+    return spread(events).select(
         *[made.get(name, F.lit(None)).cast("string").alias(name) for name in FIELDS]
     )
 
@@ -57,7 +67,7 @@ def incident_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def message_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages (``value`` as text): each record one to three times, and the ``props`` of
     each event, which is JSON but no incident."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
     made = _fields()
     record = F.struct(
         *[made.get(name, F.lit(None)).cast("string").alias(name) for name in FIELDS]
@@ -65,3 +75,20 @@ def message_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.to_json(record, {"ignoreNullFields": "false"})
     copies = F.array_repeat(text, (F.col("user_id") % 3 + 1).cast("int"))
     return events.select(F.explode(F.array_append(copies, F.col("props"))).alias("value"))
+
+
+def arrivals(spark: SparkSession, sf_dir: str, chosen: Column, block: str) -> DataFrame:
+    """Messages of the chosen events, each once and with ``block`` in its record, and some that
+    are no record: cut off, no JSON, JSON ``null``."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").where(chosen)
+    made = {**_fields(), "Block": F.lit(block)}
+    record = F.struct(
+        *[made.get(name, F.lit(None)).cast("string").alias(name) for name in FIELDS]
+    )
+    text = F.to_json(record, {"ignoreNullFields": "false"})
+    dirt = (
+        F.when(_hit(50), F.substring(text, 1, 40))
+        .when(_hit(51), "no json")
+        .when(_hit(53), "null")
+    )
+    return events.select(F.explode(F.filter(F.array(text, dirt), lambda x: x.isNotNull())).alias("value"))

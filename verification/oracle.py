@@ -25,6 +25,10 @@ _MADE = {
     "District": "CAST(user_id % 25 + 1 AS VARCHAR)",
     "Year": "CAST(year(ts) AS VARCHAR)",
     "Latitude": """CASE WHEN event_id % 97 = 0 THEN ''
+                        WHEN event_id % 131 = 0 THEN 'Infinity'
+                        WHEN event_id % 137 = 0 THEN '1e400'
+                        WHEN event_id % 139 = 0 THEN 'NaN'
+                        WHEN event_id % 149 = 0 THEN '41.8f'
                         ELSE '41.' || CAST(user_id % 400 + 600 AS VARCHAR) END""",
     "Longitude": "'-87.' || CAST(user_id % 300 + 500 AS VARCHAR)",
 }
@@ -74,8 +78,8 @@ FEATURES = """features AS (
          CAST("Arrest" AS INTEGER) AS label
   FROM dated
   WHERE parsed IS NOT NULL
-    AND TRY_CAST(trim("Latitude") AS DOUBLE) IS NOT NULL
-    AND TRY_CAST(trim("Longitude") AS DOUBLE) IS NOT NULL)"""
+    AND isfinite(TRY_CAST(trim("Latitude") AS DOUBLE))
+    AND isfinite(TRY_CAST(trim("Longitude") AS DOUBLE)))"""
 
 BUCKET = "CAST('0x' || substr(md5(\"ID\"), 1, 8) AS BIGINT) % 100"
 
@@ -262,6 +266,41 @@ FROM cells c LEFT JOIN predicted p ON p.label = c.label AND p.prediction = c.pre
 GROUP BY c.label, c.prediction"""
 
 
+def _silver_with_block(block: str) -> str:
+    """Silver with an expression for ``Block`` over ``ID``."""
+    columns = ", ".join(f'{block} AS "Block"' if c == "Block" else f'"{c}"' for c in FIELDS)
+    return f"WITH {FEED}, {SILVER} SELECT {columns} FROM silver"
+
+
+_EVENT = 'CAST("ID" AS BIGINT)'
+FIRST_ARRIVALS = _silver_with_block(f"CASE WHEN {_EVENT} % 3 <> 2 THEN 'file 0' ELSE 'file 1' END")
+
+ARRIVED = """WITH {feed},
+files AS (
+  SELECT *, 'file 0' AS arrived FROM feed WHERE CAST("ID" AS BIGINT) % 3 <> 2
+  UNION ALL SELECT *, 'file 1' FROM feed WHERE CAST("ID" AS BIGINT) % 3 <> 0
+  UNION ALL SELECT *, 'file 2' FROM feed),
+texts AS (SELECT CAST("ID" AS BIGINT) AS event_id, CAST(json_object({pairs}) AS VARCHAR) AS text
+          FROM files),
+messages AS (
+  SELECT text FROM texts
+  UNION ALL
+  SELECT CASE WHEN event_id % 50 = 0 THEN substr(text, 1, 40)
+              WHEN event_id % 51 = 0 THEN 'no json' ELSE 'null' END
+  FROM texts WHERE event_id % 50 = 0 OR event_id % 51 = 0 OR event_id % 53 = 0)
+SELECT CAST(length(text) AS INTEGER) AS size, count(*) AS "count" FROM messages GROUP BY 1""".format(
+    feed=FEED,
+    pairs=", ".join(f"'{c}', {'arrived' if c == 'Block' else chr(34) + c + chr(34)}" for c in FIELDS),
+)
+
+PLANTED = f"""{TO_FEATURES},
+planted AS (SELECT CASE WHEN "Hour" >= 18 THEN 1 ELSE 0 END AS label FROM features
+            WHERE {BUCKET} >= 80),
+cells AS (SELECT * FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS c(label, prediction))
+SELECT c.label, c.prediction, count(p.label) AS "count"
+FROM cells c LEFT JOIN planted p ON p.label = c.label AND p.label = c.prediction
+GROUP BY c.label, c.prediction"""
+
 ORACLE: dict[str, str] = {
     "incident_feed": f"WITH {FEED} SELECT {_quoted(FIELDS)} FROM feed",
     "csv_scan": "WITH {} SELECT {} FROM feed".format(
@@ -275,6 +314,57 @@ ORACLE: dict[str, str] = {
     "stream_silver": SILVER_ROWS,
     "stream_gold": GOLD_ROWS,
     "stream_silver_bounded": SILVER_ROWS,
+    "history_then_stream": FIRST_ARRIVALS,
+    "history_then_stream_gold": GOLD_ROWS,
+    "history_then_stream_bronze": ARRIVED,
+    "compacted_silver": FIRST_ARRIVALS,
+    "stream_old_files": """SELECT CAST(event_id AS VARCHAR) AS "ID", 'file 0' AS "Block"
+        FROM events WHERE event_id % 101 <> 0 AND event_id % 107 <> 0""",
+    "stream_bounded_late": f"""{TO_GOLD}, half AS (SELECT max(event_id) // 2 AS h FROM events)
+        SELECT count(*) FILTER ({_EVENT} > h OR parsed IS NULL) AS silver_rows,
+               count(*) FILTER ({_EVENT} <= h AND parsed IS NOT NULL) AS late_rows
+        FROM dated, half""",
+    "silver_differing_copies": _silver_with_block(
+        f"CASE WHEN {_EVENT} % 3 <> 2 THEN 'file 0' ELSE 'file 1' END"
+    ),
+    "absent_layer_report": f"""SELECT 'after' AS state, * FROM ({DASHBOARD})
+        UNION ALL SELECT 'before', 'rows', 'all', 0""",
+    "refreshed_layer": f"""{TO_GOLD}
+        SELECT 'before' AS state, count(*) AS "rows" FROM gold
+        UNION ALL SELECT 'after', 2 * count(*) FROM gold""",
+    "auc_one_class": "SELECT CAST(NULL AS DOUBLE) AS auc",
+    "gaps_in_predictions": f"""WITH rows_ AS ({LABEL_ROWS}),
+        dirty AS (SELECT nullif(label, 0) AS label, prediction FROM rows_
+                  UNION ALL SELECT 2, prediction FROM rows_
+                  UNION ALL SELECT label, NULL FROM rows_),
+        whole AS (SELECT * FROM dirty WHERE label IS NOT NULL AND prediction IS NOT NULL),
+        cells AS (SELECT * FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS c(label, prediction)
+                  UNION SELECT label, prediction FROM whole)
+        SELECT c.label || '/' || c.prediction AS item, CAST(count(w.label) AS DOUBLE) AS "value"
+        FROM cells c LEFT JOIN whole w ON w.label = c.label AND w.prediction = c.prediction
+        GROUP BY 1
+        UNION ALL
+        SELECT 'accuracy', CAST(count(*) FILTER (label = prediction) AS DOUBLE) / count(*)
+        FROM whole""",
+    "planted_tree_metrics": """SELECT c AS classifier, m AS metric, CAST(1 AS DOUBLE) AS "value"
+        FROM (VALUES ('DecisionTree'), ('GBTClassifier')) AS c(c),
+             (VALUES ('accuracy'), ('f1'), ('auc')) AS m(m)""",
+    "planted_tree_confusion": PLANTED,
+    "planted_gbt_confusion": PLANTED,
+    "planted_tree_importances": f"""{TO_FEATURES}, {INDEXES}
+        SELECT slot, CASE WHEN slot = 'Hour' THEN 1.0 ELSE 0.0 END::DOUBLE AS importance FROM (
+          SELECT unnest(['Hour', 'DayOfWeek', 'IsWeekend', 'Latitude', 'Longitude']) AS slot
+          UNION ALL SELECT 'Type_Vec_' || category FROM types
+          UNION ALL SELECT 'Loc_Vec_' || category FROM locations)""",
+    "planted_tree_importances_by_source": """
+        SELECT source, CASE WHEN source = 'Hour' THEN 1.0 ELSE 0.0 END::DOUBLE AS importance
+        FROM (SELECT unnest(['Hour', 'DayOfWeek', 'IsWeekend', 'Latitude', 'Longitude',
+                             'Primary_Type', 'Location_Description']) AS source)""",
+    "classifier_measure_differences": f"""{TO_FEATURES}
+        SELECT c AS classifier, m AS metric, count(*) AS "rows", CAST(0 AS DOUBLE) AS difference
+        FROM features, (VALUES ('LogisticRegression'), ('RandomForest')) AS c(c),
+             (VALUES ('accuracy'), ('f1'), ('auc')) AS m(m)
+        WHERE {BUCKET} >= 80 GROUP BY ALL""",
     "features": f"{TO_FEATURES} SELECT * FROM features",
     "day_names": f'{TO_GOLD} SELECT "ID", dayname(parsed) AS day_name FROM dated',
     "weekend_labels": f'{TO_GOLD} SELECT "ID", {PERIOD} AS period FROM dated',
@@ -331,6 +421,7 @@ ORACLE: dict[str, str] = {
     "best_rule": f"""{RULE_RUNS}
         SELECT * FROM runs ORDER BY auc DESC NULLS LAST, classifier LIMIT 1""",
     "naive_bayes_confusion": _naive_bayes(),
+    "saved_model_confusion": PLANTED,
     "saved_model_agreement": f"""{TO_FEATURES}
         SELECT count(*) AS "rows", CAST(0 AS BIGINT) AS different
         FROM features WHERE {BUCKET} >= 80""",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from blotterline.functions import percent_bucket
 from blotterline.schema import FIELD_TO_HEADER, GOLD_SCHEMA, SILVER_SCHEMA
 from blotterline.session import work_folder
 from blotterline.sources import as_envelope
-from verification.feed import incident_feed, message_feed
+from verification.feed import arrivals, incident_feed, message_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,6 +108,127 @@ def stream_silver_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bl.read_layer(spark, f"{_stream(spark, sf_dir, delay='2 days')}/silver")
 
 
+def _history_then_stream(spark: SparkSession, sf_dir: str) -> str:
+    """History, then two later files with overlapping IDs, in three runs of one checkpoint, so
+    that two of them are restarts. Gives the base of the layers."""
+    base = work_folder(spark, "history")
+    third = F.col("event_id") % 3
+    for number, chosen in enumerate((third != 2, third != 0, F.lit(True))):
+        file = arrivals(spark, sf_dir, chosen, f"file {number}").coalesce(1)
+        file.write.mode("append").text(f"{base}/landing")
+        queries = bl.start_medallion(
+            bl.file_source(spark, f"{base}/landing", max_files_per_trigger=1),
+            f"{base}/layers",
+            f"{base}/checkpoints",
+            trigger={"availableNow": True},
+        )
+        bl.drain(queries)
+    return f"{base}/layers"
+
+
+def history_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver: of each ID the record that arrived first."""
+    return bl.read_layer(spark, f"{_history_then_stream(spark, sf_dir)}/silver")
+
+
+def history_then_stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bl.read_layer(spark, f"{_history_then_stream(spark, sf_dir)}/gold")
+
+
+def history_then_stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message of the three files, as counts by their text's length."""
+    bronze = bl.read_layer(spark, f"{_history_then_stream(spark, sf_dir)}/bronze")
+    return bronze.groupBy(F.length(F.col("value").cast("string")).alias("size")).count()
+
+
+def compacted_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver after its finished batches were rewritten into one."""
+    path = f"{_history_then_stream(spark, sf_dir)}/silver"
+    bl.compact_layer(spark, path)
+    return bl.read_layer(spark, path)
+
+
+def stream_old_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver where half of the records are in a file that looks a year old."""
+    base = work_folder(spark, "old-files")
+    half = F.col("event_id") % 2
+    for number in range(2):
+        file = arrivals(spark, sf_dir, half == number, "file 0").coalesce(1)
+        file.write.mode("append").text(f"{base}/landing")
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/landing")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if number == 0:
+            for status in fs.listStatus(path):
+                year = 365 * 24 * 3600 * 1000
+                fs.setTimes(status.getPath(), status.getModificationTime() - year, -1)
+    queries = bl.start_medallion(
+        bl.file_source(spark, f"{base}/landing"),
+        f"{base}/layers",
+        f"{base}/checkpoints",
+        trigger={"availableNow": True},
+    )
+    bl.drain(queries)
+    return bl.read_layer(spark, f"{base}/layers/silver").select("ID", "Block")
+
+
+def stream_bounded_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounded state with a moving watermark: records of silver and records that came too late."""
+    base = work_folder(spark, "late")
+    half = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.max("event_id")).head()[0] // 2
+    late, odd = F.col("event_id") <= half, F.col("event_id") % 2 == 1
+    # Spark drops what is behind the watermark of the batch before last.
+    for number, chosen in enumerate((~late & odd, ~late & ~odd, late)):
+        file = arrivals(spark, sf_dir, chosen, f"file {number}").coalesce(1)
+        file.write.mode("append").text(f"{base}/landing")
+    queries = bl.start_medallion(
+        bl.file_source(spark, f"{base}/landing", max_files_per_trigger=1),
+        f"{base}/layers",
+        f"{base}/checkpoints",
+        trigger={"availableNow": True},
+        delay="2 days",
+    )
+    bl.drain(queries)
+    silver = bl.read_layer(spark, f"{base}/layers/silver")
+    return silver.agg(
+        F.count(F.lit(1)).alias("silver_rows"),
+        F.lit(bl.late_records(queries[1])).cast("bigint").alias("late_rows"),
+    )
+
+
+def silver_differing_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch deduplication of copies that differ: the smallest in column order stays."""
+    both = arrivals(spark, sf_dir, F.lit(True), "file 1").unionByName(
+        arrivals(spark, sf_dir, F.col("event_id") % 3 != 2, "file 0")
+    )
+    return bl.to_silver(bl.parse_payload(as_envelope(both)))
+
+
+def absent_layer_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dashboard report before there is a layer, and after its records have come."""
+    path = work_folder(spark, "absent")
+
+    def report(state: str) -> DataFrame:
+        layer = bl.read_layer(spark, path, on_missing="empty", schema=GOLD_SCHEMA)
+        return bl.dashboard_report(layer).select(F.lit(state).alias("state"), "*")
+
+    before = bl.materialize(report("before"), "absent")
+    gold_of_feed(spark, sf_dir).write.parquet(path)
+    return before.unionByName(report("after"))
+
+
+def refreshed_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a layer, and after records were appended to it."""
+    path = work_folder(spark, "refreshed")
+    records = gold_of_feed(spark, sf_dir)
+    records.write.parquet(path)
+    before = bl.materialize(bl.row_count(bl.read_layer(spark, path)), "refreshed")
+    records.write.mode("append").parquet(path)
+    after = bl.row_count(bl.read_layer(spark, path))
+    return before.select(F.lit("before").alias("state"), "*").unionByName(
+        after.select(F.lit("after").alias("state"), "*")
+    )
+
+
 # --- features and split ------------------------------------------------------
 
 
@@ -245,11 +367,102 @@ def importances_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bl.importances(models["GBTClassifier"], by="source")
 
 
+def _planted(spark: SparkSession, sf_dir: str, names: list[str]):
+    """The classifiers on a label that is a rule of the hour, which a tree can learn exactly."""
+    derived = features(spark, sf_dir).withColumn("label", (F.col("Hour") >= 18).cast("int"))
+    train, test = bl.split_by_hash(bl.materialize(derived, "planted"))
+    runs, models = bl.train_all(train, test, names, parallelism=2)
+    return runs, models, test
+
+
+def planted_tree_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs, _, _ = _planted(spark, sf_dir, ["DecisionTree", "GBTClassifier"])
+    path = work_folder(spark, "planted-runs")
+    bl.append_runs(runs, path)
+    return bl.metrics_long(bl.read_layer(spark, path))
+
+
+def planted_tree_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, models, test = _planted(spark, sf_dir, ["DecisionTree"])
+    return bl.confusion(models["DecisionTree"].transform(test))
+
+
+def planted_gbt_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, models, test = _planted(spark, sf_dir, ["GBTClassifier"])
+    return bl.confusion(models["GBTClassifier"].transform(test))
+
+
+def planted_tree_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance per slot: all of it on the hour."""
+    _, models, _ = _planted(spark, sf_dir, ["DecisionTree"])
+    return bl.importances(models["DecisionTree"]).select("slot", "importance")
+
+
+def planted_tree_importances_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, models, _ = _planted(spark, sf_dir, ["DecisionTree"])
+    return bl.importances(models["DecisionTree"], by="source")
+
+
+def classifier_measure_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test rows, and by how much our measures of LogisticRegression and RandomForest differ from
+    those of Spark's evaluators, to nine digits."""
+    names = ["LogisticRegression", "RandomForest"]
+    runs, models, test = _trained(spark, sf_dir, names)
+    count = test.count()
+    rows = []
+    for run in runs.collect():
+        predictions = models[run["classifier"]].transform(test).persist()
+        stock = {
+            name: MulticlassClassificationEvaluator(metricName=name).evaluate(predictions)
+            for name in ("accuracy", "f1")
+        }
+        stock["auc"] = BinaryClassificationEvaluator(
+            rawPredictionCol="probability", numBins=0
+        ).evaluate(predictions)
+        predictions.unpersist()
+        rows += [
+            (run["classifier"], name, count, round(abs(run[name] - value), 9))
+            for name, value in stock.items()
+        ]
+    return spark.createDataFrame(
+        rows, "classifier string, metric string, rows bigint, difference double"
+    )
+
+
+def auc_one_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null: one class has no ranking."""
+    return bl.auc(event_scores(spark, sf_dir).where("label = 1"), "score")
+
+
+def gaps_in_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All measures where labels and predictions have gaps and a third class occurs."""
+    rows = label_predictions(spark, sf_dir)
+    gaps = rows.select(
+        F.when(F.col("label") == 0, None).otherwise(F.col("label")).alias("label"), "prediction"
+    )
+    more = rows.select(F.lit(2).alias("label"), F.col("prediction"))
+    none = rows.select("label", F.lit(None).cast("int").alias("prediction"))
+    dirty = gaps.unionByName(more).unionByName(none)
+    cells = bl.confusion(dirty).select(
+        F.concat_ws("/", "label", "prediction").alias("item"), F.col("count").cast("double").alias("value")
+    )
+    accuracy = bl.accuracy(dirty).select(F.lit("accuracy").alias("item"), F.col("accuracy").alias("value"))
+    return cells.unionByName(accuracy)
+
+
 def naive_bayes_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, models, test = _trained(spark, sf_dir, ["NaiveBayes"])
     return bl.confusion(models["NaiveBayes"].transform(test))
 
 
+def saved_model_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The planted rule as a saved and reloaded tree predicts it."""
+    _, models, test = _planted(spark, sf_dir, ["DecisionTree"])
+    path = work_folder(spark, "model")
+    bl.save_model(models["DecisionTree"], path)
+    return bl.confusion(PipelineModel.load(path).transform(test))
+
+
 def saved_model_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test rows and how many of them a saved and reloaded model predicts differently."""
     _, models, test = _trained(spark, sf_dir, ["DecisionTree"])
@@ -274,6 +487,15 @@ QUERIES: dict[str, Query] = {
     "stream_silver": stream_silver,
     "stream_gold": stream_gold,
     "stream_silver_bounded": stream_silver_bounded,
+    "history_then_stream": history_then_stream,
+    "history_then_stream_gold": history_then_stream_gold,
+    "history_then_stream_bronze": history_then_stream_bronze,
+    "compacted_silver": compacted_silver,
+    "stream_old_files": stream_old_files,
+    "stream_bounded_late": stream_bounded_late,
+    "silver_differing_copies": silver_differing_copies,
+    "absent_layer_report": absent_layer_report,
+    "refreshed_layer": refreshed_layer,
     "features": features_shown,
     "day_names": day_names,
     "weekend_labels": weekend_labels,
@@ -308,6 +530,15 @@ QUERIES: dict[str, Query] = {
     "model_metrics": model_metrics,
     "importances": importances_by_slot,
     "importances_by_source": importances_by_source,
+    "auc_one_class": auc_one_class,
+    "gaps_in_predictions": gaps_in_predictions,
+    "planted_tree_metrics": planted_tree_metrics,
+    "planted_tree_confusion": planted_tree_confusion,
+    "planted_gbt_confusion": planted_gbt_confusion,
+    "planted_tree_importances": planted_tree_importances,
+    "planted_tree_importances_by_source": planted_tree_importances_by_source,
+    "classifier_measure_differences": classifier_measure_differences,
     "naive_bayes_confusion": naive_bayes_confusion,
+    "saved_model_confusion": saved_model_confusion,
     "saved_model_agreement": saved_model_agreement,
 }
