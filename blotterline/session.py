@@ -19,6 +19,10 @@ RECOMMENDED_CONF = {
 }
 
 
+# The subfolder of the running ``own_work`` block.
+_OWN_WORK = "blotterline.work.own"
+
+
 def build_session(app_name: str, **conf: str) -> SparkSession:
     """A session with the recommended settings; ``conf`` adds to or overrides them.
 
@@ -42,7 +46,31 @@ def work_folder(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="blotterline-"))
         root = context.getCheckpointDir()
-    return f"{root.rstrip('/')}/blotterline/{label}-{uuid.uuid4().hex}"
+    own = spark.conf.get(_OWN_WORK, None)
+    folder = f"{root.rstrip('/')}/blotterline" + (f"/{own}" if own else "")
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file with the file system's own client, if it is there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def own_work(spark: SparkSession) -> Iterator[None]:
+    """Keep the intermediates of a block together and delete them when it ends.
+
+    For jobs whose results are written elsewhere by then: a frame that still reads its
+    intermediates cannot be used after the block.
+    """
+    spark.conf.set(_OWN_WORK, uuid.uuid4().hex)
+    folder = work_folder(spark, "x").rpartition("/")[0]
+    try:
+        yield
+    finally:
+        spark.conf.unset(_OWN_WORK)
+        delete(spark, folder)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -16,6 +16,8 @@ import uuid
 from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
 
+from blotterline.session import delete
+
 ENTRIES = "_batches"
 COMPACTED = "compacted"
 
@@ -32,12 +34,6 @@ def _names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    """Delete a folder or file with the file system's own client, if it is there."""
-    fs, where = _folder(spark, path)
-    fs.delete(where, True)
-
-
 def _commit(spark: SparkSession, path: str, batch: str, data: str, replaced: list[str]) -> None:
     """Create the entry under another name and rename it: it is there whole or not at all."""
     fs, entries = _folder(spark, f"{path}/{ENTRIES}")

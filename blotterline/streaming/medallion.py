@@ -15,8 +15,8 @@ from blotterline.operators.layers import (
     to_gold,
     to_silver,
 )
-from blotterline.session import conf_defaults
-from blotterline.sinks.batches import committed, delete, foreign
+from blotterline.session import conf_defaults, delete
+from blotterline.sinks.batches import committed, foreign
 from blotterline.sinks.tables import replace_batch
 
 # The deduplication keeps every ID. RocksDB holds that state on disk instead of in the

@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 
 import blotterline as bl
 from blotterline.schema import GOLD_SCHEMA
+from blotterline.session import own_work
 
 
 def publish(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -68,9 +69,10 @@ def compact(spark: SparkSession, args: argparse.Namespace) -> None:
 def train(spark: SparkSession, args: argparse.Namespace) -> None:
     """Train and compare the classifiers on gold, recording the results below BASE."""
     gold = bl.read_layer(spark, f"{args.base}/gold", args.format)
-    runs = bl.train_and_record(
-        gold, args.base, args.format, args.parallelism, args.max_roc_points
-    )
+    with own_work(spark):
+        runs = bl.train_and_record(
+            gold, args.base, args.format, args.parallelism, args.max_roc_points
+        )
     print(runs.orderBy("auc").toPandas().to_string(index=False))
 
 
