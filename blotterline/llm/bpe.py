@@ -31,8 +31,8 @@ from blotterline.llm.common import bound_batches, small_frames
 NONE = np.int64(1) << 62
 SIDE_BY_SIDE = 64  # longest word, in bytes, of the array form
 AT_ONCE = 32_768  # words per array
-MOST_UNITS = 200_000  # units of text whose ids a worker remembers
-MOST_WORDS = 300_000  # words whose ids a worker remembers
+MOST_UNITS = 500_000  # units of text whose ids a worker remembers
+MOST_WORDS = 600_000  # words whose ids a worker remembers
 GROUP = 150_000  # units that are looked up at once
 LONGEST = 1_000_000  # characters of a text that are cut into units at once
 BLANK_RUN = regex.compile(r" \s")
@@ -67,19 +67,19 @@ class PairRanks:
         return np.where(self.keys[at] == key, self.order[at], NONE)
 
 
-def merge_rows(symbols: np.ndarray, lengths: np.ndarray, pairs: PairRanks) -> np.ndarray:
+def merge_rows(
+    symbols: np.ndarray, ranks: np.ndarray, lengths: np.ndarray, pairs: PairRanks
+) -> np.ndarray:
     """Merge each row of ``symbols`` (its first ``lengths`` count) in place; gone symbols are -1.
 
-    The number of columns is a power of two.
+    The number of columns is a power of two. ``ranks`` has the rank of each symbol with the next.
     """
     rows, width = symbols.shape
     places = np.arange(width)
     following = np.where(places + 1 < lengths[:, None], places + 1, width)
     before = np.tile(places - 1, (rows, 1))
     tree = np.full((rows, 2 * width), NONE, np.int64)
-    ranks = pairs.of(symbols[:, :-1], symbols[:, 1:])
-    there = (places[1:] < lengths[:, None]) & (ranks < NONE)
-    tree[:, width : 2 * width - 1] = np.where(there, ranks * width + places[:-1], NONE)
+    tree[:, width:] = np.where(ranks < NONE, ranks * width + places, NONE)
     level = width // 2
     while level:
         below = tree[:, 2 * level : 4 * level]
@@ -182,6 +182,9 @@ class Codec:
         letters = byte_letters()
         self.inner = np.array([vocab[x] for x in letters], np.int64)
         self.final = np.array([vocab[x + suffix] for x in letters], np.int64)
+        # Ranks of pairs of bytes, inside a word and at its end.
+        self.inner_ranks = self.pairs.of(self.inner[:, None], self.inner[None, :])
+        self.final_ranks = self.pairs.of(self.inner[:, None], self.final[None, :])
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens") or ()}
         tokens = {**vocab, **self.special}
         self.pieces: list[bytes] = [b""] * (1 + max(tokens.values()))
@@ -255,15 +258,21 @@ class Codec:
 
     def _words_of(self, units: list[str]) -> list[list[str]]:
         """The words of each unit."""
+        if not units:
+            return []
         if not self._familiar("".join(units)):
             return [self._words(unit) for unit in units]
+        find = self.pattern.findall
+        if self.blank_leads and self.steps:
+            return list(map(find, map(self._normal, units)))
         if self.blank_leads:
-            return list(map(self.pattern.findall, map(self._normal, units) if self.steps else units))
+            # A blank and letters are one word, as the pattern would find.
+            return [[u] if u[1:].isalpha() and (u[0] == " " or u[0].isalpha()) else find(u) for u in units]
         # These units hold no blank, and white space is in no word: all are normalized at once.
         text = " ".join(units)
         for step in self.steps:
             text = text if step == "Replace" else self._step(step, text)
-        return list(map(self.pattern.findall, text.split(" ")))
+        return [[u] if u.isalpha() else find(u) for u in text.split(" ")]
 
     def _library_words(self, text: str) -> list[str]:
         """Words as the tokenizer's own library cuts them."""
@@ -342,9 +351,15 @@ class Codec:
         ids = self.inner[body]
         ends = np.cumsum(sizes) - 1
         ids[ends] = self.final[body[ends]]
+        following = self.inner_ranks[body, np.append(body[1:], 0)]
+        following[ends - 1] = self.final_ranks[body[ends - 1], body[ends]]
+        following[ends] = NONE
+        inside = np.arange(width) < sizes[:, None]
         symbols = np.full((len(encoded), width), -1, np.int64)
-        symbols[np.arange(width) < sizes[:, None]] = ids
-        merge_rows(symbols, sizes, self.pairs)
+        symbols[inside] = ids
+        ranks = np.full((len(encoded), width), NONE, np.int64)
+        ranks[inside] = following
+        merge_rows(symbols, ranks, sizes, self.pairs)
         kept = symbols >= 0
         packed = symbols[kept].astype("<u4").tobytes()
         stops = (4 * np.cumsum(kept.sum(axis=1))).tolist()
