@@ -13,8 +13,10 @@ step; longer ones one by one, in time proportional to n * log(n).
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 from itertools import chain
@@ -35,7 +37,7 @@ MOST_UNITS = 500_000  # units of text whose ids a worker remembers
 MOST_WORDS = 600_000  # words whose ids a worker remembers
 GROUP = 150_000  # units that are looked up at once
 LONGEST = 1_000_000  # characters of a text that are cut into units at once
-BLANK_RUN = regex.compile(r" \s")
+BLANK_RUN = re.compile(r" \s")
 WHITE = regex.compile(r"\s+")
 SAFE_CUT = regex.compile(r"[^\s](?= [^\s])")
 
@@ -266,13 +268,20 @@ class Codec:
         if self.blank_leads and self.steps:
             return list(map(find, map(self._normal, units)))
         if self.blank_leads:
-            # A blank and letters are one word, as the pattern would find.
-            return [[u] if u[1:].isalpha() and (u[0] == " " or u[0].isalpha()) else find(u) for u in units]
+            # A blank and letters are one word; a comma or full stop after them is another.
+            return [
+                (u,)
+                if u[1:].isalpha() and (u[0] == " " or u[0].isalpha())
+                else (u[:-1], u[-1])
+                if u[1:-1].isalpha() and u[-1] in ",." and (u[0] == " " or u[0].isalpha())
+                else find(u)
+                for u in units
+            ]
         # These units hold no blank, and white space is in no word: all are normalized at once.
         text = " ".join(units)
         for step in self.steps:
             text = text if step == "Replace" else self._step(step, text)
-        return [[u] if u.isalpha() else find(u) for u in text.split(" ")]
+        return [(u,) if u.isalpha() else find(u) for u in text.split(" ")]
 
     def _library_words(self, text: str) -> list[str]:
         """Words as the tokenizer's own library cuts them."""
@@ -326,8 +335,11 @@ class Codec:
             self.word_ids = {}
         ids = self.word_ids
         ids.update(self._encode_words(words.difference(ids)))
-        for unit, words in zip(new, words_of, strict=True):
-            self.ids[unit] = ids[words[0]] if len(words) == 1 else b"".join(map(ids.__getitem__, words))
+        known = ids.__getitem__
+        self.ids.update(
+            (unit, known(words[0]) if len(words) == 1 else b"".join(map(known, words)))
+            for unit, words in zip(new, words_of, strict=True)
+        )
 
     def _encode_words(self, words: set[str]) -> dict[str, bytes]:
         found: dict[str, bytes] = {}
@@ -367,6 +379,15 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
+        collecting = gc.isenabled()
+        gc.disable()  # nothing here is cyclic, and each collection would walk all remembered units
+        try:
+            return self._encode(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         result = []
         for group in _groups(texts, self._slices):
             units = (x for x in chain.from_iterable(group) if not isinstance(x, int))
