@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from blotterline.session import materialize
+from blotterline.session import materialize, work_folder
 
 __all__ = [
     "blocks_for",
@@ -22,6 +22,7 @@ __all__ = [
     "parallelism",
     "read_table",
     "small_frames",
+    "stored_texts",
 ]
 
 
@@ -29,6 +30,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stored_texts(df: DataFrame, label: str) -> DataFrame:
+    """As ``materialize`` for frames that hold texts: compressed more, for less disk."""
+    path = work_folder(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def bound_batches(spark: SparkSession) -> None:
     """Let an Arrow batch hold 16 MB (or one row), unless the session has its own bound.
 

@@ -7,14 +7,17 @@ markup itself names as boilerplate (menus, footers, forms, adverts, comments) go
 what it names as the article stays even if another page has it: the same article may be
 published twice.
 
-One range shuffle by host and URL puts neighbours next to each other, a host with a third of all
+Pages are cut into lines and packed before they are shuffled, which halves what is shuffled; Spark
+cuts them twice, as it samples the keys first. One range shuffle by host and URL puts neighbours next to each other, a host with a third of all
 pages over many ranges. A task compares pages as they come; only the first and last page of a
 range wait for the pages of the ranges beside it, two per range.
 """
 
 from __future__ import annotations
 
+import json
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from html import unescape
@@ -24,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from blotterline.llm.common import bound_batches, by_global_order, materialize
+from blotterline.llm.common import bound_batches, by_global_order, stored_texts
 
 # Names of HTML elements and attribute words.
 HIDDEN = frozenset({"script", "style", "head", "title", "template", "noscript", "svg", "iframe", "object", "select", "textarea"})
@@ -137,6 +140,14 @@ def page_lines(html: str) -> list[tuple[int, str]]:
     return lines
 
 
+def packed(lines: list[tuple[int, str]]) -> bytes:
+    return zlib.compress(json.dumps(lines, ensure_ascii=False).encode("utf-8", "surrogatepass"))
+
+
+def unpacked(body: bytes) -> list[tuple[int, str]]:
+    return [(kind, text) for kind, text in json.loads(zlib.decompress(body).decode("utf-8", "surrogatepass"))]
+
+
 def common_lines(a: list[str], b: list[str]) -> set[int]:
     """Places in ``a`` of a longest common subsequence of two pages' lines.
 
@@ -219,14 +230,21 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     host = F.regexp_extract(address, r"^(?:\w+:)?(?://)?([^/?#]*)", 1)
     path = F.regexp_replace(address, r"^(?:\w+:)?(?://)?[^/?#]*", "")
     kind = pages.schema[page_id].dataType.simpleString()
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            lines = [page_lines(source or "") for source in frame.pop("html")]
+            yield frame.assign(packed=[packed(own) for own in lines])
+
+    chosen = pages.select(
+        host.alias("host"),
+        path.alias("path"),
+        F.col(page_id).alias("page_id"),
+        F.col(url).cast("string").alias("url"),
+        F.col(html).cast("string").alias("html"),
+    )
     ordered = by_global_order(
-        pages.select(
-            host.alias("host"),
-            path.alias("path"),
-            F.col(page_id).alias("page_id"),
-            F.col(url).cast("string").alias("url"),
-            F.col(html).cast("string").alias("html"),
-        ),
+        chosen.mapInPandas(cut, f"host string, path string, page_id {kind}, url string, packed binary"),
         "host",
         "path",
         "page_id",
@@ -250,7 +268,7 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
             rows = []
             for part, page_key, address, own_host, source in frame.itertuples(index=False):
                 place = 0 if last is None else last.key[1] + 1
-                page = Page((part, place, page_key, address, own_host), page_lines(source or ""))
+                page = Page((part, place, page_key, address, own_host), unpacked(source))
                 if place == 1:
                     rows.append(edge(last, True))
                 elif place > 1:
@@ -269,8 +287,8 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
         f"part int, place int, open boolean, page_id {kind}, url string, host string, text string, "
         "kinds array<int>, lines array<string>"
     )
-    source = ordered.select("part", "page_id", "url", "host", "html")
-    stored = materialize(source.mapInPandas(run, schema), "pages")
+    source = ordered.select("part", "page_id", "url", "host", "packed")
+    stored = stored_texts(source.mapInPandas(run, schema), "pages")
     # At most four rows per range; only their places go through the window.
     edges = stored.where(F.col("part").isNotNull())
     order = F.row_number().over(Window.orderBy("part", "place"))
