@@ -133,7 +133,8 @@ def fit_filters(
         F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")
     )
     chosen = bounded_sample(labelled, SAMPLE_PER_LANGUAGE, "lang")
-    sample = labelled.join(chosen, ["doc_id", "lang"], "left_semi")
+    # SAMPLE_PER_LANGUAGE ids of each language: a bounded broadcast spares a shuffle of all texts.
+    sample = labelled.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in small_frames(frames, "text", FRAME_CHARS):
