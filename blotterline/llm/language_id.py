@@ -34,6 +34,12 @@ NGRAMS_PER_LANGUAGE = 20_000
 #: is most frequent.
 TYPICAL = 0.25
 HASHES = 3
+#: A text is in a known language if its own language holds at least this part of the share of
+#: n-grams that all but ``UNUSUAL`` of the held-out texts reach, and leads the second language by
+#: this part of their lead. Texts of fewer than ``FEW_NGRAMS`` can tie by chance.
+LEAST_SHARE, LEAST_LEAD = 0.5, 0.1
+UNUSUAL = 0.01
+FEW_NGRAMS = 20
 FRAME_CHARS = 500_000
 UNKNOWN = "und"
 
@@ -97,6 +103,15 @@ class LanguageFilters:
         return found
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        names, score, _ = self._judge(texts)
+        return names, score
+
+    def evidence(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each text: the share of its n-grams that the best language holds, its lead over the
+        share of the second, and the number of n-grams. The number of languages does not matter."""
+        return self._judge(texts)[2]
+
+    def _judge(self, texts: list[str | None]):
         hashes, counts, letters = ngram_hashes([t or "" for t in texts])
         found = self.masks(hashes)
         held = np.stack(
@@ -108,7 +123,8 @@ class LanguageFilters:
             axis=1,
         )
         if not self.languages:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts))
+            nothing = np.zeros(len(texts))
+            return [UNKNOWN] * len(texts), nothing, (nothing, nothing, counts)
         true = (held - counts[:, None] * self.false_rate) / (1 - self.false_rate)
         true = np.maximum(true, 0)
         best, total = true.argmax(axis=1), true.sum(axis=1)
@@ -117,7 +133,9 @@ class LanguageFilters:
             UNKNOWN if not letters[i] else self.languages[best[i]] if total[i] > 0 else self.usual
             for i in range(len(texts))
         ]
-        return names, np.where(letters > 0, score, 0.0)
+        shares = np.sort(true, axis=1) / np.maximum(counts, 1)[:, None]
+        lead = shares[:, -1] - shares[:, -2] if shares.shape[1] > 1 else shares[:, -1]
+        return names, np.where(letters > 0, score, 0.0), (shares[:, -1], lead, counts)
 
 
 def fit_filters(
@@ -190,6 +208,54 @@ def with_language(docs: DataFrame, filters: LanguageFilters, text: str = "text")
     return docs.mapInPandas(run, schema)
 
 
+def fit_bounds(
+    labelled: DataFrame, filters: LanguageFilters, text: str = "text", lang: str = "lang", doc_id: str = "doc_id"
+) -> tuple[float, float]:
+    """Least share and least lead of a text in a known language, from rows ``filters`` never saw.
+
+    Judged on at most ``SAMPLE_PER_LANGUAGE`` texts of each language with enough n-grams; the
+    language with the lowest shares or leads sets the bound. No rows give bounds of 0.
+    """
+    bound_batches(labelled.sparkSession)
+    rows = labelled.where(F.col(lang).isNotNull()).select(
+        F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")
+    )
+    chosen = bounded_sample(rows, SAMPLE_PER_LANGUAGE, "lang")
+    sample = rows.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
+    shared = labelled.sparkSession.sparkContext.broadcast(filters)
+
+    def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in small_frames(frames, "text", FRAME_CHARS):
+            share, lead, counts = shared.value.evidence(frame["text"].fillna("").tolist())
+            found = pd.DataFrame({"lang": frame["lang"], "share": share, "lead": lead})
+            yield found[counts >= FEW_NGRAMS]
+
+    judged = sample.mapInPandas(judge, "lang string, share double, lead double")
+    usual = judged.groupBy("lang").agg(
+        F.percentile("share", F.lit(UNUSUAL)).alias("share"), F.percentile("lead", F.lit(UNUSUAL)).alias("lead")
+    )
+    share, lead = usual.agg(F.min("share"), F.min("lead")).first()
+    return LEAST_SHARE * (share or 0.0), LEAST_LEAD * (lead or 0.0)
+
+
+def in_known_language(
+    docs: DataFrame, filters: LanguageFilters, bounds: tuple[float, float], text: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` whose text has a letter and reaches ``bounds`` (share, lead). No shuffle."""
+    bound_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(filters)
+    least_share, least_lead = bounds
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in small_frames(frames, text, FRAME_CHARS):
+            texts = [x if isinstance(x, str) else None for x in frame[text]]
+            names, _, (share, lead, counts) = shared.value._judge(texts)
+            known = (share >= least_share) & ((lead >= least_lead) | (counts < FEW_NGRAMS))
+            yield frame[known & (np.array(names, object) != UNKNOWN)]
+
+    return docs.mapInPandas(run, docs.schema)
+
+
 def held_out(doc_id: str = "doc_id"):
     """Rows that language filters of the registered query never learn from."""
     return crc32_of(F.col(doc_id)) % 4 == 2
