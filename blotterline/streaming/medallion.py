@@ -6,7 +6,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from blotterline.operators.layers import (
     is_complete,
@@ -31,6 +31,46 @@ STATE_CONF = {
 QUERY_ID = "sql.streaming.queryId"
 # The writer name of batch backfills.
 BACKFILL = "backfill"
+# Where the drops of each query of this process are stored, by query id.
+_LATE: dict[str, str] = {}
+
+
+class _LateRecords(StreamingQueryListener):
+    """Stores how many records a batch dropped behind the watermark, by query and batch."""
+
+    def __init__(self, session: SparkSession):
+        self.session = session
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        path, dropped = _LATE.get(str(progress.id)), _dropped(progress)
+        if path and dropped:
+            rows = self.session.range(1).select(F.lit(dropped).cast("long").alias("dropped"))
+            rows.write.mode("overwrite").parquet(f"{path}/query={progress.id}/batch={progress.batchId}")
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+_LISTENERS: dict[SparkSession, _LateRecords] = {}
+
+
+def _store_late_records(spark: SparkSession) -> None:
+    """Listen once per session."""
+    if spark not in _LISTENERS:
+        listener = _LateRecords(spark)
+        spark.streams.addListener(listener)
+        _LISTENERS[spark] = listener
+
+
+def _dropped(progress) -> int:
+    return sum(state.numRowsDroppedByWatermark for state in progress.stateOperators)
 
 
 def start_medallion(
@@ -80,6 +120,7 @@ def start_medallion(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # Named after the query as well: batches of a new checkpoint are new batches.
         writer = _query_of(batch)
+        _LATE[writer] = f"{checkpoint}/late"
         if fmt == "parquet":
             silver = replace_batch(batch, f"{base}/silver", fmt, writer, batch_id)
         else:
@@ -100,9 +141,11 @@ def start_medallion(
         F.count_if(~is_complete()).alias("incomplete"),
     )
     writer = _writer(to_silver(parsed, delay), f"{checkpoint}/refined", trigger)
+    _store_late_records(spark)
     try:
         with conf_defaults(source.sparkSession, STATE_CONF):
             refined = writer.foreachBatch(write_batch).start()
+            _LATE[str(refined.id)] = f"{checkpoint}/late"
     except Exception:
         bronze.stop()
         raise
@@ -129,12 +172,26 @@ def _refuse_strangers(spark: SparkSession, path: str) -> None:
 
 
 def late_records(query: StreamingQuery) -> int:
-    """Records that the query dropped behind its watermark, as far as its progress reports go."""
-    return sum(
-        state.numRowsDroppedByWatermark
-        for progress in query.recentProgress
-        for state in progress.stateOperators
-    )
+    """Records that the query dropped behind its watermark since its first start.
+
+    Spark keeps the last reports of the present run only. Each batch's drops are stored beside the
+    checkpoint as its report comes in; reports that are not stored yet are taken from the query.
+    A batch whose report is lost with the driver is missing.
+    """
+    path = _LATE.get(str(query.id))
+    if path:
+        spark = SparkSession.active()
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/query={query.id}")
+        if folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(folder):
+            stored = spark.read.schema("dropped long, batch long").parquet(f"{path}/query={query.id}")
+            total = stored.groupBy("batch").agg(F.sum("dropped").alias("dropped"))
+            reports = {p.batchId: _dropped(p) for p in query.recentProgress if _dropped(p)}
+            rest = total.where(~F.col("batch").isin(list(reports))) if reports else total
+            return (rest.agg(F.sum("dropped")).first()[0] or 0) + sum(reports.values())
+    counts: dict[int, int] = {}
+    for progress in query.recentProgress:
+        counts[progress.batchId] = max(counts.get(progress.batchId, 0), _dropped(progress))
+    return sum(counts.values())
 
 
 def _writer(stream: DataFrame, checkpoint: str, trigger: dict[str, Any] | None):
