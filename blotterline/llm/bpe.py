@@ -28,7 +28,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotterline.llm.common import bound_batches, small_frames
+from blotterline.llm.common import bound_batches, map_frames, small_frames
 
 NONE = np.int64(1) << 62
 SIDE_BY_SIDE = 64  # longest word, in bytes, of the array form
@@ -470,7 +470,7 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
             yield pd.DataFrame({"doc_id": frame["doc_id"], "ids": codec.encode(texts)})
 
     chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return chosen.mapInPandas(run, f"doc_id {kind}, ids binary")
+    return map_frames(chosen, run, f"doc_id {kind}, ids binary")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -488,7 +488,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
                 part.loc[there, "text"] = codec.decode(part.loc[there, "ids"].tolist())
                 yield part
 
-    return encoded.select("doc_id", "ids").mapInPandas(run, f"doc_id {kind}, ids binary, text string")
+    return map_frames(encoded.select("doc_id", "ids"), run, f"doc_id {kind}, ids binary, text string")
 
 
 def round_trip(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -503,7 +503,7 @@ def round_trip(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "
             yield pd.DataFrame({"doc_id": frame["doc_id"], "ids": ids, "text": codec.decode(ids)})
 
     chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return chosen.mapInPandas(run, f"doc_id {kind}, ids binary, text string")
+    return map_frames(chosen, run, f"doc_id {kind}, ids binary, text string")
 
 
 def code_digests(docs: DataFrame, path: str) -> DataFrame:

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from blotterline.session import materialize, work_folder
@@ -17,6 +20,7 @@ __all__ = [
     "bound_batches",
     "by_global_order",
     "crc32_of",
+    "map_frames",
     "materialize",
     "numbered_rows",
     "parallelism",
@@ -115,3 +119,45 @@ def small_frames(
         piece = frame[text].fillna("").str.len().cumsum() // most_chars
         for _, part in frame.groupby(piece, sort=True):
             yield part.reset_index(drop=True)
+
+
+def _exact(kind: pa.DataType) -> pd.ArrowDtype | None:
+    """Texts become plain pandas columns, all others stay Arrow arrays."""
+    return None if pa.types.is_string(kind) or pa.types.is_large_string(kind) else pd.ArrowDtype(kind)
+
+
+def map_frames(
+    df: DataFrame,
+    function: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],
+    schema: StructType | str,
+) -> DataFrame:
+    """As ``mapInPandas``, but whole numbers and nested values pass through as they are.
+
+    Plain pandas turns a whole number beside a null into a double, which is exact up to 2^53
+    only; here all columns but texts are Arrow arrays inside the frame.
+    """
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    wanted = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        target = wanted
+
+        def frames() -> Iterator[pd.DataFrame]:
+            nonlocal target
+            for batch in batches:
+                own = {field.name: field.type for field in batch.schema}
+                # Values that are only passed on keep the type they came with (time zones).
+                target = pa.schema([
+                    pa.field(f.name, own[f.name])
+                    if f.name in own and pa.types.is_temporal(f.type) and pa.types.is_temporal(own[f.name])
+                    else f
+                    for f in wanted
+                ])
+                yield batch.to_pandas(types_mapper=_exact)
+
+        for frame in function(frames()):
+            table = pa.Table.from_pandas(frame, schema=target, preserve_index=False)
+            yield from table.combine_chunks().to_batches()
+
+    return df.mapInArrow(run, schema)

@@ -29,6 +29,7 @@ from blotterline.llm.common import (
     bound_batches,
     by_global_order,
     crc32_of,
+    map_frames,
     materialize,
     numbered_rows,
 )
@@ -173,7 +174,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                 prints = [row.tobytes() for row in embed(part["text"].tolist())]
                 yield pd.DataFrame({"doc_id": part["doc_id"], "fingerprint": prints})
 
-    return _texts(docs, doc_id, text).mapInPandas(run, f"doc_id {kind}, fingerprint binary")
+    return map_frames(_texts(docs, doc_id, text), run, f"doc_id {kind}, fingerprint binary")
 
 
 def similar_documents(
@@ -299,7 +300,7 @@ def edited_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
         f"part int, open boolean, doc_id {kind}, n_chars long, sha string, own string, new string, "
         "near_edited double, near_next double, text string"
     )
-    stored = materialize(ordered.mapInPandas(run, schema), "edited")
+    stored = materialize(map_frames(ordered, run, schema), "edited")
     # Two documents per range; the ranges' numbers alone go through the window.
     edges = stored.where(F.col("part").isNotNull())
     parts = edges.where("open").select("part")
@@ -321,7 +322,8 @@ def edited_fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
                 yield made.drop(columns=["part", "open", "text"])
 
     done = ["doc_id", "n_chars", "sha", "own", "new", "near_edited", "near_next"]
-    finished = waiting.mapInPandas(
+    finished = map_frames(
+        waiting,
         finish,
         f"doc_id {kind}, n_chars long, sha string, own string, new string, near_edited double, near_next double",
     )

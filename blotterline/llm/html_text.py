@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from blotterline.llm.common import bound_batches, by_global_order, stored_texts
+from blotterline.llm.common import bound_batches, by_global_order, map_frames, stored_texts
 
 # Names of HTML elements and attribute words.
 HIDDEN = frozenset({"script", "style", "head", "title", "template", "noscript", "svg", "iframe", "object", "select", "textarea"})
@@ -244,7 +244,7 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
         F.col(html).cast("string").alias("html"),
     )
     ordered = by_global_order(
-        chosen.mapInPandas(cut, f"host string, path string, page_id {kind}, url string, packed binary"),
+        map_frames(chosen, cut, f"host string, path string, page_id {kind}, url string, packed binary"),
         "host",
         "path",
         "page_id",
@@ -288,7 +288,7 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
         "kinds array<int>, lines array<string>"
     )
     source = ordered.select("part", "page_id", "url", "host", "packed")
-    stored = stored_texts(source.mapInPandas(run, schema), "pages")
+    stored = stored_texts(map_frames(source, run, schema), "pages")
     # At most four rows per range; only their places go through the window.
     edges = stored.where(F.col("part").isNotNull())
     order = F.row_number().over(Window.orderBy("part", "place"))
@@ -313,10 +313,10 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
                 near = [
                     Page((other["host"],), list(zip(other["kinds"], other["lines"], strict=True)))
                     for other in (row["before"], row["after"])
-                    if other is not None and other["host"] == row["host"]
+                    if isinstance(other, dict) and other["host"] == row["host"]
                 ]
                 texts.append(main_text(own, near))
             yield pd.DataFrame({"page_id": frame["page_id"], "url": frame["url"], "text": texts})
 
-    finished = waiting.mapInPandas(finish, f"page_id {kind}, url string, text string")
+    finished = map_frames(waiting, finish, f"page_id {kind}, url string, text string")
     return stored.where(F.col("part").isNull()).select("page_id", "url", "text").unionByName(finished)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from blotterline.llm.common import bound_batches, crc32_of, small_frames
+from blotterline.llm.common import bound_batches, crc32_of, map_frames, small_frames
 from blotterline.llm.models import (
     LETTER,
     UPPER,
@@ -205,7 +205,7 @@ def with_language(docs: DataFrame, filters: LanguageFilters, text: str = "text")
             yield frame.assign(lang_pred=names, lang_score=score)
 
     schema = docs.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("lang_score")).schema
-    return docs.mapInPandas(run, schema)
+    return map_frames(docs, run, schema)
 
 
 def fit_bounds(
@@ -253,7 +253,7 @@ def in_known_language(
             known = (share >= least_share) & ((lead >= least_lead) | (counts < FEW_NGRAMS))
             yield frame[known & (np.array(names, object) != UNKNOWN)]
 
-    return docs.mapInPandas(run, docs.schema)
+    return map_frames(docs, run, docs.schema)
 
 
 def held_out(doc_id: str = "doc_id"):

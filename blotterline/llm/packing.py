@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from blotterline.llm.bpe import broadcast_tokenizer, codec_of
-from blotterline.llm.common import materialize, small_frames
+from blotterline.llm.common import map_frames, materialize, small_frames
 
 CAPACITY = 2048
 #: Pieces per block: bounds an island's memory; the waste of a block falls with its size.
@@ -74,9 +74,7 @@ def token_pieces(
             yield made
 
     chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return chosen.mapInPandas(
-        run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
-    )
+    return map_frames(chosen, run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 class OpenSequences:

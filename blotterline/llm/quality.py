@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blotterline.llm.common import bound_batches, materialize, small_frames
+from blotterline.llm.common import bound_batches, map_frames, materialize, small_frames
 from blotterline.llm.models import (
     DIGIT,
     LETTER,
@@ -107,7 +107,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame) -> QualityModel:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = (
-        sample.mapInPandas(run, f"doc_id {kind}, quality int, x array<double>")
+        map_frames(sample, run, f"doc_id {kind}, quality int, x array<double>")
         .dropDuplicates(["doc_id", "quality"])
         .toPandas()
     )
@@ -126,7 +126,7 @@ def with_evidence(docs: DataFrame, model: QualityModel) -> DataFrame:
             texts = frame["text"].fillna("").tolist()
             yield frame.assign(evidence=shared.value.evidence(texts))
 
-    return docs.mapInPandas(run, docs.select("*", F.lit(0.0).alias("evidence")).schema)
+    return map_frames(docs, run, docs.select("*", F.lit(0.0).alias("evidence")).schema)
 
 
 def host_of(site: Column) -> Column:
@@ -210,4 +210,5 @@ def judged(docs: DataFrame, model: QualityModel, site: str = "source") -> DataFr
 
 def good(docs: DataFrame, model: QualityModel, site: str = "source", least: float = 0.5) -> DataFrame:
     """The documents of good quality, with their own columns."""
-    return judged(docs, model, site).where(F.col("quality_score") >= least).select(*docs.columns)
+    whole = docs.select(F.struct("*").alias("row"), F.col("text"), F.col(site).alias("site"))
+    return judged(whole, model, "site").where(F.col("quality_score") >= least).select("row.*")

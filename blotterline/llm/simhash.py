@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_digest
 
-from blotterline.llm.common import bound_batches, materialize, numbered_rows, small_frames
+from blotterline.llm.common import bound_batches, map_frames, materialize, numbered_rows, small_frames
 from blotterline.llm.components import components, connect
 
 MOST_DIFFERENT = 4
@@ -71,7 +71,7 @@ def with_fingerprint(docs: DataFrame, text: str = "text") -> DataFrame:
             texts = frame[text].fillna("").tolist()
             yield frame.assign(fingerprint=[simhash(t) for t in texts])
 
-    return docs.mapInPandas(run, docs.select("*", F.lit(0).cast("long").alias("fingerprint")).schema)
+    return map_frames(docs, run, docs.select("*", F.lit(0).cast("long").alias("fingerprint")).schema)
 
 
 def gray_rank(code: Column) -> Column:
@@ -275,8 +275,8 @@ def one_of_each(docs: DataFrame, most: int = MOST_DIFFERENT) -> DataFrame:
         F.min(F.struct("doc_id", "_size", "_key")).alias("_one")
     )
     kept = kept.select("_one._key", "_one._size")
-    found = docs.select("*", *key).join(kept, ["_key", "_size"], "left_semi")
-    return found.dropDuplicates(["_key", "_size"]).select(*docs.columns)
+    found = docs.select(F.struct("*").alias("row"), *key).join(kept, ["_key", "_size"], "left_semi")
+    return found.dropDuplicates(["_key", "_size"]).select("row.*")
 
 
 def hex_digits(fingerprint: Column) -> Column:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from blotterline.llm.common import bound_batches, crc32_of, materialize, small_frames
+from blotterline.llm.common import bound_batches, crc32_of, map_frames, materialize, small_frames
 from blotterline.llm.models import bounded_sample, fit_logistic, logistic
 
 #: Labelled documents per class that the grammar is fitted on (chosen by a hash of doc_id).
@@ -276,7 +276,7 @@ def with_toxicity(docs: DataFrame, grammar: ToxicGrammar, text: str = "text") ->
         for frame in small_frames(frames, text, FRAME_CHARS):
             yield frame.assign(toxicity=shared.value.scores(frame[text].fillna("").tolist()))
 
-    return docs.mapInPandas(run, docs.select("*", F.lit(0.0).alias("toxicity")).schema)
+    return map_frames(docs, run, docs.select("*", F.lit(0.0).alias("toxicity")).schema)
 
 
 def held_out(doc_id: str = "doc_id"):

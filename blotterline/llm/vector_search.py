@@ -108,9 +108,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     vec_id. Rows with the query's vec_id are the query itself and not its candidates; only
     vectors of the same length are compared. A row that occurs more than once (same vec_id and
     vector) is a candidate as often as it occurs and a query once. Fewer than ``k`` candidates:
-    all. No queries or no candidates: no rows. A score that does not fit a long is an error.
+    all. No queries or no candidates: no rows. Rows whose vec_id is null take no part. A score that
+    does not fit a long is an error.
     """
     spark = vectors.sparkSession
+    vectors, queries = (df.where(F.col("vec_id").isNotNull()) for df in (vectors, queries))
     # Copies collapse before anything is shuffled, so a hot row is one row with a count.
     x = materialize(
         vectors.groupBy("vec_id", "vector").agg(F.count(F.lit(1)).alias("copies")), "vectors"
