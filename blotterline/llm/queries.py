@@ -15,6 +15,7 @@ from blotterline.llm.html_text import extract
 from blotterline.llm.language_id import identify
 from blotterline.llm.packing import pack_documents
 from blotterline.llm.quality import fit_quality, judged
+from blotterline.llm.quality_rules import fit_rules, judge
 from blotterline.llm.sharding import shard_rows
 from blotterline.llm.simhash import hex_digits, near_duplicates
 from blotterline.llm.toxicity import score_documents
@@ -80,6 +81,13 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = judge(docs.select("doc_id", "text"), fit_rules(docs, read_table(spark, sf_dir, "labels")))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return found.select("doc_id", *counts, "base_failed", "kept")
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_topk_search": op2_topk_search,
@@ -91,4 +99,5 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_quality": op9_quality,
     "op10_html": op10_html,
+    "op11_quality_rules": op11_quality_rules,
 }
