@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from blotterline.llm.bpe import broadcast_tokenizer, codec_of
+from blotterline.llm.byte_level import byte_level
 from blotterline.llm.common import map_frames, materialize, small_frames
 
 CAPACITY = 2048
@@ -38,6 +39,8 @@ ISLANDS, EPOCHS = 2, 2
 POPULATION, OFFSPRING = 4, 6
 WELL_FILLED = 0.995
 LEVELS = 2
+#: Islands share tasks beyond this number of them.
+MOST_TASKS = 20_000
 
 
 def token_pieces(
@@ -57,7 +60,7 @@ def token_pieces(
     end = end_id.to_bytes(4, "little")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codec = codec_of(spec)
+        codec = byte_level(spec.value) or codec_of(spec)
         for frame in small_frames(frames, "text", 2_000_000):
             rows = []
             encoded = codec.encode(frame["text"].fillna("").tolist())
@@ -188,8 +191,12 @@ def evolve(
     return sorted(population, key=lambda p: -fitness(p, lengths, capacity))
 
 
-def _epoch(states: DataFrame, capacity: int, number: int, seed: int) -> DataFrame:
-    """One epoch of every island: a map over rows."""
+def _epoch(states: DataFrame, tasks: int, capacity: int, number: int, seed: int) -> DataFrame:
+    """One epoch of every island: a map over rows, dealt evenly over ``tasks``.
+
+    The number is given, as adaptive execution goes by bytes and would put these few small rows
+    with much work each into one task.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -209,7 +216,8 @@ def _epoch(states: DataFrame, capacity: int, number: int, seed: int) -> DataFram
                 )
 
     schema = "block long, island int, lengths array<int>, population array<array<int>>, fit double"
-    return states.select("block", "island", "lengths", "population").mapInPandas(run, schema)
+    dealt = states.select("block", "island", "lengths", "population").repartition(tasks)
+    return dealt.mapInPandas(run, schema)
 
 
 def pack_blocks(pieces: DataFrame, capacity: int, seed: int) -> DataFrame:
@@ -225,9 +233,10 @@ def pack_blocks(pieces: DataFrame, capacity: int, seed: int) -> DataFrame:
         F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))).alias("island"),
         F.col("members.length").alias("lengths"),
         F.expr("CAST(array() AS array<array<int>>)").alias("population"),
-    ).repartition("block", "island")
+    )
+    tasks = max(1, min(MOST_TASKS, ISLANDS * blocks.count()))
     for number in range(EPOCHS):
-        states = materialize(_epoch(states, capacity, number, seed), "islands")
+        states = materialize(_epoch(states, tasks, capacity, number, seed), "islands")
         if number < EPOCHS - 1:
             # Each island also gets the best packing of the one before it in the ring.
             ring = Window.partitionBy("block").orderBy("island")
