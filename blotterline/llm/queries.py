@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from blotterline.llm.bpe import code_digests
 from blotterline.llm.common import read_table
+from blotterline.llm.conversation_repair import damaged, normal_rows, repair
 from blotterline.llm.edit_fingerprint import edited_fingerprints
 from blotterline.llm.html_text import extract
 from blotterline.llm.language_id import identify
@@ -88,6 +89,10 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, "base_failed", "kept")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(damaged(normal_rows(read_table(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_topk_search": op2_topk_search,
@@ -100,4 +105,5 @@ QUERIES: dict[str, Query] = {
     "op9_quality": op9_quality,
     "op10_html": op10_html,
     "op11_quality_rules": op11_quality_rules,
+    "op12_conversation_repair": op12_conversation_repair,
 }
