@@ -19,6 +19,7 @@ from blotterline.llm.quality import fit_quality, judged
 from blotterline.llm.quality_rules import fit_rules, judge
 from blotterline.llm.sharding import shard_rows
 from blotterline.llm.simhash import hex_digits, near_duplicates
+from blotterline.llm.token_alignment import alignments
 from blotterline.llm.toxicity import score_documents
 from blotterline.llm.vector_search import quantised, top_k
 
@@ -93,6 +94,11 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair(damaged(normal_rows(read_table(spark, sf_dir, "conversations"))))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, second = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignments(read_table(spark, sf_dir, "documents"), first, second)
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_topk_search": op2_topk_search,
@@ -106,4 +112,5 @@ QUERIES: dict[str, Query] = {
     "op10_html": op10_html,
     "op11_quality_rules": op11_quality_rules,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_token_alignment": op13_token_alignment,
 }

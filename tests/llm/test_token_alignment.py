@@ -1,0 +1,154 @@
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from blotterline.llm import token_alignment as ta
+from blotterline.llm.queries import QUERIES
+
+FIRST, SECOND = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+NAMES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+class Plain:
+    """Groups by the libraries, token by token."""
+
+    def __init__(self):
+        self.a = Tokenizer.from_file(FIRST)
+        self.a.encode_special_tokens = True
+        self.b = sentencepiece.SentencePieceProcessor(model_file=SECOND)
+        own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        rest = [b for b in range(256) if b not in own]
+        self.byte = {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+    def groups(self, text: str | None) -> list[tuple[list[int], list[int]]]:
+        if not text:
+            return []
+        a = self.a.encode(" " + text, add_special_tokens=False).ids
+        b = self.b.encode(text)
+        bytes_a = [bytes(self.byte[c] for c in self.a.id_to_token(i)) for i in a]
+        pieces = [self.b.id_to_piece(i) for i in b]
+        bytes_b = [
+            bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
+            for i, p in zip(b, pieces)
+        ]
+        body = (" " + text).encode()
+        if b"".join(bytes_a) != body or b"".join(bytes_b) != body:
+            return []
+        ends_a, ends_b = (np.cumsum([len(x) for x in side]).tolist() for side in (bytes_a, bytes_b))
+        found, i, j = [], 0, 0
+        for end in sorted(set(ends_a) & set(ends_b)):
+            k, m = ends_a.index(end, i) + 1, ends_b.index(end, j) + 1
+            found.append((a[i:k], b[j:m]))
+            i, j = k, m
+        return found
+
+
+def expected(texts: list[str | None]) -> tuple[list[tuple], Counter]:
+    plain = Plain()
+    grouped = [plain.groups(t) for t in texts]
+    linked = [Counter((x, y) for a, b in groups for x in a for y in b) for groups in grouped]
+    counts = Counter(pair for own in linked for pair in own)
+    best: dict[int, int] = defaultdict(int)
+    for (a, _), n in counts.items():
+        best[a] = max(best[a], n)
+    rows = []
+    for groups, own in zip(grouped, linked):
+        body = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
+        rows.append(
+            (
+                sum(len(a) for a, _ in groups),
+                sum(len(b) for _, b in groups),
+                len(groups),
+                sum(own.values()),
+                sum(n for pair, n in own.items() if counts[pair] == best[pair[0]]),
+                sum(n * counts[pair] for pair, n in own.items()),
+                hashlib.sha256(body.encode()).hexdigest() if groups else "",
+            )
+        )
+    return rows, counts
+
+
+def corpus() -> list[str | None]:
+    draw = random.Random(1)
+    texts = [None, "", " ", "a", "▁ x", "<|endoftext|> <s>", "a\x00b", "中文 🙂 é", "\n\n \t x  y ", "ab" * 3000]
+    texts += ["".join(draw.choices("abc é\n.中0 ", k=draw.randrange(200))) for _ in range(120)]
+    texts += ["the same text, " * 20] * 30 + ["the other text. " * 7] * 5
+    return texts
+
+
+def got(df) -> list[tuple]:
+    return [(r["doc_id"], *(r[n] for n in NAMES)) for r in sorted(df.collect(), key=lambda r: r["doc_id"])]
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_equals_the_libraries_token_by_token(spark, monkeypatch, small):
+    if small:  # many blocks, several levels of merges, several cells, large groups
+        for name, value in (("BLOCK_LINKS", 50), ("RUNS", 2), ("LARGE_GROUP", 2), ("FRAME_CHARS", 100)):
+            monkeypatch.setattr(ta, name, value)
+    texts = corpus()
+    rows, counts = expected(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    docs = docs.selectExpr("*", "'x' AS block", "1 AS slot", "'y' AS radix", "2L AS n_a")
+    assert got(ta.alignments(docs, FIRST, SECOND)) == [(i, *row) for i, row in enumerate(rows)]
+    found = {(r["a"], r["b"]): (r["n_docs"], r["is_best"]) for r in ta.pair_counts(docs, FIRST, SECOND).collect()}
+    assert {pair: n for pair, (n, _) in found.items()} == counts
+    most = defaultdict(int)
+    for (a, _), n in counts.items():
+        most[a] = max(most[a], n)
+    assert all(is_best == (n == most[a]) for (a, _), (n, is_best) in found.items())
+
+
+def test_the_query_equals_brute_force(spark):
+    folder = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    rows, _ = expected([texts[i] for i in sorted(texts)])
+    assert got(QUERIES["op13_token_alignment"](spark, folder)) == [(i, *r) for i, r in zip(sorted(texts), rows)]
+
+
+def test_spans_cut_the_text(spark):
+    texts = corpus()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    plain, found = Plain(), defaultdict(list)
+    for r in ta.spans(docs, FIRST, SECOND).collect():
+        found[r["doc_id"]].append((r["start"], r["stop"], r["a_ids"], r["b_ids"]))
+    for i, text in enumerate(texts):
+        own = sorted(found[i])
+        assert [(a, b) for _, _, a, b in own] == plain.groups(text)
+        stops = [0, *(stop for _, stop, _, _ in own)]
+        assert [start for start, *_ in own] == stops[:-1]
+        assert not own or stops[-1] == len((" " + text).encode())
+
+
+def test_runs_and_merges():
+    draw = np.random.default_rng(2)
+    for array in ([], [0], [5, 5, 7], [3, 1], [1 << 40, 1 << 41], [-1, 4]):
+        assert ta.unpack(ta.pack(np.array(array, np.int64)))[0].tolist() == array
+    runs, total = [], Counter()
+    for _ in range(9):
+        pairs = np.unique((draw.integers(0, 6, 40) << ta.ID_BITS) | draw.integers(0, 9, 40))
+        counts = draw.integers(1, 5, len(pairs))
+        total.update(dict(zip(pairs.tolist(), counts.tolist())))
+        runs.append((pairs, counts))
+    parts = list(ta.merged([*runs, (np.zeros(0, np.int64),) * 2]))
+    assert [len(set((p >> ta.ID_BITS).tolist())) for p, _ in parts] == [1] * len(parts)
+    pairs = [p for part, _ in parts for p in part.tolist()]
+    assert pairs == sorted(total)
+    assert [c for _, part in parts for c in part.tolist()] == [total[p] for p in pairs]
+
+
+def test_dirt(spark):
+    docs = spark.createDataFrame([(1, "x y"), (1, "x y"), (None, "x y"), (2**53 + 1, None)], "doc_id long, text string")
+    rows = sorted(ta.alignments(docs.coalesce(1), FIRST, SECOND).collect(), key=str)
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["count_sum"]) for r in rows) == [
+        (False, 1, 6), (False, 1, 6), (False, 2**53 + 1, 0), (True, 0, 6)
+    ]
+    assert ta.alignments(docs.limit(0), FIRST, SECOND).count() == 0
+    assert ta.alignments(docs.where("text IS NULL"), FIRST, SECOND).collect()[0]["groups_sha256"] == ""
