@@ -17,13 +17,17 @@ from blotterline.operators import (
     fit_prep,
     hourly_counts,
     importances,
+    judge_features,
+    judge_messages,
     metrics_long,
     parse_payload,
     prep_pipeline,
+    reason_counts,
     roc_points,
     row_count,
     score_tally,
     split_by_hash,
+    split_messages,
     split_random,
     to_bronze,
     to_gold,
@@ -35,9 +39,12 @@ from blotterline.operators import (
     weighted_f1,
 )
 from blotterline.plans import (
+    CountsView,
     backfill,
     best_model,
     dashboard_report,
+    partial_counts,
+    report_of_counts,
     train_all,
     train_and_record,
 )
@@ -51,9 +58,17 @@ from blotterline.sources import (
     read_layer,
     read_messages,
 )
-from blotterline.streaming import await_any, drain, late_records, start_medallion
+from blotterline.streaming import (
+    await_any,
+    dedup_state,
+    drain,
+    late_records,
+    start_medallion,
+    state_operators,
+)
 
 __all__ = [
+    "CountsView",
     "LayerNotReady",
     "accuracy",
     "append_runs",
@@ -70,29 +85,37 @@ __all__ = [
     "dashboard_report",
     "day_name",
     "dedup_first",
+    "dedup_state",
     "derive_features",
     "drain",
     "file_source",
     "fit_prep",
     "hourly_counts",
     "importances",
+    "judge_features",
+    "judge_messages",
     "kafka_source",
     "late_records",
     "materialize",
     "metrics_long",
     "parse_payload",
+    "partial_counts",
     "prep_pipeline",
     "publish",
     "read_incident_csv",
     "read_layer",
     "read_messages",
+    "reason_counts",
+    "report_of_counts",
     "roc_points",
     "row_count",
     "save_model",
     "score_tally",
     "split_by_hash",
+    "split_messages",
     "split_random",
     "start_medallion",
+    "state_operators",
     "to_bronze",
     "to_gold",
     "to_silver",

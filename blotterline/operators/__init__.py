@@ -27,6 +27,12 @@ from blotterline.operators.layers import (
     to_silver,
 )
 from blotterline.operators.ranking import auc, roc_points
+from blotterline.operators.rejects import (
+    judge_features,
+    judge_messages,
+    reason_counts,
+    split_messages,
+)
 from blotterline.operators.split import split_by_hash, split_random
 
 __all__ = [
@@ -43,13 +49,17 @@ __all__ = [
     "fit_prep",
     "hourly_counts",
     "importances",
+    "judge_features",
+    "judge_messages",
     "metrics_long",
     "parse_payload",
     "prep_pipeline",
+    "reason_counts",
     "roc_points",
     "row_count",
     "score_tally",
     "split_by_hash",
+    "split_messages",
     "split_random",
     "to_bronze",
     "to_gold",

@@ -17,6 +17,8 @@ from blotterline.operators.dedup import collapse_copies, dedup_first
 from blotterline.schema import FLAG_FIELDS, GOLD_FIELDS, INCIDENT_SCHEMA, REQUIRED_FIELDS
 
 _EVENT_TIME = "__event_time"
+#: Set in rows of :func:`silver_and_dated` that only show a record's event time.
+EVENT_TIME = "__seen_at"
 
 
 def to_bronze(envelope: DataFrame) -> DataFrame:
@@ -64,12 +66,27 @@ def to_silver(parsed: DataFrame, delay: str | None = None) -> DataFrame:
     fewer = collapse_copies(complete, "ID")
     if delay is None:
         return fewer.dropDuplicates(["ID"])
-    return (
-        fewer.withColumn(_EVENT_TIME, event_time(F.col("Date")))
-        .withWatermark(_EVENT_TIME, delay)
-        .dropDuplicatesWithinWatermark(["ID"])
-        .drop(_EVENT_TIME)
-    )
+    return _within(fewer.withColumn(_EVENT_TIME, event_time(F.col("Date"))), delay).drop(_EVENT_TIME)
+
+
+def _within(dated: DataFrame, delay: str) -> DataFrame:
+    return dated.withWatermark(_EVENT_TIME, delay).dropDuplicatesWithinWatermark(["ID"])
+
+
+def silver_and_dated(parsed: DataFrame, again: DataFrame, delay: str) -> DataFrame:
+    """A stream of two kinds of rows: silver with bounded state (``EVENT_TIME`` is null), and every
+    record that went into its deduplication and has a readable date, with that date.
+
+    ``again`` has the same records as ``parsed``, for the second kind.
+
+    Deduplication drops records behind the watermark without a trace; only the batch that it
+    works on knows that watermark, and can tell from the second kind which records those were.
+    """
+    at = event_time(F.col("Date"))
+    dated = collapse_copies(clean_records(parsed), "ID").withColumn(_EVENT_TIME, at)
+    silver = _within(dated, delay).drop(_EVENT_TIME).withColumn(EVENT_TIME, F.lit(None).cast("timestamp"))
+    seen = collapse_copies(clean_records(again), "ID").withColumn(EVENT_TIME, at)
+    return silver.unionByName(seen.filter(F.col(EVENT_TIME).isNotNull()))
 
 
 def to_gold(silver: DataFrame) -> DataFrame:

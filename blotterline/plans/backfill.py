@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from blotterline.operators.layers import parse_payload, to_bronze, to_gold, to_silver
-from blotterline.sinks.batches import committed, foreign
+from blotterline.sinks.partitions import BACKFILL, strangers
 from blotterline.sinks.tables import replace_batch
-from blotterline.streaming.medallion import BACKFILL
 
 
 def backfill(envelope: DataFrame, base: str, fmt: str = "parquet") -> None:
@@ -22,10 +22,9 @@ def backfill(envelope: DataFrame, base: str, fmt: str = "parquet") -> None:
     layers = [f"{base}/{name}" for name in ("bronze", "silver", "gold")]
     if fmt == "parquet":
         for path in layers:
-            others = [b for b in committed(spark, path) if not b.startswith(f"{BACKFILL}_")]
-            others += foreign(spark, path)
+            others = strangers(spark, path, F.col("writer") == BACKFILL)
             if others:
-                raise RuntimeError(f"{path} holds {others[0]}, which no backfill wrote")
+                raise RuntimeError(f"{path} holds {others}, which no backfill wrote")
 
     def write(df: DataFrame, path: str) -> DataFrame:
         if fmt == "parquet":

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
-from blotterline.sinks.batches import write_batch
+from blotterline.sinks.partitions import write_batch
 
 
 def delta_options(writer: str, number: int) -> dict[str, str]:
@@ -17,7 +17,7 @@ def replace_batch(df: DataFrame, path: str, fmt: str, writer: str, number: int)
     """Write ``df`` as the content of a writer's numbered batch and give back what was written.
 
     Writing a batch again leaves it there once, which makes an at-least-once caller exact: as
-    Parquet, the new copy takes the place of the old one; as Delta, the append is skipped. The
+    Parquet, the batch's partition is overwritten; as Delta, the append is skipped. The
     Delta form needs the Delta package and is not tested where that is not available.
     """
     if fmt == "delta":
@@ -25,7 +25,7 @@ def replace_batch(df: DataFrame, path: str, fmt: str, writer: str, number: int)
         return df
     if fmt != "parquet":
         raise ValueError(f"layers are parquet or delta, not {fmt}")
-    return write_batch(df, path, f"{writer}_{number}")
+    return write_batch(df, path, writer, number)
 
 
 def append_runs(runs: DataFrame, path: str, fmt: str = "parquet") -> None:

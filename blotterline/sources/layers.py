@@ -6,17 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from blotterline.sinks.batches import read_batches
-
-# Error conditions that mean "nothing stored there yet".
-_MISSING = {
-    "PATH_NOT_FOUND",
-    "UNABLE_TO_INFER_SCHEMA",
-    "DELTA_MISSING_DELTA_TABLE",
-    "DELTA_PATH_DOES_NOT_EXIST",
-    "DELTA_TABLE_NOT_FOUND",
-    "DELTA_SCHEMA_NOT_SET",
-}
+from blotterline.sinks.partitions import MISSING, without_partitions
 
 
 class LayerNotReady(RuntimeError):
@@ -32,8 +22,8 @@ def read_layer(
 ) -> DataFrame:
     """The current content of a layer.
 
-    Every call lists the table anew, so calling again is the refresh. A layer of committed
-    batches has the rows of those; any other folder has all its files.
+    Every call lists the table anew, so calling again is the refresh. The columns that
+    only tell batches apart (``writer``, ``batch``) are left out.
 
     ``on_missing='error'`` raises :class:`LayerNotReady` for an absent or empty layer, as
     training needs; ``'empty'`` gives a frame of ``schema`` without rows for an absent one,
@@ -44,10 +34,9 @@ def read_layer(
     if on_missing == "empty" and schema is None:
         raise ValueError("on_missing='empty' needs a schema")
     try:
-        layer = read_batches(spark, path) if fmt == "parquet" else None
-        layer = spark.read.format(fmt).load(path) if layer is None else layer
+        layer = without_partitions(spark.read.format(fmt).load(path))
     except AnalysisException as error:
-        if error.getCondition() not in _MISSING:
+        if error.getCondition() not in MISSING:
             raise
         if on_missing == "empty":
             return spark.createDataFrame([], schema)

@@ -6,18 +6,25 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.streaming import StreamingQuery
 
 from blotterline.operators.layers import (
+    EVENT_TIME,
     is_complete,
     parse_payload,
+    silver_and_dated,
     to_bronze,
     to_gold,
     to_silver,
 )
-from blotterline.session import conf_defaults, delete
-from blotterline.sinks.batches import committed, foreign
+from blotterline.operators.rejects import split_messages
+from blotterline.plans.counts import partial_counts
+from blotterline.schema import SILVER_SCHEMA
+from blotterline.session import conf_defaults
+from blotterline.sinks.partitions import BACKFILL, strangers
 from blotterline.sinks.tables import replace_batch
+from blotterline.sources.layers import read_layer
+from blotterline.streaming.state import watermark
 
 # The deduplication keeps every ID. RocksDB holds that state on disk instead of in the
 # executors' heap and checkpoints changes only.
@@ -29,48 +36,6 @@ STATE_CONF = {
 }
 
 QUERY_ID = "sql.streaming.queryId"
-# The writer name of batch backfills.
-BACKFILL = "backfill"
-# Where the drops of each query of this process are stored, by query id.
-_LATE: dict[str, str] = {}
-
-
-class _LateRecords(StreamingQueryListener):
-    """Stores how many records a batch dropped behind the watermark, by query and batch."""
-
-    def __init__(self, session: SparkSession):
-        self.session = session
-
-    def onQueryStarted(self, event) -> None:
-        pass
-
-    def onQueryProgress(self, event) -> None:
-        progress = event.progress
-        path, dropped = _LATE.get(str(progress.id)), _dropped(progress)
-        if path and dropped:
-            rows = self.session.range(1).select(F.lit(dropped).cast("long").alias("dropped"))
-            rows.write.mode("overwrite").parquet(f"{path}/query={progress.id}/batch={progress.batchId}")
-
-    def onQueryIdle(self, event) -> None:
-        pass
-
-    def onQueryTerminated(self, event) -> None:
-        pass
-
-
-_LISTENERS: dict[SparkSession, _LateRecords] = {}
-
-
-def _store_late_records(spark: SparkSession) -> None:
-    """Listen once per session."""
-    if spark not in _LISTENERS:
-        listener = _LateRecords(spark)
-        spark.streams.addListener(listener)
-        _LISTENERS[spark] = listener
-
-
-def _dropped(progress) -> int:
-    return sum(state.numRowsDroppedByWatermark for state in progress.stateOperators)
 
 
 def start_medallion(
@@ -82,6 +47,8 @@ def start_medallion(
     console: bool = False,
     delay: str | None = None,
     console_rows: int = 20,
+    rejects: bool = False,
+    counts: bool = False,
 ) -> list[StreamingQuery]:
     """Start the job and give back its two queries, bronze and refined.
 
@@ -89,27 +56,36 @@ def start_medallion(
     ``checkpoint``; a restart with the same checkpoint resumes. ``trigger`` is passed to
     Spark (``{'availableNow': True}`` for a bounded run); without it, micro-batches follow
     each other as fast as they can. ``console`` shows the first ``console_rows`` rows of each batch of
-    gold. ``delay`` bounds the deduplication state, see :func:`to_silver`; records that it drops are
-    counted by :func:`late_records`, and all of them are in bronze.
+    gold.
+
+    ``delay`` bounds the deduplication state, see :func:`to_silver`; the records that it drops
+    behind the watermark are the layer ``late``. ``rejects`` adds the layer ``rejects``: payloads of
+    each batch of bronze that silver does not take, with the reason (:func:`judge_messages`).
+    ``counts`` adds the layer ``counts``: partial counts of each batch of gold, see
+    :class:`CountsView`.
 
     History goes through the same job: its files as the first, bounded batches of the same
     checkpoint, so that the deduplication knows its IDs. A base that a batch backfill or
     anything else has written to is refused.
 
-    Silver and gold share one parse and one deduplication. Gold is made from the batch of
-    silver as stored, so the two agree even when a lost executor forces a recomputation
-    in between, and a replayed batch replaces itself in both.
+    Silver, late and gold share one deduplication. Gold and counts are made from the batch of silver
+    as stored, so they agree even when a lost executor forces a recomputation in between, and
+    a replayed batch replaces itself in all layers: it is written before the batch is committed.
 
     The number of state partitions is ``spark.sql.shuffle.partitions`` at the first start
     and is kept by the checkpoint.
     """
     spark = source.sparkSession
     if fmt == "parquet":
-        for layer in ("bronze", "silver", "gold"):
+        for layer in ("bronze", "rejects", "silver", "late", "gold", "counts"):
             _refuse_strangers(spark, f"{base}/{layer}")
 
     def write_bronze(batch: DataFrame, batch_id: int) -> None:
-        replace_batch(batch, f"{base}/bronze", fmt, _query_of(batch), batch_id)
+        writer = _query_of(batch)
+        stored = replace_batch(batch, f"{base}/bronze", fmt, writer, batch_id)
+        if rejects:
+            _, rejected = split_messages(stored)
+            replace_batch(rejected, f"{base}/rejects", fmt, writer, batch_id)
 
     bronze = (
         _writer(to_bronze(source), f"{checkpoint}/bronze", trigger)
@@ -120,32 +96,40 @@ def start_medallion(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # Named after the query as well: batches of a new checkpoint are new batches.
         writer = _query_of(batch)
-        _LATE[writer] = f"{checkpoint}/late"
-        if fmt == "parquet":
-            silver = replace_batch(batch, f"{base}/silver", fmt, writer, batch_id)
-        else:
-            # Stored once first, so that silver and gold are made of the same rows.
-            staged = replace_batch(batch, f"{checkpoint}/staged", "parquet", writer, batch_id)
-            silver = replace_batch(staged, f"{base}/silver", fmt, writer, batch_id)
+        if delay is not None:
+            # Late is what was behind the watermark of the batch before.
+            bound = watermark(spark, checkpoint, batch_id - 1)
+            is_late = F.unix_micros(EVENT_TIME) <= bound * 1000
+            batch = batch.filter(F.col(EVENT_TIME).isNull() | is_late)
+        if delay is not None or fmt != "parquet":
+            # Stored once first, so that all layers are made of the same rows.
+            batch = replace_batch(batch, f"{checkpoint}/staged", "parquet", writer, 0)
+        if delay is not None:
+            late = batch.filter(F.col(EVENT_TIME).isNotNull()).drop(EVENT_TIME)
+            replace_batch(late, f"{base}/late", fmt, writer, batch_id)
+            batch = batch.filter(F.col(EVENT_TIME).isNull()).drop(EVENT_TIME)
+        silver = replace_batch(batch, f"{base}/silver", fmt, writer, batch_id)
         gold = replace_batch(to_gold(silver), f"{base}/gold", fmt, writer, batch_id)
+        if counts:
+            replace_batch(partial_counts(gold), f"{base}/counts", fmt, writer, batch_id)
         if console:
             print(f"Batch: {batch_id}")
             gold.show(console_rows, truncate=False)
-        if fmt != "parquet":
-            delete(spark, f"{checkpoint}/staged")
-
-    # Progress reports carry how many records came in and how many of them are incomplete.
-    parsed = parse_payload(source).observe(
-        "intake",
-        F.count(F.lit(1)).alias("records"),
-        F.count_if(~is_complete()).alias("incomplete"),
-    )
-    writer = _writer(to_silver(parsed, delay), f"{checkpoint}/refined", trigger)
-    _store_late_records(spark)
+
+    def intake(parsed: DataFrame) -> DataFrame:
+        # Progress reports carry how many records came in and how many of them are incomplete.
+        return parsed.observe(
+            "intake",
+            F.count(F.lit(1)).alias("records"),
+            F.count_if(~is_complete()).alias("incomplete"),
+        )
+
+    parsed = parse_payload(source)
+    refined_rows = to_silver(intake(parsed)) if delay is None else silver_and_dated(intake(parsed), parsed, delay)
+    writer = _writer(refined_rows, f"{checkpoint}/refined", trigger)
     try:
         with conf_defaults(source.sparkSession, STATE_CONF):
             refined = writer.foreachBatch(write_batch).start()
-            _LATE[str(refined.id)] = f"{checkpoint}/late"
     except Exception:
         bronze.stop()
         raise
@@ -162,36 +146,20 @@ def _query_of(batch: DataFrame) -> str:
 def _refuse_strangers(spark: SparkSession, path: str) -> None:
     """A layer that something else has written to is not appended to: the deduplication would
     not know its records."""
-    others = foreign(spark, path)
-    others += [b for b in committed(spark, path) if b.startswith(f"{BACKFILL}_")]
+    others = strangers(spark, path, F.col("writer") != BACKFILL)
     if others:
         raise RuntimeError(
-            f"{path} holds {others[0]}, which no stream wrote; run history as the first batches "
+            f"{path} holds {others}, which no stream wrote; run history as the first batches "
             "of the stream, or use another base"
         )
 
 
-def late_records(query: StreamingQuery) -> int:
-    """Records that the query dropped behind its watermark since its first start.
+def late_records(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame:
+    """The records that bounded state dropped behind its watermark, in all runs, as silver's columns.
 
-    Spark keeps the last reports of the present run only. Each batch's drops are stored beside the
-    checkpoint as its report comes in; reports that are not stored yet are taken from the query.
-    A batch whose report is lost with the driver is missing.
+    Copies of one record in one Arrow batch are one row, as the deduplication sees them.
     """
-    path = _LATE.get(str(query.id))
-    if path:
-        spark = SparkSession.active()
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/query={query.id}")
-        if folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(folder):
-            stored = spark.read.schema("dropped long, batch long").parquet(f"{path}/query={query.id}")
-            total = stored.groupBy("batch").agg(F.sum("dropped").alias("dropped"))
-            reports = {p.batchId: _dropped(p) for p in query.recentProgress if _dropped(p)}
-            rest = total.where(~F.col("batch").isin(list(reports))) if reports else total
-            return (rest.agg(F.sum("dropped")).first()[0] or 0) + sum(reports.values())
-    counts: dict[int, int] = {}
-    for progress in query.recentProgress:
-        counts[progress.batchId] = max(counts.get(progress.batchId, 0), _dropped(progress))
-    return sum(counts.values())
+    return read_layer(spark, f"{base}/late", fmt, on_missing="empty", schema=SILVER_SCHEMA)
 
 
 def _writer(stream: DataFrame, checkpoint: str, trigger: dict[str, Any] | None):

@@ -51,17 +51,20 @@ def layers(spark: SparkSession, args: argparse.Namespace) -> None:
         args.console,
         args.delay,
         args.console_rows,
+        args.rejects,
+        args.counts,
     )
     if args.once:
         bl.drain(queries)
         if args.delay:
-            print(f"{bl.late_records(queries[-1])} records came too late for silver")
+            late = bl.late_records(spark, args.base, args.format).count()
+            print(f"{late} records came too late for silver")
     else:
         bl.await_any(spark)
 
 
 def compact(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Rewrite finished batches of the Parquet layers below BASE into few files."""
+    """Rewrite finished batches of the Parquet layers below BASE into few files each."""
     for layer in ("bronze", "silver", "gold"):
         print(f"{layer}: {bl.compact_layer(spark, f'{args.base}/{layer}')} batches")
 
@@ -120,6 +123,8 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--console", action="store_true", help="show each batch of gold")
     sub.add_argument("--console-rows", type=int, default=20, help="rows shown of each batch")
     sub.add_argument("--delay", help="forget IDs this long after their event date")
+    sub.add_argument("--rejects", action="store_true", help="store rejected messages with reasons")
+    sub.add_argument("--counts", action="store_true", help="store partial counts for reports")
 
     command(compact, "base")
 

@@ -293,6 +293,56 @@ SELECT CAST(length(text) AS INTEGER) AS size, count(*) AS "count" FROM messages
     pairs=", ".join(f"'{c}', {'arrived' if c == 'Block' else chr(34) + c + chr(34)}" for c in FIELDS),
 )
 
+DASHBOARD_BY_ARRIVAL = " UNION ALL ".join(
+    f"""SELECT CAST({number} AS INTEGER) AS arrival, * FROM (
+      {DASHBOARD.replace("FROM silver)", f"FROM silver WHERE {_EVENT} % 3 <> {number or 2} OR {number} > 0)")})"""
+    for number in range(3)
+)
+
+# What arrives as one message per record, and the dirt beside it.
+_REASON = """CASE WHEN "Date" IS NULL THEN 'no Date'
+                    WHEN "Primary_Type" IS NULL THEN 'no Primary_Type' ELSE 'accepted' END"""
+_DIRT = """CASE WHEN {0} % 50 = 0 OR {0} % 51 = 0 THEN 'malformed JSON'
+                WHEN {0} % 53 = 0 THEN 'no record' END"""
+
+
+def _arrived_reasons(where: str) -> str:
+    """Reasons of the messages of the chosen records."""
+    dirt = _DIRT.format(_EVENT)
+    return f"""SELECT {_REASON} AS reason FROM feed WHERE {where}
+      UNION ALL SELECT {dirt} FROM feed WHERE ({where}) AND {dirt} IS NOT NULL"""
+
+
+REJECTS = f"""{TO_GOLD},
+messages AS ({_arrived_reasons("true")}
+  UNION ALL SELECT {_REASON} FROM (SELECT *, unnest(range(user_id % 3 + 1)) AS copy FROM feed)
+  UNION ALL SELECT 'no ID' FROM feed),
+rows AS (
+  SELECT CASE WHEN trim("Latitude") = '' THEN 'blank Latitude'
+              WHEN parsed IS NULL THEN 'unreadable Date'
+              WHEN NOT coalesce(isfinite(TRY_CAST(trim("Latitude") AS DOUBLE)), false)
+                THEN 'no number in Latitude'
+              ELSE 'accepted' END AS reason FROM dated)
+SELECT 'messages' AS stage, reason, count(*) AS "count" FROM messages GROUP BY 2
+UNION ALL
+SELECT 'features', reason, count(*) FROM rows GROUP BY 2"""
+
+STREAM_REJECTS = f"""WITH {FEED},
+messages AS ({_arrived_reasons(f"{_EVENT} % 3 <> 2")}
+  UNION ALL {_arrived_reasons(f"{_EVENT} % 3 <> 0")}
+  UNION ALL {_arrived_reasons("true")})
+SELECT reason, count(*) AS "count" FROM messages GROUP BY 1"""
+
+# The second half of the records arrives first; what is two days behind its newest is late then.
+LATE = f"""half AS (SELECT max(event_id) // 2 AS h FROM events),
+parsed_silver AS (
+  SELECT *, try_strptime("Date", '%m/%d/%Y %I:%M:%S %p') AS parsed,
+         {_EVENT} <= (SELECT h FROM half) AS second FROM silver),
+marked AS (
+  SELECT *, coalesce(second AND parsed <= (
+    SELECT max(parsed) FROM parsed_silver WHERE NOT second) - INTERVAL 2 DAY, false) AS is_late
+  FROM parsed_silver)"""
+
 PLANTED = f"""{TO_FEATURES},
 planted AS (SELECT CASE WHEN "Hour" >= 18 THEN 1 ELSE 0 END AS label FROM features
             WHERE {BUCKET} >= 80),
@@ -320,10 +370,18 @@ ORACLE: dict[str, str] = {
     "compacted_silver": FIRST_ARRIVALS,
     "stream_old_files": """SELECT CAST(event_id AS VARCHAR) AS "ID", 'file 0' AS "Block"
         FROM events WHERE event_id % 101 <> 0 AND event_id % 107 <> 0""",
-    "stream_bounded_late": f"""{TO_GOLD}, half AS (SELECT max(event_id) // 2 AS h FROM events)
-        SELECT count(*) FILTER ({_EVENT} > h OR parsed IS NULL) AS silver_rows,
-               count(*) FILTER ({_EVENT} <= h AND parsed IS NOT NULL) AS late_rows
-        FROM dated, half""",
+    "stream_bounded_late": f"""WITH {FEED}, {SILVER}, {LATE}
+        SELECT count(*) FILTER (NOT is_late) AS silver_rows,
+               count(*) FILTER (is_late) AS late_rows FROM marked""",
+    "late_rows": f"""WITH {FEED}, {SILVER}, {LATE}
+        SELECT {_quoted([c for c in FIELDS if c != "Block"])} FROM marked WHERE is_late""",
+    "bounded_state_ids": f"""WITH {FEED}, {SILVER}, {LATE}
+        SELECT "ID", parsed + INTERVAL 2 DAY AS expires FROM marked
+        WHERE NOT is_late AND parsed + INTERVAL 4 DAY > (SELECT max(parsed) FROM marked)""",
+    "dedup_state_ids": f'WITH {FEED}, {SILVER} SELECT "ID" FROM silver',
+    "rejects_by_reason": REJECTS,
+    "stream_rejects": STREAM_REJECTS,
+    "report_refreshes": DASHBOARD_BY_ARRIVAL,
     "silver_differing_copies": _silver_with_block(
         f"CASE WHEN {_EVENT} % 3 <> 2 THEN 'file 0' ELSE 'file 1' END"
     ),

@@ -108,21 +108,32 @@ def stream_silver_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bl.read_layer(spark, f"{_stream(spark, sf_dir, delay='2 days')}/silver")
 
 
-def _history_then_stream(spark: SparkSession, sf_dir: str) -> str:
-    """History, then two later files with overlapping IDs, in three runs of one checkpoint, so
-    that two of them are restarts. Gives the base of the layers."""
-    base = work_folder(spark, "history")
+def _arrive(spark: SparkSession, base: str, messages: DataFrame, **options) -> None:
+    """Land messages as several files and run the streaming job until it has read them, as one batch."""
+    messages.repartition(4).write.mode("append").text(f"{base}/landing")
+    queries = bl.start_medallion(
+        bl.file_source(spark, f"{base}/landing"),
+        f"{base}/layers",
+        f"{base}/checkpoints",
+        trigger={"availableNow": True},
+        **options,
+    )
+    bl.drain(queries)
+
+
+def _history_arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """History, and two later arrivals with overlapping IDs."""
     third = F.col("event_id") % 3
-    for number, chosen in enumerate((third != 2, third != 0, F.lit(True))):
-        file = arrivals(spark, sf_dir, chosen, f"file {number}").coalesce(1)
-        file.write.mode("append").text(f"{base}/landing")
-        queries = bl.start_medallion(
-            bl.file_source(spark, f"{base}/landing", max_files_per_trigger=1),
-            f"{base}/layers",
-            f"{base}/checkpoints",
-            trigger={"availableNow": True},
-        )
-        bl.drain(queries)
+    chosen = (third != 2, third != 0, F.lit(True))
+    return [arrivals(spark, sf_dir, some, f"file {number}") for number, some in enumerate(chosen)]
+
+
+def _history_then_stream(spark: SparkSession, sf_dir: str, **options) -> str:
+    """Three arrivals in three runs of one checkpoint, so that two of them are restarts. Gives the
+    base of the layers."""
+    base = work_folder(spark, "history")
+    for messages in _history_arrivals(spark, sf_dir):
+        _arrive(spark, base, messages, **options)
     return f"{base}/layers"
 
 
@@ -142,19 +153,19 @@ def history_then_stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compacted_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver after its finished batches were rewritten into one."""
+    """Silver after its finished batches were rewritten into few files."""
     path = f"{_history_then_stream(spark, sf_dir)}/silver"
     bl.compact_layer(spark, path)
     return bl.read_layer(spark, path)
 
 
 def stream_old_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver where half of the records are in a file that looks a year old."""
+    """Silver where half of the records are in files that look a year old."""
     base = work_folder(spark, "old-files")
     half = F.col("event_id") % 2
     for number in range(2):
-        file = arrivals(spark, sf_dir, half == number, "file 0").coalesce(1)
-        file.write.mode("append").text(f"{base}/landing")
+        files = arrivals(spark, sf_dir, half == number, "file 0").repartition(4)
+        files.write.mode("append").text(f"{base}/landing")
         path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/landing")
         fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
         if number == 0:
@@ -171,28 +182,71 @@ def stream_old_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bl.read_layer(spark, f"{base}/layers/silver").select("ID", "Block")
 
 
-def stream_bounded_late(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bounded state with a moving watermark: records of silver and records that came too late."""
+def _bounded_late(spark: SparkSession, sf_dir: str) -> str:
+    """Bounded state with a moving watermark, in two runs of one checkpoint: the second one brings
+    the half of the records with the lower numbers. Gives the folder of the job."""
     base = work_folder(spark, "late")
     half = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.max("event_id")).head()[0] // 2
-    late, odd = F.col("event_id") <= half, F.col("event_id") % 2 == 1
-    # Spark drops what is behind the watermark of the batch before last.
-    for number, chosen in enumerate((~late & odd, ~late & ~odd, late)):
-        file = arrivals(spark, sf_dir, chosen, f"file {number}").coalesce(1)
-        file.write.mode("append").text(f"{base}/landing")
-    queries = bl.start_medallion(
-        bl.file_source(spark, f"{base}/landing", max_files_per_trigger=1),
-        f"{base}/layers",
-        f"{base}/checkpoints",
-        trigger={"availableNow": True},
-        delay="2 days",
-    )
-    bl.drain(queries)
-    silver = bl.read_layer(spark, f"{base}/layers/silver")
-    return silver.agg(
-        F.count(F.lit(1)).alias("silver_rows"),
-        F.lit(bl.late_records(queries[1])).cast("bigint").alias("late_rows"),
-    )
+    for number, chosen in enumerate((F.col("event_id") > half, F.col("event_id") <= half)):
+        _arrive(spark, base, arrivals(spark, sf_dir, chosen, f"file {number}"), delay="2 days")
+    return base
+
+
+def stream_bounded_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many records silver has and how many came too late for it."""
+    base = _bounded_late(spark, sf_dir)
+    counts = [
+        bl.row_count(df).scalar()
+        for df in (bl.read_layer(spark, f"{base}/layers/silver"), bl.late_records(spark, f"{base}/layers"))
+    ]
+    return spark.range(1).select(counts[0].alias("silver_rows"), counts[1].alias("late_rows"))
+
+
+def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records themselves that came too late for silver."""
+    return bl.late_records(spark, f"{_bounded_late(spark, sf_dir)}/layers").drop("Block")
+
+
+def bounded_state_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The IDs that bounded state still remembers at the end, and when it forgets them."""
+    state = bl.dedup_state(spark, f"{_bounded_late(spark, sf_dir)}/checkpoints")
+    return state.select("ID", F.col("expires").cast("timestamp_ntz").alias("expires"))
+
+
+def dedup_state_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The IDs that the deduplication remembers after three arrivals and two restarts."""
+    base = work_folder(spark, "state")
+    for messages in _history_arrivals(spark, sf_dir):
+        _arrive(spark, base, messages)
+    return bl.dedup_state(spark, f"{base}/checkpoints").select("ID")
+
+
+def rejects_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why messages do not get to silver and rows of gold not to training, with what was taken."""
+    both = arrivals(spark, sf_dir, F.lit(True), "file 0").unionByName(message_feed(spark, sf_dir))
+    messages = bl.reason_counts(bl.judge_messages(as_envelope(both)), "messages")
+    rows = bl.reason_counts(bl.judge_features(gold_of_feed(spark, sf_dir)), "features")
+    return messages.unionByName(rows)
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejects that a stream stored over two restarts, by reason, and what bronze has besides."""
+    base = _history_then_stream(spark, sf_dir, rejects=True)
+    rejected = bl.read_layer(spark, f"{base}/rejects")
+    by_reason = rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("count"))
+    taken = bl.row_count(bl.clean_records(bl.parse_payload(bl.read_layer(spark, f"{base}/bronze"))))
+    return by_reason.unionByName(taken.select(F.lit("accepted").alias("reason"), F.col("rows").alias("count")))
+
+
+def report_refreshes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dashboard report after each of three arrivals, from the counts of new batches alone."""
+    base = work_folder(spark, "refreshes")
+    view, reports = bl.CountsView(spark, f"{base}/layers/counts"), None
+    for number, messages in enumerate(_history_arrivals(spark, sf_dir)):
+        _arrive(spark, base, messages, counts=True)
+        report = bl.materialize(view.refresh(), "report").select(F.lit(number).alias("arrival"), "*")
+        reports = report if reports is None else reports.unionByName(report)
+    return reports
 
 
 def silver_differing_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -493,6 +547,12 @@ QUERIES: dict[str, Query] = {
     "compacted_silver": compacted_silver,
     "stream_old_files": stream_old_files,
     "stream_bounded_late": stream_bounded_late,
+    "late_rows": late_rows,
+    "bounded_state_ids": bounded_state_ids,
+    "dedup_state_ids": dedup_state_ids,
+    "rejects_by_reason": rejects_by_reason,
+    "stream_rejects": stream_rejects,
+    "report_refreshes": report_refreshes,
     "silver_differing_copies": silver_differing_copies,
     "absent_layer_report": absent_layer_report,
     "refreshed_layer": refreshed_layer,
