@@ -8,6 +8,7 @@ from blotterline.operators import (
     accuracy,
     arrest_share,
     auc,
+    boosted_stats,
     classifiers,
     clean_records,
     confusion,
@@ -17,10 +18,15 @@ from blotterline.operators import (
     fit_prep,
     hourly_counts,
     importances,
+    importances_from_nodes,
     judge_features,
     judge_messages,
+    kind_of,
+    logistic_gradient,
     metrics_long,
+    node_table,
     parse_payload,
+    predict_from_nodes,
     prep_pipeline,
     reason_counts,
     roc_points,
@@ -77,6 +83,7 @@ __all__ = [
     "await_any",
     "backfill",
     "best_model",
+    "boosted_stats",
     "build_session",
     "classifiers",
     "clean_records",
@@ -92,14 +99,19 @@ __all__ = [
     "fit_prep",
     "hourly_counts",
     "importances",
+    "importances_from_nodes",
     "judge_features",
     "judge_messages",
     "kafka_source",
+    "kind_of",
     "late_records",
+    "logistic_gradient",
     "materialize",
     "metrics_long",
+    "node_table",
     "parse_payload",
     "partial_counts",
+    "predict_from_nodes",
     "prep_pipeline",
     "publish",
     "read_incident_csv",

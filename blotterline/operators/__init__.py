@@ -26,6 +26,14 @@ from blotterline.operators.layers import (
     to_gold,
     to_silver,
 )
+from blotterline.operators.model_tables import (
+    boosted_stats,
+    importances_from_nodes,
+    kind_of,
+    logistic_gradient,
+    node_table,
+    predict_from_nodes,
+)
 from blotterline.operators.ranking import auc, roc_points
 from blotterline.operators.rejects import (
     judge_features,
@@ -39,6 +47,7 @@ __all__ = [
     "accuracy",
     "arrest_share",
     "auc",
+    "boosted_stats",
     "classifiers",
     "clean_records",
     "collapse_copies",
@@ -49,10 +58,15 @@ __all__ = [
     "fit_prep",
     "hourly_counts",
     "importances",
+    "importances_from_nodes",
     "judge_features",
     "judge_messages",
+    "kind_of",
+    "logistic_gradient",
     "metrics_long",
+    "node_table",
     "parse_payload",
+    "predict_from_nodes",
     "prep_pipeline",
     "reason_counts",
     "roc_points",

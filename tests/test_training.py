@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
@@ -162,3 +163,64 @@ def test_nothing_stays_cached(spark, parts):
     before = spark.sparkContext._jsc.getPersistentRDDs().size()
     bl.train_all(*parts, names=["DecisionTree"])
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def nodes_of(trained, name: str):
+    model = trained[1][name]
+    return bl.materialize(bl.node_table(model), "nodes"), bl.kind_of(model)
+
+
+@pytest.mark.parametrize("name", TREES)
+def test_node_tables_predict_as_the_models(trained, parts, name):
+    nodes, kind = nodes_of(trained, name)
+    both = bl.predict_from_nodes(trained[1][name].transform(parts[1]), nodes, kind)
+    assert both.where("prediction <> table_prediction OR table_prediction IS NULL").count() == 0
+    assert both.count() == parts[1].count()
+    roots = nodes.where("node = 0").select("tree", "weight").collect()
+    assert len(roots) == {"DecisionTree": 1, "RandomForest": 20, "GBTClassifier": 10}[name]
+    assert {r["weight"] for r in roots} == ({1.0, 0.1} if kind == "margin" else {1.0})
+    leaves = nodes.where("left < 0")
+    assert leaves.where("feature >= 0 OR right >= 0 OR threshold IS NOT NULL").count() == 0
+
+
+@pytest.mark.parametrize("name", TREES)
+def test_importances_follow_from_the_nodes(trained, parts, name):
+    nodes, kind = nodes_of(trained, name)
+    model = trained[1][name]
+    if kind == "margin":
+        again = bl.boosted_stats(model.transform(parts[0]).select("features", "label"), nodes)
+        both = nodes.select("tree", "node", "stats").join(
+            again.select("tree", "node", F.col("stats").alias("again")), ["tree", "node"]
+        )
+        rows = both.collect()
+        assert len(rows) == nodes.count()
+        assert all(r["again"] == pytest.approx(r["stats"], rel=1e-9, abs=1e-9) for r in rows)
+        nodes = again
+    found = {r["feature"]: r["importance"] for r in bl.importances_from_nodes(nodes, kind).collect()}
+    own = model.stages[-1].featureImportances.toArray()
+    assert [found.get(slot, 0.0) for slot in range(len(own))] == pytest.approx(own, abs=1e-9)
+
+
+def test_a_tree_of_one_leaf(trained, parts):
+    prep = trained[1]["DecisionTree"].stages[:-1]
+    vectors = PipelineModel(prep).transform(parts[0])
+    model = PipelineModel([*prep, DecisionTreeClassifier(maxDepth=0).fit(vectors)])
+    nodes = bl.node_table(model)
+    assert nodes.count() == 1
+    both = bl.predict_from_nodes(model.transform(parts[1]), nodes, "votes")
+    assert both.where("prediction <> table_prediction OR table_prediction IS NULL").count() == 0
+    assert bl.importances_from_nodes(nodes, "votes").count() == 0
+
+
+def test_the_logistic_gradient_is_zero_at_the_fit_only(trained, parts):
+    train = parts[0]
+    # Exact separation has no optimum: one label in nine is turned around.
+    noisy = train.withColumn("label", F.when(F.crc32("ID") % 9 == 0, 1 - F.col("label")).otherwise(F.col("label")))
+    _, models = bl.train_all(noisy, parts[1], names=["LogisticRegression"])
+    model = models["LogisticRegression"]
+    found = {r["slot"]: r["gradient"] for r in bl.logistic_gradient(model, noisy).collect()}
+    assert len(found) == model.stages[-1].numFeatures + 1 and "intercept" in found
+    assert max(map(abs, found.values())) < 1e-3
+    # Other labels have another optimum.
+    other = {r["slot"]: r["gradient"] for r in bl.logistic_gradient(model, train).collect()}
+    assert max(map(abs, other.values())) > 0.02

@@ -423,6 +423,19 @@ ORACLE: dict[str, str] = {
         FROM features, (VALUES ('LogisticRegression'), ('RandomForest')) AS c(c),
              (VALUES ('accuracy'), ('f1'), ('auc')) AS m(m)
         WHERE {BUCKET} >= 80 GROUP BY ALL""",
+    "tree_table_differences": f"""{TO_FEATURES}
+        SELECT c AS classifier, count(*) AS "rows", CAST(0 AS BIGINT) AS different
+        FROM features, (VALUES ('DecisionTree'), ('RandomForest'), ('GBTClassifier')) AS c(c)
+        WHERE {BUCKET} >= 80 GROUP BY ALL""",
+    "importance_differences": f"""{TO_FEATURES}, {INDEXES}
+        SELECT c AS classifier, 5 + (SELECT count(*) FROM types) + (SELECT count(*) FROM locations)
+          AS slots, CAST(0 AS DOUBLE) AS difference
+        FROM (VALUES ('RandomForest'), ('GBTClassifier')) AS c(c)""",
+    "logistic_gradient": f"""{TO_FEATURES}, {INDEXES}
+        SELECT slot, CAST(0 AS DOUBLE) AS gradient FROM (
+          SELECT unnest(['intercept', 'Hour', 'DayOfWeek', 'IsWeekend', 'Latitude', 'Longitude']) AS slot
+          UNION ALL SELECT 'Type_Vec_' || category FROM types
+          UNION ALL SELECT 'Loc_Vec_' || category FROM locations)""",
     "features": f"{TO_FEATURES} SELECT * FROM features",
     "day_names": f'{TO_GOLD} SELECT "ID", dayname(parsed) AS day_name FROM dated',
     "weekend_labels": f'{TO_GOLD} SELECT "ID", {PERIOD} AS period FROM dated',

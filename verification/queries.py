@@ -530,6 +530,44 @@ def saved_model_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tree_table_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test rows, and how many of them a classifier's table of nodes predicts differently."""
+    _, models, test = _trained(spark, sf_dir, ["DecisionTree", "RandomForest", "GBTClassifier"])
+    parts = []
+    for name, model in models.items():
+        both = bl.predict_from_nodes(model.transform(test), bl.node_table(model), bl.kind_of(model))
+        same = F.col("prediction").eqNullSafe(F.col("table_prediction"))
+        parts.append(both.agg(F.lit(name).alias("classifier"), F.count(F.lit(1)).alias("rows"), F.count_if(~same).alias("different")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def importance_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slots of the vector, and by how much importances differ from those computed again, to nine
+    digits: the forest's from its nodes' statistics, the boosted trees' from the training rows."""
+    _, models, _ = _trained(spark, sf_dir, ["RandomForest", "GBTClassifier"])
+    train, _ = bl.split_by_hash(features(spark, sf_dir))
+    parts = []
+    for name, model in models.items():
+        nodes, kind = bl.node_table(model), bl.kind_of(model)
+        if kind == "margin":
+            nodes = bl.boosted_stats(model.transform(train).select("features", "label"), bl.materialize(nodes, "nodes"))
+        again = bl.importances_from_nodes(nodes, kind)
+        own = model.stages[-1].featureImportances.toArray()
+        table = spark.createDataFrame([(i, float(x)) for i, x in enumerate(own)], "feature int, own double")
+        apart = F.abs(F.col("own") - F.coalesce("importance", F.lit(0.0)))
+        both = table.join(again, "feature", "left")
+        parts.append(both.agg(F.lit(name).alias("classifier"), F.count(F.lit(1)).alias("slots"), F.round(F.max(apart), 9).alias("difference")))
+    return parts[0].unionByName(parts[1])
+
+
+def logistic_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gradient of the fitted logistic regression's loss, to three digits."""
+    _, models, _ = _trained(spark, sf_dir, ["LogisticRegression"])
+    train, _ = bl.split_by_hash(features(spark, sf_dir))
+    found = bl.logistic_gradient(models["LogisticRegression"], train)
+    return found.select("slot", F.round(F.abs("gradient"), 3).alias("gradient"))
+
+
 QUERIES: dict[str, Query] = {
     "incident_feed": incident_feed,
     "csv_scan": csv_scan,
@@ -590,6 +628,9 @@ QUERIES: dict[str, Query] = {
     "model_metrics": model_metrics,
     "importances": importances_by_slot,
     "importances_by_source": importances_by_source,
+    "tree_table_differences": tree_table_differences,
+    "importance_differences": importance_differences,
+    "logistic_gradient": logistic_gradient,
     "auc_one_class": auc_one_class,
     "gaps_in_predictions": gaps_in_predictions,
     "planted_tree_metrics": planted_tree_metrics,
