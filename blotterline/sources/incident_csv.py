@@ -6,17 +6,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotterline.schema import FIELD_TO_HEADER
+from blotterline.sources.split_csv import read_split_csv
 
 
-def read_incident_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_incident_csv(
+    spark: SparkSession, path: str, multi_line: bool = True, split: bool = True
+) -> DataFrame:
     """The 21 message fields, all strings, picked from the CSV by header name.
 
     Other columns are ignored and an absent header gives nulls. A blank or missing value in
     a present column is the empty string. Quotes inside a quoted value are doubled.
 
-    ``multi_line`` allows line breaks inside quoted values, at the price that one file is
-    one task. A feed of few large files without such breaks should turn it off, so that
-    the files are split.
+    ``multi_line`` allows line breaks inside quoted values. Files are split over tasks all the same
+    (:mod:`split_csv`), at the price of scanning them three times; quotes have to stand around whole
+    values. ``split=False`` leaves the reading to Spark, one task per file. Without line breaks in
+    values, ``multi_line=False`` reads in one scan.
     """
     raw = (
         spark.read.option("header", True)
@@ -28,6 +32,8 @@ def read_incident_csv(spark: SparkSession, path: str, multi_line: bool = True) -
         .option("enforceSchema", False)
         .csv(path)
     )
+    if multi_line and split:
+        raw = read_split_csv(spark, path, raw.columns, {"escape": '"'})
     present = set(raw.columns)
 
     def field(header: str) -> Column:

@@ -107,10 +107,10 @@ def parser() -> argparse.ArgumentParser:
     add_feed(sub)
     form = sub.add_mutually_exclusive_group(required=True)
     form.add_argument(
-        "--multi-line", action="store_true", help="values may hold line breaks; one task per file"
+        "--multi-line", action="store_true", help="values may hold line breaks; three scans"
     )
     form.add_argument(
-        "--single-line", action="store_true", help="no line breaks in values; files are split"
+        "--single-line", action="store_true", help="no line breaks in values; one scan"
     )
 
     sub = command(layers, "base")
