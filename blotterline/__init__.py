@@ -63,6 +63,7 @@ from blotterline.sources import (
     read_incident_csv,
     read_layer,
     read_messages,
+    read_period,
 )
 from blotterline.streaming import (
     await_any,
@@ -117,6 +118,7 @@ __all__ = [
     "read_incident_csv",
     "read_layer",
     "read_messages",
+    "read_period",
     "reason_counts",
     "report_of_counts",
     "roc_points",

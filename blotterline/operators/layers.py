@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from blotterline.functions import event_time, flag
 from blotterline.operators.dedup import collapse_copies, dedup_first
-from blotterline.schema import FLAG_FIELDS, GOLD_FIELDS, INCIDENT_SCHEMA, REQUIRED_FIELDS
+from blotterline.schema import EVENT_DAY, FLAG_FIELDS, GOLD_FIELDS, INCIDENT_SCHEMA, REQUIRED_FIELDS
 
 _EVENT_TIME = "__event_time"
 #: Set in rows of :func:`silver_and_dated` that only show a record's event time.
@@ -89,6 +89,12 @@ def silver_and_dated(parsed: DataFrame, again: DataFrame, delay: str) -> DataFra
     return silver.unionByName(seen.filter(F.col(EVENT_TIME).isNotNull()))
 
 
+def with_event_day(gold: DataFrame) -> DataFrame:
+    """Gold as it is stored: with the day of the event, whose minima and maxima per file and row group
+    tell a scan of a period what to skip."""
+    return gold.withColumn(EVENT_DAY, event_time(F.col("Date")).cast("date"))
+
+
 def to_gold(silver: DataFrame) -> DataFrame:
     """The ten columns that analysis uses."""
     return silver.select(*GOLD_FIELDS)

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blotterline.operators.layers import parse_payload, to_bronze, to_gold, to_silver
+from blotterline.operators.layers import (
+    parse_payload,
+    to_bronze,
+    to_gold,
+    to_silver,
+    with_event_day,
+)
+from blotterline.schema import EVENT_DAY
 from blotterline.sinks.partitions import BACKFILL, strangers
 from blotterline.sinks.tables import replace_batch
 
@@ -34,4 +41,6 @@ def backfill(envelope: DataFrame, base: str, fmt: str = "parquet") -> None:
 
     bronze = write(to_bronze(envelope), layers[0])
     silver = write(to_silver(parse_payload(bronze)), layers[1])
-    write(to_gold(silver), layers[2])
+    # History is read by period: its files are cut by the day of the event.
+    gold = with_event_day(to_gold(silver)).repartitionByRange(EVENT_DAY).sortWithinPartitions(EVENT_DAY)
+    write(gold, layers[2])

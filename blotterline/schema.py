@@ -56,6 +56,9 @@ GOLD_FIELDS = [
 
 DATE_FORMAT = "MM/dd/yyyy hh:mm:ss a"
 
+# Beside gold's own columns in its files: the day of the event, null if the date is unreadable.
+EVENT_DAY = "event_day"
+
 # Spark day numbers of the weekend: Sunday and Saturday.
 WEEKEND_DAYS = [1, 7]
 

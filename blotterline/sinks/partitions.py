@@ -12,10 +12,11 @@ from functools import reduce
 from operator import or_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from blotterline.schema import EVENT_DAY
 from blotterline.session import materialize
 
 WRITER, BATCH = "writer", "batch"
@@ -34,19 +35,25 @@ MISSING = {
 
 
 def write_batch(df: DataFrame, path: str, writer: str, number: int) -> DataFrame:
-    """Write ``df`` as the one content of a writer's batch and give back what was written."""
+    """Write ``df`` as the one content of a writer's batch and give back what was written.
+
+    A batch without rows has no partition, so it replaces nothing: a streaming batch that is written
+    again has rows if it had some. A backfill may be run again with less and overwrites its folder.
+    """
     spark, folder = df.sparkSession, f"{path}/{WRITER}={writer}/{BATCH}={number}"
     taken = {name.lower() for name in df.columns} & {WRITER, BATCH}
     if taken:
         raise ValueError(f"a layer has no columns of its own named {sorted(taken)}")
-    written = Observation()
-    tagged = df.observe(written, F.count(F.lit(1)).alias("rows"))
-    tagged = tagged.withColumns({WRITER: F.lit(writer), BATCH: F.lit(number)})
-    _overwrite(tagged, path)
-    if not written.get["rows"]:
-        # Without rows there is no partition to overwrite: an older copy would stay.
-        df.limit(0).write.mode("overwrite").parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    if writer == BACKFILL:
+        df.write.mode("overwrite").parquet(folder)
+    else:
+        _overwrite(df.withColumns({WRITER: F.lit(writer), BATCH: F.lit(number)}), path)
+    try:
+        return spark.read.schema(df.schema).parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() not in MISSING:
+            raise
+        return spark.createDataFrame([], df.schema)
 
 
 def _overwrite(tagged: DataFrame, path: str, file_rows: int | None = None) -> None:
@@ -78,8 +85,8 @@ def is_partitioned(layer: DataFrame) -> bool:
 
 
 def without_partitions(layer: DataFrame) -> DataFrame:
-    """The layer's own columns."""
-    return layer.drop(WRITER, BATCH) if is_partitioned(layer) else layer
+    """The layer's own columns, without those that only help writing and reading it."""
+    return layer.drop(WRITER, BATCH, EVENT_DAY) if is_partitioned(layer) else layer
 
 
 def strangers(spark: SparkSession, path: str, own: Column) -> str | None:
@@ -119,8 +126,9 @@ def compact_layer(
 
     One Spark job reads all but the newest batch of each writer (only that one can be written
     again), a second one overwrites their partitions from that copy; should it be stopped, the next
-    call finds the partitions as they were or rewritten. Files are cut by ``order`` within a batch,
-    so that their minima and maxima tell readers of a range which to skip. ``file_rows`` bounds
+    call finds the partitions as they were or rewritten. Files are cut by ``order`` within a batch
+    (gold: by the day of the event), so that their minima and maxima tell readers of a range which
+    to skip. ``file_rows`` bounds
     the rows of a file. A read under way may miss files that were replaced.
     """
     layer = stored(spark, path)
@@ -130,7 +138,9 @@ def compact_layer(
     count = finished.select(WRITER, BATCH).distinct().count()
     if not count:
         return 0
-    keys = [WRITER, BATCH, *(order or [])]
+    if order is None:
+        order = [EVENT_DAY] if EVENT_DAY in layer.columns else []
+    keys = [WRITER, BATCH, *order]
     rows = materialize(finished, "compacted").repartitionByRange(*keys).sortWithinPartitions(*keys)
     _overwrite(rows, path, file_rows)
     return count

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from blotterline.sinks.partitions import MISSING, without_partitions
+from blotterline.functions import event_time
+from blotterline.schema import EVENT_DAY, GOLD_SCHEMA
+from blotterline.sinks.partitions import MISSING, stored, without_partitions
 
 
 class LayerNotReady(RuntimeError):
@@ -44,3 +49,25 @@ def read_layer(
     if on_missing == "error" and layer.isEmpty():
         raise LayerNotReady(f"the layer at {path} has no rows")
     return layer
+
+
+def read_period(
+    spark: SparkSession, path: str, first: date, last: date, fmt: str = "parquet"
+) -> DataFrame:
+    """The rows of gold whose event is on one of the days from ``first`` to ``last``.
+
+    Rows without a readable date are on no day. Files and row groups whose days lie outside are
+    skipped by their statistics; compaction and backfills cut files by day. Batches that were
+    written without that column are read whole. An absent layer has no rows.
+    """
+    days = T.StructType([*GOLD_SCHEMA.fields, T.StructField(EVENT_DAY, T.DateType())])
+    if fmt == "parquet":
+        layer = stored(spark, path, days)
+        layer = spark.createDataFrame([], days) if layer is None else layer
+    else:
+        layer = spark.read.format(fmt).load(path)
+    day = F.col(EVENT_DAY)
+    written = event_time(F.col("Date")).cast("date").between(F.lit(first), F.lit(last))
+    # In this form, the part that the files' statistics can decide is a filter of its own.
+    inside = (day.between(F.lit(first), F.lit(last)) | day.isNull()) & (day.isNotNull() | written)
+    return layer.where(inside).select(*GOLD_SCHEMA.names)

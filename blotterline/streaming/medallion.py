@@ -16,10 +16,11 @@ from blotterline.operators.layers import (
     to_bronze,
     to_gold,
     to_silver,
+    with_event_day,
 )
 from blotterline.operators.rejects import split_messages
 from blotterline.plans.counts import partial_counts
-from blotterline.schema import SILVER_SCHEMA
+from blotterline.schema import EVENT_DAY, SILVER_SCHEMA
 from blotterline.session import conf_defaults
 from blotterline.sinks.partitions import BACKFILL, strangers
 from blotterline.sinks.tables import replace_batch
@@ -103,13 +104,16 @@ def start_medallion(
             batch = batch.filter(F.col(EVENT_TIME).isNull() | is_late)
         if delay is not None or fmt != "parquet":
             # Stored once first, so that all layers are made of the same rows.
-            batch = replace_batch(batch, f"{checkpoint}/staged", "parquet", writer, 0)
+            path, schema = f"{checkpoint}/staged", batch.schema
+            batch.write.mode("overwrite").parquet(path)
+            batch = spark.read.schema(schema).parquet(path)
         if delay is not None:
             late = batch.filter(F.col(EVENT_TIME).isNotNull()).drop(EVENT_TIME)
             replace_batch(late, f"{base}/late", fmt, writer, batch_id)
             batch = batch.filter(F.col(EVENT_TIME).isNull()).drop(EVENT_TIME)
         silver = replace_batch(batch, f"{base}/silver", fmt, writer, batch_id)
-        gold = replace_batch(to_gold(silver), f"{base}/gold", fmt, writer, batch_id)
+        gold = with_event_day(to_gold(silver))
+        gold = replace_batch(gold, f"{base}/gold", fmt, writer, batch_id).drop(EVENT_DAY)
         if counts:
             replace_batch(partial_counts(gold), f"{base}/counts", fmt, writer, batch_id)
         if console:

@@ -382,6 +382,11 @@ ORACLE: dict[str, str] = {
     "rejects_by_reason": REJECTS,
     "stream_rejects": STREAM_REJECTS,
     "report_refreshes": DASHBOARD_BY_ARRIVAL,
+    "period_report": DASHBOARD.replace(
+        "FROM silver)",
+        """FROM silver WHERE CAST(try_strptime("Date", '%m/%d/%Y %I:%M:%S %p') AS DATE)
+           BETWEEN DATE '2024-01-08' AND DATE '2024-01-14')""",
+    ),
     "silver_differing_copies": _silver_with_block(
         f"CASE WHEN {_EVENT} % 3 <> 2 THEN 'file 0' ELSE 'file 1' END"
     ),

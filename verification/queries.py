@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -249,6 +250,13 @@ def report_refreshes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports
 
 
+def period_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dashboard report of one week, from gold whose finished batches were cut by day."""
+    path = f"{_history_then_stream(spark, sf_dir)}/gold"
+    bl.compact_layer(spark, path)
+    return bl.dashboard_report(bl.read_period(spark, path, date(2024, 1, 8), date(2024, 1, 14)))
+
+
 def silver_differing_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch deduplication of copies that differ: the smallest in column order stays."""
     both = arrivals(spark, sf_dir, F.lit(True), "file 1").unionByName(
@@ -591,6 +599,7 @@ QUERIES: dict[str, Query] = {
     "rejects_by_reason": rejects_by_reason,
     "stream_rejects": stream_rejects,
     "report_refreshes": report_refreshes,
+    "period_report": period_report,
     "silver_differing_copies": silver_differing_copies,
     "absent_layer_report": absent_layer_report,
     "refreshed_layer": refreshed_layer,
