@@ -40,15 +40,18 @@ def sums_by_text(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return running[stops] - running[stops - lengths]
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50) -> np.ndarray:
+def fit_logistic(
+    x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50, sample_weights: np.ndarray | None = None
+) -> np.ndarray:
     """Weights of a ridge logistic regression by Newton steps; the last one is the constant."""
+    rows = np.ones(len(y)) if sample_weights is None else sample_weights
     x = np.column_stack([x, np.ones(len(x))])
     penalty = np.diag([ridge] * (x.shape[1] - 1) + [1e-3])
     weights = np.zeros(x.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-        gradient = x.T @ (p - y) + penalty @ weights
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + penalty
+        gradient = x.T @ (rows * (p - y)) + penalty @ weights
+        hessian = (x * (rows * p * (1 - p))[:, None]).T @ x + penalty
         step = np.linalg.solve(hessian, gradient)
         weights = weights - step
         if np.abs(step).max() < 1e-8:

@@ -1,21 +1,22 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 Words are mapped to the grammar's symbols: insult, threat, target, negation, reported speech,
-clause end, other. One small transducer follows each of target, negation, reported speech, insult
-and threat through a clause; their composition is one table, run once over a clause. An insult's
-weight is learned; what it counts for depends on the clause it stands in: plain, at a target, denied
-or reported. A document's score is a logistic function of its matched clauses by kind.
+clause end, other. One small transducer follows each of target, negation and insult, reported speech
+and threat through a clause; their composition is one table, run once over a clause. Arcs that read
+an insult write it, with its weight, as open or as denied, by the negations just before it; the state
+at the clause's end says what the written weights count for: plain, at a target, denied or
+reported. A document's score is a logistic function of its matched clauses by kind.
 
 Insults are learned as words and as word beginnings (stems of inflected forms) from labelled
-documents, one of each group of near copies, or the words of a much copied document would all
-look toxic.
+documents: by how often they are used, damped in each document, in toxic and in clean ones. Copies
+share the weight of one document, or the words of a much copied document would all look toxic.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import product
 
@@ -32,7 +33,8 @@ from blotterline.llm.models import bounded_sample, fit_logistic, logistic
 SAMPLE_PER_CLASS = 8_000
 #: Documents that an insult must be in, and by how much likelier it is in toxic ones (log odds).
 LEAST_SUPPORT, LEAST_ODDS = 8, 3.0
-STEMS = (4, 5, 6)
+STEMS = (4, 5, 6, 7, 8)
+#: Documents with one label that share so many minhashes of three-word shingles are copies.
 MINHASHES = 6
 FRAME_CHARS = 1_000_000
 
@@ -51,67 +53,75 @@ KINDS = ("plain", "targeted", "denied", "reported", "threat")
 FACTORS = np.array([1.0, 1.5, 0.2, 0.4, 1.5])
 
 
+SYMBOL_COUNT = 7
+#: What an arc writes: nothing, or the weight of the insult that it reads.
+NOTHING, OPEN, DENIED = range(3)
+
+
 class Transducer:
-    """States 0 .. n-1 from 0; ``table[state][symbol]`` is the next state."""
+    """States 0 .. n-1 from 0; ``table[state][symbol]`` is the next state, ``output`` what is written."""
 
-    def __init__(self, table: list[list[int]]):
+    def __init__(self, table: list[list[int]], output: list[list[int]] | None = None):
         self.table = table
+        self.output = output or [[NOTHING] * SYMBOL_COUNT for _ in table]
 
     def compose(self, other: Transducer) -> Transducer:
-        """Both at once: states are pairs, numbered row by row."""
+        """Both at once: states are pairs, numbered row by row; one of the two writes."""
         wide = len(other.table)
+        pairs = list(product(range(len(self.table)), range(wide)))
+        every = range(SYMBOL_COUNT)
         return Transducer(
-            [
-                [a[s] * wide + b[s] for s in range(len(a))]
-                for a, b in product(self.table, other.table)
-            ]
+            [[self.table[a][s] * wide + other.table[b][s] for s in every] for a, b in pairs],
+            [[self.output[a][s] or other.output[b][s] for s in every] for a, b in pairs],
         )
 
 
-def _seen(symbol: int, states: int = 2) -> Transducer:
+def _seen(symbol: int) -> Transducer:
     """Whether the symbol has been seen in the clause."""
     rows = []
-    for state in range(states):
-        row = [state] * 7
+    for state in range(2):
+        row = [state] * SYMBOL_COUNT
         row[symbol], row[END] = 1, 0
         rows.append(row)
     return Transducer(rows)
 
 
-def _denied_insult() -> Transducer:
-    """0: no insult; 1-3: a negation up to three words ago; 4: an insult denied; 5: one not denied."""
-    rows = [[max(0, s - 1)] * 7 for s in range(4)] + [[4] * 7, [5] * 7]
-    for state, row in enumerate(rows):
-        if state < 4:
-            row[NEGATION] = 3
-            row[INSULT] = 4 if state else 5
-        else:
-            row[INSULT] = 5 if state == 5 else 4
-        row[END] = 0
-    return Transducer(rows)
+#: Words after a negation that it still denies.
+REACH = 3
+
+
+def _insults() -> Transducer:
+    """States: how far a negation still reaches, and whether an insult has been read (from
+    ``REACH + 1`` on). An insult is written as denied where a negation reaches it."""
+    rows, output = [], []
+    for read in (0, 1):
+        for reach in range(REACH + 1):
+            base = read * (REACH + 1)
+            row = [base + max(0, reach - 1)] * SYMBOL_COUNT
+            row[NEGATION], row[INSULT], row[END] = base + REACH, REACH + 1 + max(0, reach - 1), 0
+            rows.append(row)
+            written = [NOTHING] * SYMBOL_COUNT
+            written[INSULT] = DENIED if reach else OPEN
+            output.append(written)
+    return Transducer(rows, output)
 
 
-_PARTS = (_seen(TARGET), _seen(REPORT), _seen(THREAT), _denied_insult())
-GRAMMAR = _PARTS[0].compose(_PARTS[1]).compose(_PARTS[2]).compose(_PARTS[3])
+GRAMMAR = _seen(TARGET).compose(_seen(REPORT)).compose(_seen(THREAT)).compose(_insults())
 
 
-def clause_kind(state: int) -> int | None:
-    """What kind of clause ends in a state of the composed grammar; None: nothing of interest."""
-    state, insult = divmod(state, 6)
+def clause_kinds(state: int) -> tuple[int, int, int | None]:
+    """Of a clause that ends in a state of the grammar: the kind of its open and of its denied
+    insults, and the kind of its threat (None: it has none, or insults speak for it)."""
+    state, insult = divmod(state, 2 * (REACH + 1))
     state, threat = divmod(state, 2)
     target, report = divmod(state, 2)
-    if insult < 4:
-        if threat and target:
-            return 3 if report else 4
-        return None
+    threatens = threat and target and insult <= REACH
     if report:
-        return 3
-    if insult == 4:
-        return 2
-    return 1 if target else 0
+        return 3, 3, 3 if threatens else None
+    return (1 if target else 0), 2, 4 if threatens else None
 
 
-FINAL = [clause_kind(state) for state in range(len(GRAMMAR.table))]
+FINAL = [clause_kinds(state) for state in range(len(GRAMMAR.table))]
 SYMBOLS = {
     **dict.fromkeys(TARGETS, TARGET),
     **dict.fromkeys(NEGATIONS, NEGATION),
@@ -147,15 +157,17 @@ class ToxicGrammar:
                 continue
             sums = np.zeros(len(KINDS))
             for clause in CLAUSE.split(text):
-                state, weight, open_words = 0, 0.0, WORD.findall(clause)
-                for word in open_words:
+                state, written = 0, [0.0, 0.0, 0.0]
+                for word in WORD.findall(clause):
                     own = weights.get(word)
                     symbol = INSULT if own else SYMBOLS.get(word, OTHER)
-                    weight += own or 0.0
+                    written[GRAMMAR.output[state][symbol]] += own or 0.0
                     state = GRAMMAR.table[state][symbol]
-                kind = FINAL[state]
-                if kind is not None:
-                    sums[kind] += weight or 1.0
+                open_kind, denied_kind, threat_kind = FINAL[state]
+                sums[open_kind] += written[OPEN]
+                sums[denied_kind] += written[DENIED]
+                if threat_kind is not None:
+                    sums[threat_kind] += 1.0
             x[at, : len(KINDS)] = np.log1p(sums)
             x[at, -2:] = math.log1p(float(sums @ FACTORS)), math.log1p(len(weights))
         return x
@@ -164,37 +176,19 @@ class ToxicGrammar:
         return logistic(self.features(texts), self.weights)
 
 
-def _minhashes(words: list[str]) -> list[int]:
-    """The least of several hashes of the text's three-word shingles: near copies share most."""
+def _signature(words: list[str]) -> str:
+    """The least of several hashes of the text's three-word shingles: copies have all in common."""
     shingles = {" ".join(words[i : i + 3]).encode() for i in range(max(1, len(words) - 2))}
     own = np.array([xxh64_intdigest(s) for s in shingles], np.uint64)
     seeds = np.random.default_rng(3).integers(1, 1 << 62, MINHASHES, np.uint64) | np.uint64(1)
-    return [int((own * seed).min() >> np.uint64(1)) for seed in seeds]
-
-
-def _one_per_group(rows: pd.DataFrame) -> list:
-    """doc_ids of one document of each group that shares a label and a minhash, group by group."""
-    parent = list(range(len(rows)))
-
-    def find(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    first: dict[tuple, int] = {}
-    for i, (toxic, hashes) in enumerate(zip(rows["toxic"], rows["hashes"], strict=True)):
-        for key in enumerate(hashes):
-            other = find(first.setdefault((toxic, *key), i))
-            parent[max(find(i), other)] = min(find(i), other)
-    return [doc for i, doc in enumerate(rows["doc_id"]) if find(i) == i]
+    return ",".join(f"{int((own * seed).min()):x}" for seed in seeds)
 
 
 def fit_grammar(docs: DataFrame, labels: DataFrame) -> ToxicGrammar:
     """The grammar from ``labels`` (doc_id, toxic 0 or 1) and the texts they belong to.
 
     At most ``SAMPLE_PER_CLASS`` documents of each class, whole texts; a repeated doc_id counts
-    once, and so do near copies. Null labels and labels without a document are left out. Without
+    once, and the copies of a text share the weight of one. Null labels and labels without a document are left out. Without
     documents of both classes every score is the share of toxic labels (none: 0).
     """
     spark = docs.sparkSession
@@ -209,36 +203,43 @@ def fit_grammar(docs: DataFrame, labels: DataFrame) -> ToxicGrammar:
     )
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def hashes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def signed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            own = [_minhashes(t.lower().split()) for t in frame["text"]]
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "toxic": frame["toxic"], "hashes": own})
+            yield frame.assign(signature=[_signature(t.lower().split()) for t in frame["text"]])
 
-    rows = sample.mapInPandas(hashes, f"doc_id {kind}, toxic int, hashes array<long>").toPandas()
-    single = spark.createDataFrame(pd.DataFrame({"doc_id": _one_per_group(rows)}, dtype=object), f"doc_id {kind}")
-    sample = materialize(sample.join(F.broadcast(single), "doc_id", "left_semi"), "toxic-single")
+    schema = sample.select("*", F.lit("").alias("signature")).schema
+    signatures = materialize(map_frames(sample, signed, schema), "toxic-signed")
+    copies = signatures.groupBy("toxic", "signature").agg((1 / F.count(F.lit(1))).alias("weight"))
+    sample = materialize(signatures.join(copies, ["toxic", "signature"]).drop("signature"), "toxic-weighted")
 
     def parts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Words and stems of each document, counted over the task's documents."""
-        counts: dict[tuple[str, bool], list[int]] = defaultdict(lambda: [0, 0])
+        """Words and stems: documents that have them, and their damped uses, over the task's documents."""
+        found: dict[tuple[str, bool], np.ndarray] = defaultdict(lambda: np.zeros(3))
         for frame in frames:
-            for text, toxic in zip(frame["text"], frame["toxic"], strict=True):
-                words = set(WORD.findall(text.lower().replace("'", "")))
-                for word in words:
-                    counts[word, False][toxic] += 1
-                for stem in {w[:n] for w in words for n in STEMS if len(w) > n}:
-                    counts[stem, True][toxic] += 1
-        rows = [(part, stem, clean, toxic) for (part, stem), (clean, toxic) in counts.items()]
-        yield pd.DataFrame(rows, columns=["part", "stem", "clean", "toxic"])
+            for text, toxic, weight in zip(frame["text"], frame["toxic"], frame["weight"], strict=True):
+                used = Counter(WORD.findall(text.lower().replace("'", "")))
+                stems: Counter = Counter()
+                for word, times in used.items():
+                    for size in STEMS:
+                        if len(word) > size:
+                            stems[word[:size]] += times
+                for is_stem, counts in ((False, used), (True, stems)):
+                    for part, times in counts.items():
+                        own = found[part, is_stem]
+                        own[toxic] += weight * math.log2(1 + times)
+                        own[2] += weight * toxic
+        rows = [(part, stem, *own.tolist()) for (part, stem), own in found.items()]
+        yield pd.DataFrame(rows, columns=["part", "stem", "clean", "toxic", "support"])
 
     found = (
-        sample.mapInPandas(parts, "part string, stem boolean, clean long, toxic long")
+        sample.mapInPandas(parts, "part string, stem boolean, clean double, toxic double, support double")
         .groupBy("part", "stem")
-        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        .where(F.col("toxic") >= LEAST_SUPPORT)
+        .agg(*[F.sum(name).alias(name) for name in ("clean", "toxic", "support")])
+        # Sums of weights differ in the last digits with their order.
+        .where(F.col("support") >= LEAST_SUPPORT - 1e-6)
         .toPandas()
     )
-    sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.sum("weight").alias("n")).collect()}
     if len(sizes) < 2:
         grammar = ToxicGrammar({}, {})
         grammar.weights[-1] = math.log(max(share, 1e-9) / max(1 - share, 1e-9))
@@ -252,12 +253,13 @@ def fit_grammar(docs: DataFrame, labels: DataFrame) -> ToxicGrammar:
 
     def shape(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({"toxic": frame["toxic"], "x": list(grammar.features(frame["text"].tolist()))})
+            own = list(grammar.features(frame["text"].tolist()))
+            yield pd.DataFrame({"toxic": frame["toxic"], "weight": frame["weight"], "x": own})
 
-    fitted = sample.mapInPandas(shape, "toxic int, x array<double>").toPandas()
-    y = fitted["toxic"].to_numpy(float)
-    grammar.weights = fit_logistic(np.array(fitted["x"].tolist()), y)
-    own = y.mean() / (1 - y.mean())
+    fitted = sample.select("toxic", "weight", "text").mapInPandas(shape, "toxic int, weight double, x array<double>").toPandas()
+    y, weight = fitted["toxic"].to_numpy(float), fitted["weight"].to_numpy(float)
+    grammar.weights = fit_logistic(np.array(fitted["x"].tolist()), y, sample_weights=weight)
+    own = (y * weight).sum() / ((1 - y) * weight).sum()
     grammar.weights[-1] += math.log(share / (1 - share) / own)
     return grammar
 

@@ -135,20 +135,59 @@ def test_quality_dirt(spark):
 # --- toxicity ---------------------------------------------------------------
 
 
+def written(clause: str, insults: dict[str, float]) -> list[float]:
+    """What the composed transducers make of one clause, by kind."""
+    grammar, found = tx.ToxicGrammar(insults, {}), [0.0] * len(tx.KINDS)
+    row = grammar.features([clause])[0]
+    for kind in range(len(tx.KINDS)):
+        found[kind] = round(float(np.expm1(row[kind])), 9)
+    return found
+
+
 @pytest.mark.parametrize(
-    ("clause", "kind"),
+    ("clause", "kinds"),
     [
-        ("a fool here", 0), ("you are a fool", 1), ("fool that you are", 1), ("you are not a fool", 2),
-        ("never has a fool", 2), ("not one two three four fool", 0), ("she said fool", 3), ("we kill you", 4),
-        ("you kill", 4), ("kill time", None), ("plain words", None), ("he said kill them", 3), ("not a fool but you fool", 2),
+        ("a fool here", {0: 1}), ("you are a fool", {1: 1}), ("fool that you are", {1: 1}), ("you are not a fool", {2: 1}),
+        ("never has a fool", {2: 1}), ("not one two three four fool", {0: 1}), ("she said fool", {3: 1}), ("we kill you", {4: 1}),
+        ("you kill", {4: 1}), ("kill time", {}), ("plain words", {}), ("he said kill them", {3: 1}),
+        ("not a fool but you fool", {2: 1, 1: 1}), ("no fool fool here it is a fool", {2: 2, 0: 1}), ("you kill a fool", {1: 1}),
     ],
 )
-def test_grammar_of_clauses(clause, kind):
-    state = 0
-    for word in clause.split():
-        state = tx.GRAMMAR.table[state][tx.INSULT if word == "fool" else tx.SYMBOLS.get(word, tx.OTHER)]
-    assert tx.FINAL[state] == kind
-    assert tx.GRAMMAR.table[state][tx.END] == 0
+def test_grammar_of_clauses(clause, kinds):
+    assert written(clause, {"fool": 1.0}) == [kinds.get(kind, 0) for kind in range(len(tx.KINDS))]
+
+
+def plain_kinds(clause: list[str], insults: dict[str, float]) -> list[float]:
+    """The same by rules over the whole clause."""
+    sums = [0.0] * len(tx.KINDS)
+    reported, targeted = any(w in tx.REPORTS for w in clause), any(w in tx.TARGETS for w in clause)
+    for at, word in enumerate(clause):
+        if word in insults:
+            denied = any(w in tx.NEGATIONS for w in clause[max(0, at - tx.REACH) : at])
+            sums[3 if reported else 2 if denied else 1 if targeted else 0] += insults[word]
+    if targeted and any(w in tx.THREATS for w in clause) and not any(w in insults for w in clause):
+        sums[3 if reported else 4] += 1
+    return sums
+
+
+def test_the_composition_equals_plain_rules():
+    draw = random.Random(11)
+    insults = {"fool": 2.0, "dolt": 0.5}
+    words = ["fool", "dolt", "you", "not", "never", "said", "kill", "plain", "word", "other", "time"]
+    for _ in range(500):
+        clause = draw.choices(words, k=draw.randrange(1, 12))
+        assert written(" ".join(clause), insults) == pytest.approx(plain_kinds(clause, insults))
+
+
+def test_held_out_toxicity_in_every_language(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    got = tx.score_documents(docs, labels).where("held_out").join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+    rows = got.toPandas()
+    clean = rows[rows["toxic"] == 0]
+    assert len(clean) > 500 and (clean["predicted"] == 0).mean() >= 0.995
+    found = rows[rows["toxic"] == 1].groupby("lang")["predicted"].agg(["mean", "count"])
+    assert set(found.index) == {"de", "en", "es", "fr"} and found["mean"].min() >= 0.8, found
 
 
 def test_toxicity_learns_words_and_stems_but_not_copies(spark):
