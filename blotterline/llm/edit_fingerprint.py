@@ -16,6 +16,7 @@ the share of equal slots verifies them.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -38,7 +39,6 @@ from blotterline.llm.components import components, connect
 PERIOD = 4_096
 CLASSES = 1_024  # character hashes
 SLOTS = 128
-BANDS, BAND_SLOTS = 16, 8
 SIDE_BY_SIDE = 4_096  # characters up to which texts walk side by side
 #: Members of one block of a crowded bucket.
 BUCKET_BLOCK = 256
@@ -177,36 +177,43 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return map_frames(_texts(docs, doc_id, text), run, f"doc_id {kind}, fingerprint binary")
 
 
+def bands_for(least: float) -> int:
+    """Bands that each hold other slots, so many that fingerprints of that likeness agree in one whole
+    band: one more than the slots in which they may differ."""
+    return min(SLOTS, int(math.floor((1 - least) * SLOTS + 1e-9)) + 1)
+
+
 def similar_documents(
     docs: DataFrame, least: float = 0.8, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """doc_id, fingerprint and ``class_id``: documents linked by fingerprints of likeness ``least``.
 
-    Distinct fingerprints that agree in all slots of a band meet and are verified; classes are
-    what the verified links connect, named by their smallest doc_id. A bucket is cut into blocks
-    that meet two by two, so no task holds a crowded bucket, and a cell returns a spanning forest of
-    its links, not all pairs. Equal fingerprints are one entry.
+    Distinct fingerprints that agree in all slots of a band meet and are verified; the bands miss no
+    pair of that likeness. Classes are what the verified links connect, named by their smallest
+    doc_id. A bucket is cut into blocks that meet two by two, so no task holds a crowded bucket, and a
+    cell returns a spanning forest of its links, not all pairs. Equal fingerprints are one entry.
     """
     marked = materialize(fingerprints(docs, doc_id, text), "edit-fingerprints")
     distinct, _ = numbered_rows(
         marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least")), "fingerprint", column="node"
     )
     distinct = materialize(distinct, "edit-distinct")
+    count = bands_for(least)
 
     def band(b: int) -> Column:
         # Bit-sampled: each band takes its own slots, spread over the fingerprint.
-        return F.concat(*[F.substring("fingerprint", 1 + b + BANDS * i, 1) for i in range(BAND_SLOTS)])
+        own = [F.substring("fingerprint", 1 + at, 1) for at in range(b, SLOTS, count)]
+        return F.xxhash64(F.lit(b), F.concat(*own))
 
-    banded = distinct.select(
-        "node", "fingerprint", F.posexplode(F.array(*[band(b) for b in range(BANDS)])).alias("band", "key")
-    )
-    sizes = banded.groupBy("band", "key").count().where("count > 1")
+    # A key is eight bytes; fingerprints follow only where two of them share one.
+    banded = distinct.select("node", F.explode(F.array(*[band(b) for b in range(count)])).alias("key"))
+    sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("count")).where("count > 1")
     sizes = sizes.withColumn("blocks", F.ceil(F.col("count") / BUCKET_BLOCK).cast("int")).drop("count")
+    met = materialize(banded.join(sizes, "key"), "edit-buckets")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    met = banded.join(sizes, ["band", "key"]).withColumn("own", own)
+    met = met.withColumn("own", own).join(distinct.select("node", "fingerprint"), "node")
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cells = met.select(
-        "band",
         "key",
         F.least("own", "other").alias("a"),
         F.greatest("own", "other").alias("b"),
@@ -227,7 +234,7 @@ def similar_documents(
         linked = np.flatnonzero(parent != np.arange(len(parent)))
         return pd.DataFrame({"u": nodes[linked], "v": nodes[parent[linked]]})
 
-    edges = cells.groupBy("band", "key", "a", "b").applyInPandas(verify, "u long, v long")
+    edges = cells.groupBy("key", "a", "b").applyInPandas(verify, "u long, v long")
     found = components(edges)
     owner = distinct.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = owner.groupBy("component").agg(F.min("least").alias("class_id"))

@@ -27,19 +27,21 @@ from blotterline.llm.models import (
     sums_by_text,
 )
 
-#: Training texts per language (chosen by a hash of doc_id), and n-grams that a language keeps.
+#: Training texts per language (chosen by a hash of doc_id), and languages that are learned: those
+#: with the most labelled texts.
 SAMPLE_PER_LANGUAGE = 2_000
-NGRAMS_PER_LANGUAGE = 20_000
+MOST_LANGUAGES = 256
 #: An n-gram is typical of a language if it is there at least this part as frequent as where it
 #: is most frequent.
 TYPICAL = 0.25
 HASHES = 3
 #: A text is in a known language if its own language holds at least this part of the share of
 #: n-grams that all but ``UNUSUAL`` of the held-out texts reach, and leads the second language by
-#: this part of their lead. Texts of fewer than ``FEW_NGRAMS`` can tie by chance.
+#: this part of their lead. A lead is an estimate from few n-grams: it is allowed an error that falls
+#: with their number, ``DOUBT`` over it.
 LEAST_SHARE, LEAST_LEAD = 0.5, 0.1
 UNUSUAL = 0.01
-FEW_NGRAMS = 20
+DOUBT = 2.0
 FRAME_CHARS = 500_000
 UNKNOWN = "und"
 
@@ -107,8 +109,8 @@ class LanguageFilters:
         return names, score
 
     def evidence(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of each text: the share of its n-grams that the best language holds, its lead over the
-        share of the second, and the number of n-grams. The number of languages does not matter."""
+        """Of each text: the share of its n-grams that the best language holds, and its lead over the
+        share of the second with what few n-grams leave open. The number of languages does not matter."""
         return self._judge(texts)[2]
 
     def _judge(self, texts: list[str | None]):
@@ -124,7 +126,7 @@ class LanguageFilters:
         )
         if not self.languages:
             nothing = np.zeros(len(texts))
-            return [UNKNOWN] * len(texts), nothing, (nothing, nothing, counts)
+            return [UNKNOWN] * len(texts), nothing, (nothing, nothing)
         true = (held - counts[:, None] * self.false_rate) / (1 - self.false_rate)
         true = np.maximum(true, 0)
         best, total = true.argmax(axis=1), true.sum(axis=1)
@@ -135,7 +137,7 @@ class LanguageFilters:
         ]
         shares = np.sort(true, axis=1) / np.maximum(counts, 1)[:, None]
         lead = shares[:, -1] - shares[:, -2] if shares.shape[1] > 1 else shares[:, -1]
-        return names, np.where(letters > 0, score, 0.0), (shares[:, -1], lead, counts)
+        return names, np.where(letters > 0, score, 0.0), (shares[:, -1], lead + DOUBT / np.maximum(counts, 1))
 
 
 def fit_filters(
@@ -143,15 +145,18 @@ def fit_filters(
 ) -> LanguageFilters:
     """Filters from the text and the language of ``training``; rows without a language are left out.
 
-    Fitted on at most ``SAMPLE_PER_LANGUAGE`` texts of each language (whole ones), counted in
-    Spark; the driver gets at most ``NGRAMS_PER_LANGUAGE`` n-grams of each.
+    Fitted on at most ``SAMPLE_PER_LANGUAGE`` texts (whole ones) of each of at most ``MOST_LANGUAGES``
+    languages, counted in Spark; the driver gets the n-grams that are typical of each.
     """
     bound_batches(training.sparkSession)
     labelled = training.where(F.col(lang).isNotNull()).select(
         F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")
     )
+    most = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    learned = [row["lang"] for row in most.collect()]
+    labelled = labelled.where(F.col("lang").isin(learned))
     chosen = bounded_sample(labelled, SAMPLE_PER_LANGUAGE, "lang")
-    # SAMPLE_PER_LANGUAGE ids of each language: a bounded broadcast spares a shuffle of all texts.
+    # At most SAMPLE_PER_LANGUAGE * MOST_LANGUAGES ids: a bounded broadcast spares a shuffle of all texts.
     sample = labelled.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -169,21 +174,10 @@ def fit_filters(
     share = F.col("times") / F.sum("times").over(Window.partitionBy("lang"))
     shares = counts.withColumn("share", share)
     typical = F.col("share") >= TYPICAL * F.max("share").over(Window.partitionBy("ngram"))
-    frequent = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("share"), "ngram"))
-    kept = (
-        shares.withColumn("_typical", typical)
-        .where("_typical")
-        .withColumn("_rank", frequent)
-        .where(F.col("_rank") <= NGRAMS_PER_LANGUAGE)
-        .select("lang", "ngram")
-        .toPandas()
-    )
-    usual = (
-        labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").select("lang").head()
-    )
+    kept = shares.withColumn("_typical", typical).where("_typical").select("lang", "ngram").toPandas()
     languages = sorted(kept["lang"].unique())
     ngrams = {x: kept.loc[kept["lang"] == x, "ngram"].to_numpy(np.int64).view(np.uint64) for x in languages}
-    return LanguageFilters(languages, ngrams, usual[0] if usual else UNKNOWN)
+    return LanguageFilters(languages, ngrams, learned[0] if learned else UNKNOWN)
 
 
 def with_language(docs: DataFrame, filters: LanguageFilters, text: str = "text") -> DataFrame:
@@ -213,22 +207,22 @@ def fit_bounds(
 ) -> tuple[float, float]:
     """Least share and least lead of a text in a known language, from rows ``filters`` never saw.
 
-    Judged on at most ``SAMPLE_PER_LANGUAGE`` texts of each language with enough n-grams; the
+    Judged on at most ``SAMPLE_PER_LANGUAGE`` texts of each language that ``filters`` know; the
     language with the lowest shares or leads sets the bound. No rows give bounds of 0.
     """
     bound_batches(labelled.sparkSession)
     rows = labelled.where(F.col(lang).isNotNull()).select(
         F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")
     )
+    rows = rows.where(F.col("lang").isin(filters.languages))
     chosen = bounded_sample(rows, SAMPLE_PER_LANGUAGE, "lang")
     sample = rows.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
     shared = labelled.sparkSession.sparkContext.broadcast(filters)
 
     def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in small_frames(frames, "text", FRAME_CHARS):
-            share, lead, counts = shared.value.evidence(frame["text"].fillna("").tolist())
-            found = pd.DataFrame({"lang": frame["lang"], "share": share, "lead": lead})
-            yield found[counts >= FEW_NGRAMS]
+            share, lead = shared.value.evidence(frame["text"].fillna("").tolist())
+            yield pd.DataFrame({"lang": frame["lang"], "share": share, "lead": lead})
 
     judged = sample.mapInPandas(judge, "lang string, share double, lead double")
     usual = judged.groupBy("lang").agg(
@@ -249,8 +243,8 @@ def in_known_language(
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in small_frames(frames, text, FRAME_CHARS):
             texts = [x if isinstance(x, str) else None for x in frame[text]]
-            names, _, (share, lead, counts) = shared.value._judge(texts)
-            known = (share >= least_share) & ((lead >= least_lead) | (counts < FEW_NGRAMS))
+            names, _, (share, lead) = shared.value._judge(texts)
+            known = (share >= least_share) & (lead >= least_lead)
             yield frame[known & (np.array(names, object) != UNKNOWN)]
 
     return map_frames(docs, run, docs.schema)

@@ -12,7 +12,8 @@ each with a population of packings:
   best packing of its neighbour.
 
 Sequences of the best packing that are not well filled give their pieces to a second level of
-blocks, which are packed the same way. An island is one row (lengths and packings as arrays of
+blocks, which are packed the same way, if there is more than one block: what a single block leaves
+has nothing else to be packed with. An island is one row (lengths and packings as arrays of
 bounded size), so epochs are maps and migration is one shuffle of these rows.
 """
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from blotterline.llm.bpe import code_digests
 from blotterline.llm.common import read_table
 from blotterline.llm.conversation_repair import damaged, normal_rows, repair
-from blotterline.llm.edit_fingerprint import edited_fingerprints
+from blotterline.llm.edit_fingerprint import edited_fingerprints, similar_documents
 from blotterline.llm.html_text import extract
 from blotterline.llm.language_id import identify
 from blotterline.llm.packing import pack_documents
@@ -59,6 +59,12 @@ def op7_edit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(read_table(spark, sf_dir, "documents"))
 
 
+def edit_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents whose edit fingerprints agree in four fifths of their slots."""
+    found = similar_documents(read_table(spark, sf_dir, "documents"), 0.8)
+    return found.withColumn("fingerprint", F.lower(F.hex("fingerprint")))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(read_table(spark, sf_dir, "documents"))
 
@@ -113,4 +119,5 @@ QUERIES: dict[str, Query] = {
     "op11_quality_rules": op11_quality_rules,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_token_alignment": op13_token_alignment,
+    "edit_classes": edit_classes,
 }

@@ -187,3 +187,29 @@ def test_similar_documents(spark, monkeypatch):
     prints = ef.embed([t or "" for t in texts])
     pairs = [(i, j) for i in range(len(texts)) for j in range(i) if (prints[i] == prints[j]).mean() >= 0.8]
     assert [got[i] for i in range(len(texts))] == union_find(len(texts), pairs)
+
+
+def test_bands_cannot_miss():
+    draw = random.Random(8)
+    for least in (0.5, 0.8, 0.9, 1.0):
+        bands = ef.bands_for(least)
+        differing = int((1 - least) * ef.SLOTS + 1e-9)
+        slots = [set(range(b, ef.SLOTS, bands)) for b in range(bands)]
+        assert set().union(*slots) == set(range(ef.SLOTS)) and sum(map(len, slots)) == ef.SLOTS
+        for _ in range(200):
+            apart = set(draw.sample(range(ef.SLOTS), differing))
+            assert any(not (own & apart) for own in slots)
+
+
+def test_edit_classes_equal_brute_force(spark):
+    from blotterline.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    ids = sorted(docs)
+    prints = ef.embed([docs[i] for i in ids])
+    pairs = [(i, j) for i in range(len(ids)) for j in range(i) if (prints[i] == prints[j]).mean() >= 0.8]
+    assert len(pairs) > 3
+    roots = union_find(len(ids), pairs)
+    got = {r["doc_id"]: (r["class_id"], r["fingerprint"]) for r in QUERIES["edit_classes"](spark, folder).collect()}
+    assert got == {d: (ids[root], p.tobytes().hex()) for d, root, p in zip(ids, roots, prints)}

@@ -10,6 +10,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from blotterline.llm import bpe
+from blotterline.llm import packing as pk
 from blotterline.llm.bpe import Codec, code_digests, decode, encode, merge_word
 from blotterline.llm.packing import best_fit, evolve, fills, pack, pack_documents
 
@@ -138,3 +139,21 @@ def test_islands_never_lose_pieces_and_never_get_worse():
         filled = fills(packing, lengths)
         assert len(packing) == 400 and filled.max() <= 2048 and filled.min() > 0
         assert filled.sum() == lengths.sum()
+
+
+def test_crossover_beats_the_packings_it_starts_from(monkeypatch):
+    """Where best fit is not optimal, whole well-filled sequences put together are; without mutation."""
+    monkeypatch.setattr(pk, "POPULATION", 8)
+    monkeypatch.setattr(pk, "OFFSPRING", 60)
+    with_crossover, alone = 0, 0
+    for seed in range(15):
+        lengths = np.random.default_rng(seed).integers(150, 600, 40)
+        monkeypatch.setattr(pk, "OFFSPRING", 0)
+        start = pk.evolve(lengths, [], 1000, seed * 10)
+        before = min(int(p.max()) + 1 for p in start)
+        monkeypatch.setattr(pk, "OFFSPRING", 60)
+        with_crossover += int(pk.evolve(lengths, [], 1000, seed * 10)[0].max()) + 1 < before
+        with monkeypatch.context() as only:
+            only.setattr(pk, "mutation", lambda packing, *_: packing)
+            alone += int(pk.evolve(lengths, [], 1000, seed * 10)[0].max()) + 1 < before
+    assert with_crossover >= 1 and alone >= 1
