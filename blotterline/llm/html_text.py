@@ -2,15 +2,16 @@
 
 Pages of a host are made from templates, and pages with neighbouring URLs from the same one. Each
 page is cut into lines (block by block, in page order) and compared with the nearest pages of its
-host in URL order: lines of their longest common subsequence are the template's and go. What the
-markup itself names as boilerplate (menus, footers, forms, adverts, comments) goes as well, and
-what it names as the article stays even if another page has it: the same article may be
-published twice.
-
-Pages are cut into lines and packed before they are shuffled, which halves what is shuffled; Spark
-cuts them twice, as it samples the keys first. One range shuffle by host and URL puts neighbours next to each other, a host with a third of all
-pages over many ranges. A task compares pages as they come; only the first and last page of a
-range wait for the pages of the ranges beside it, two per range.
+host in URL order: lines of their longest common subsequences are the template's and go. Pages that
+share most of their text are copies of an article rather than of a template; they are passed over
+for the next page. What the markup itself names as boilerplate (menus, footers, forms, adverts,
+comments) goes as well, and what it names as the article stays even if another page has it.
+
+Equal pages of a host are one page here, and all get its text. Ranges of URLs are drawn from a
+sample of the keys alone, so a page is cut into lines once and shuffled once, packed, to the range
+it lies in, a host with a third of all pages over many ranges. A task compares pages as they come;
+only the first and last pages of a range wait for those of the ranges beside it, a fixed number per
+range.
 """
 
 from __future__ import annotations
@@ -22,12 +23,13 @@ from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from blotterline.llm.common import bound_batches, by_global_order, map_frames, stored_texts
+from blotterline.llm.common import bound_batches, map_frames, materialize, parallelism, stored_texts
 
 # Names of HTML elements and attribute words.
 HIDDEN = frozenset({"script", "style", "head", "title", "template", "noscript", "svg", "iframe", "object", "select", "textarea"})
@@ -148,175 +150,271 @@ def unpacked(body: bytes) -> list[tuple[int, str]]:
     return [(kind, text) for kind, text in json.loads(zlib.decompress(body).decode("utf-8", "surrogatepass"))]
 
 
-def common_lines(a: list[str], b: list[str]) -> set[int]:
-    """Places in ``a`` of a longest common subsequence of two pages' lines.
-
-    Equal beginnings and ends are matched first, and lines that only one page has are left out;
-    neither changes the length. The rest is the bit-parallel form of the usual table: one row per
-    line of ``a``, held as one integer.
-    """
-    first = 0
-    while first < min(len(a), len(b)) and a[first] == b[first]:
-        first += 1
-    last = 0
-    while last < min(len(a), len(b)) - first and a[-1 - last] == b[-1 - last]:
-        last += 1
-    shared = set(range(first)) | set(range(len(a) - last, len(a)))
-    inner_a = [i for i in range(first, len(a) - last)]
-    inner_b = b[first : len(b) - last]
-    in_a = {a[i] for i in inner_a}
-    inner_b = [x for x in inner_b if x in in_a]
-    in_b = set(inner_b)
-    inner_a = [i for i in inner_a if a[i] in in_b]
-    if not inner_a or not inner_b:
-        return shared
+def _places(b: list[str]) -> dict[str, int]:
     places: dict[str, int] = {}
-    for j, x in enumerate(inner_b):
+    for j, x in enumerate(b):
         places[x] = places.get(x, 0) | (1 << j)
-    everything = (1 << len(inner_b)) - 1
+    return places
+
+
+def _lengths(a: list[str], b: list[str]) -> np.ndarray:
+    """Length of the longest common subsequence of ``a`` and each beginning of ``b``."""
+    places, everything = _places(b), (1 << len(b)) - 1
+    row = everything
+    for x in a:
+        matches = row & places.get(x, 0)
+        row = ((row + matches) | (row - matches)) & everything
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(-(-len(b) // 8), "little"), np.uint8), bitorder="little")
+    return np.concatenate([[0], np.cumsum(1 - bits[: len(b)].astype(np.int64))])
+
+
+def _subsequence(a: list[tuple[int, str]], b: list[str]) -> Iterator[int]:
+    """Places (the first of each pair of ``a``) of a longest common subsequence.
+
+    The bit-parallel form of the usual table: one row per line of ``a``, held as one integer. A table
+    of more than ``MOST_BITS`` is cut at the middle line, where the lengths from both ends say how
+    ``b`` is divided, so memory does not grow with the product of the lengths.
+    """
+    if not a or not b:
+        return
+    if len(a) * len(b) > MOST_BITS and len(a) > 1:
+        half = len(a) // 2
+        ahead = _lengths([x for _, x in a[:half]], b)
+        back = _lengths([x for _, x in a[half:]][::-1], b[::-1])[::-1]
+        cut = int(np.argmax(ahead + back))
+        yield from _subsequence(a[:half], b[:cut])
+        yield from _subsequence(a[half:], b[cut:])
+        return
+    places, everything = _places(b), (1 << len(b)) - 1
     rows, row = [], everything
-    for i in inner_a:
-        matches = row & places[a[i]]
+    for _, x in a:
+        matches = row & places.get(x, 0)
         row = ((row + matches) | (row - matches)) & everything
         rows.append(row)
     # A zero bit in a row is a step of the subsequence's length; walk back along the steps.
-    j = len(inner_b) - 1
-    for at in range(len(inner_a) - 1, -1, -1):
+    j = len(b) - 1
+    for at in range(len(a) - 1, -1, -1):
         before = rows[at - 1] if at else everything
         while j >= 0 and rows[at] >> j & 1:
             j -= 1
         if j < 0:
             break
         if before >> j & 1:
-            shared.add(inner_a[at])
+            yield a[at][0]
             j -= 1
+
+
+def common_lines(a: list[str], b: list[str]) -> set[int]:
+    """Places in ``a`` of a longest common subsequence of two pages' lines.
+
+    Equal beginnings and ends are matched first, and lines that only one page has are left out;
+    neither changes the length.
+    """
+    first = 0
+    while first < min(len(a), len(b)) and a[first] == b[first]:
+        first += 1
+    last = 0
+    while last < min(len(a), len(b)) - first and a[-1 - last] == b[-1 - last]:
+        last += 1
+    shared = set(range(first)) | set(range(len(a) - last, len(a)))
+    inner = [(i, a[i]) for i in range(first, len(a) - last)]
+    in_a = {x for _, x in inner}
+    other = [x for x in b[first : len(b) - last] if x in in_a]
+    in_b = set(other)
+    shared.update(_subsequence([(i, x) for i, x in inner if x in in_b], other))
     return shared
 
 
-class Page:
-    def __init__(self, key: tuple, lines: list[tuple[int, str]]):
-        self.key, self.lines = key, lines
-        self.texts = [text for _, text in lines]
+#: Bits of a table of common lines that are held at once.
+MOST_BITS = 1 << 28
+#: Pages on each side that may be compared, and how many of them decide about a line by majority.
+NEAREST, VOTERS = 3, 3
+#: A page that has more than this part of another one's text is a copy of its article.
+COPIED = 0.8
+#: Copied pages (a key each) and bytes of their texts that are sent to all tasks; beyond that, Spark
+#: joins by shuffling.
+MOST_BROADCAST, MOST_BYTES = 200_000, 32_000_000
 
 
-def main_text(page: Page, neighbours: list[Page]) -> str:
-    """The lines that are the article's, joined by blanks.
+def main_text(lines: list[tuple[int, str]], nearest: list[list[tuple[int, str]]]) -> str:
+    """The lines that are the article's, joined by blanks; ``nearest`` are other pages, nearest first.
 
-    Lines shared with a neighbour go, except those of a named article. A neighbour that has all
-    of the page's lines is a copy of it, says nothing about the template and deletes nothing.
-    Boilerplate that its markup names goes whether it is shared or not.
+    A line goes that the voters share by majority: the nearest pages that have lines and are no copies
+    of the article. Lines of a named article stay; boilerplate that the markup names goes
+    whether it is shared or not.
     """
-    named = {i for i, (kind, _) in enumerate(page.lines) if kind == BOILER}
-    article = {i for i, (kind, _) in enumerate(page.lines) if kind == MAIN}
-    body = set(range(len(page.lines))) - named
-    kept = set(body)
-    for other in neighbours:
-        shared = common_lines(page.texts, other.texts)
-        if not body <= shared:
-            kept -= shared
-    return " ".join(page.texts[i] for i in sorted(kept | article))
+    texts = [text for _, text in lines]
+    body = {i for i, (kind, _) in enumerate(lines) if kind != BOILER}
+    article = {i for i, (kind, _) in enumerate(lines) if kind == MAIN}
+    size, votes, voters = sum(len(texts[i]) for i in body), Counter(), 0
+    for other in nearest:
+        if voters == VOTERS:
+            break
+        if not other:
+            continue
+        shared = common_lines(texts, [text for _, text in other])
+        if sum(len(texts[i]) for i in body & shared) > COPIED * size:
+            continue
+        votes.update(shared)
+        voters += 1
+    template = {i for i, n in votes.items() if n >= min(voters, 2)}
+    return " ".join(texts[i] for i in sorted((body - template) | article))
+
+
+def _nearest(at: int, pages: list) -> list:
+    """Other pages of a run in order, by their distance."""
+    found = []
+    for step in range(1, NEAREST + 1):
+        found += [pages[i] for i in (at - step, at + step) if 0 <= i < len(pages)]
+    return found
+
+
+def _range_of(keys: DataFrame, names: list[str], count: int) -> Column:
+    """The number of the range (of ``count`` of even size) that a row's key lies in; the bounds come from
+    at most 200 sampled keys per range."""
+    wanted, total = 100 * count, keys.count()
+    sample = keys.select(*names)
+    if total > wanted:
+        sample = sample.where(F.rand(7) < wanted / total)
+    found = sorted(tuple(row) for row in sample.limit(2 * wanted).collect())
+    bounds = [found[len(found) * i // count] for i in range(1, count)] if found else []
+    if not bounds:
+        return F.lit(0)
+    table = F.array(*[F.struct(*[F.lit(x).alias(n) for x, n in zip(bound, names, strict=True)]) for bound in bounds])
+    return F.size(F.filter(table, lambda bound: bound <= F.struct(*names)))
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """page_id, url and ``text`` of every page.
 
-    Null html is an empty page, whose text is empty. A null URL is a host of its own. Pages with
-    one URL are neighbours of each other; copies of a page say nothing about its template. Repeated
-    rows stay; an empty table gives no rows; other columns are not read.
+    Null html is an empty page, whose text is empty. A null URL is a host of its own. Equal pages of a
+    host have equal texts, whatever their URLs: they are compared once, at the first URL of them.
+    Pages with one URL that differ are neighbours of each other. Repeated rows and null page_ids
+    stay; an empty table gives no rows; other columns are not read.
     """
     spark = pages.sparkSession
     bound_batches(spark)
-    address = F.coalesce(F.col(url).cast("string"), F.lit(""))
-    host = F.regexp_extract(address, r"^(?:\w+:)?(?://)?([^/?#]*)", 1)
-    path = F.regexp_replace(address, r"^(?:\w+:)?(?://)?[^/?#]*", "")
     kind = pages.schema[page_id].dataType.simpleString()
-
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            lines = [page_lines(source or "") for source in frame.pop("html")]
-            yield frame.assign(packed=[packed(own) for own in lines])
-
+    address = F.coalesce(F.col(url).cast("string"), F.lit(""))
+    source = F.coalesce(F.col(html).cast("string"), F.lit(""))
+    digest = F.md5(source.cast("binary"))
     chosen = pages.select(
-        host.alias("host"),
-        path.alias("path"),
+        F.regexp_extract(address, r"^(?:\w+:)?(?://)?([^/?#]*)", 1).alias("host"),
+        F.regexp_replace(address, r"^(?:\w+:)?(?://)?[^/?#]*", "").alias("path"),
+        F.xxhash64(page_id, digest).alias("tie"),
+        digest.alias("digest"),
         F.col(page_id).alias("page_id"),
         F.col(url).cast("string").alias("url"),
-        F.col(html).cast("string").alias("html"),
+        source.alias("html"),
     )
-    ordered = by_global_order(
-        map_frames(chosen, cut, f"host string, path string, page_id {kind}, url string, packed binary"),
-        "host",
-        "path",
-        "page_id",
-    ).withColumn("part", F.spark_partition_id())
+    key = ["host", "digest"]
+    keys = materialize(chosen.drop("html"), "page-keys")
+    copied = materialize(keys.groupBy(*key).count().where("count > 1").select(*key), "copied-pages")
+    few = copied.count() <= MOST_BROADCAST
+    marks = F.broadcast(copied) if few else copied
+    # Copies meet in their task first: of each group, a row per task is shuffled.
+    groups = (
+        chosen.join(marks, key, "left_semi")
+        .groupBy(*key)
+        .agg(F.min("path").alias("path"), F.first("html").alias("html"))
+        .select("host", "path", F.xxhash64("digest").alias("tie"), "digest", F.lit(None).cast(kind).alias("page_id"), F.lit(None).cast("string").alias("url"), "html")
+    )
+    single = chosen.join(marks, key, "left_anti").withColumn("digest", F.lit(None).cast("string"))
+    place = ["host", "path", "tie"]
+    ranges = 3 * parallelism(spark)
+    part = _range_of(keys, place, ranges).cast("int")
+    texts = _differenced(single.unionByName(groups).withColumn("part", part), ranges, kind)
+    shared = texts.where(F.col("digest").isNotNull()).select(*key, "text")
+    size = shared.agg(F.sum(F.octet_length("text") + 100)).first()[0] or 0
+    copies = keys.join(F.broadcast(shared) if size <= MOST_BYTES else shared, key)
+    alone = texts.where(F.col("digest").isNull())
+    return alone.select("page_id", "url", "text").unionByName(copies.select("page_id", "url", "text"))
 
-    columns = ["part", "place", "open", "page_id", "url", "host", "text", "kinds", "lines"]
 
-    def edge(page: Page, is_open: bool) -> tuple:
-        part, place, page_key, address, own_host = page.key
-        kinds = [k for k, _ in page.lines]
-        return part, place, is_open, page_key, address, own_host, None, kinds, page.texts
+def _differenced(pages: DataFrame, ranges: int, kind: str) -> DataFrame:
+    """host, digest, page_id, url, text of different pages (with ``part``, the range each lies in)."""
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield frame.assign(packed=[packed(page_lines(source)) for source in frame.pop("html")])
 
-    def done(page: Page, neighbours: list[Page]) -> tuple:
-        near = [other for other in neighbours if other.key[-1] == page.key[-1]]
-        return None, None, None, page.key[2], page.key[3], None, main_text(page, near), None, None
+    schema = f"part int, host string, path string, tie long, digest string, page_id {kind}, url string, packed binary"
+    cut_pages = map_frames(pages.select("part", "host", "path", "tie", "digest", "page_id", "url", "html"), cut, schema)
+    ordered = cut_pages.repartition(ranges, "part").sortWithinPartitions("part", "host", "path", "tie")
+
+    columns = ["part", "place", "open", "host", "digest", "page_id", "url", "text", "packed"]
+    wide = 2 * NEAREST
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Finished texts, and the two first and last pages of the range for the ranges beside it."""
-        older = last = None
+        """Finished texts; and the first and last pages of each range (``part`` is set), for the ranges
+        beside it. Held are the last few pages: a page is compared when those after it are there."""
+        part, count, held, rows = None, 0, [], []  # held: place, host, digest, page_id, url, lines, packed
+
+        def edge(page: tuple, is_open: bool) -> None:
+            place, host, digest, own_id, own_url, _, body = page
+            rows.append((part, place, is_open, host, digest, own_id, own_url, None, body))
+
+        def finish() -> None:
+            for page in held:
+                if page[0] > count - 1 - NEAREST:
+                    if page[0] >= NEAREST:
+                        edge(page, True)
+                elif page[0] > count - 1 - wide and page[0] >= wide:
+                    edge(page, False)
+
         for frame in frames:
-            rows = []
-            for part, page_key, address, own_host, source in frame.itertuples(index=False):
-                place = 0 if last is None else last.key[1] + 1
-                page = Page((part, place, page_key, address, own_host), unpacked(source))
-                if place == 1:
-                    rows.append(edge(last, True))
-                elif place > 1:
-                    rows.append(done(last, [older, page]))
-                    if place == 2:
-                        rows.append(edge(last, False))
-                older, last = last, page
+            for own_part, host, digest, own_id, own_url, body in frame.itertuples(index=False):
+                if own_part != part:
+                    if part is not None:
+                        finish()
+                    part, count, held = own_part, 0, []
+                held = [*held[-2 * wide :], (count, host, digest, own_id, own_url, unpacked(body), body)]
+                count += 1
+                if count <= NEAREST:
+                    edge(held[-1], True)
+                elif count > 2 * NEAREST:
+                    at = len(held) - 1 - NEAREST
+                    page = held[at]
+                    near = [other[5] for other in _nearest(at, held) if other[1] == page[1]]
+                    rows.append((None, None, None, *page[1:5], main_text(page[5], near), None))
+                    if page[0] < wide:
+                        edge(page, False)
             yield pd.DataFrame(rows, columns=columns)
-        if last is not None:
-            rows = [edge(last, True)]
-            if last.key[1] > 2:
-                rows.append(edge(older, False))
+            rows.clear()
+        if part is not None:
+            finish()
             yield pd.DataFrame(rows, columns=columns)
 
     schema = (
-        f"part int, place int, open boolean, page_id {kind}, url string, host string, text string, "
-        "kinds array<int>, lines array<string>"
+        f"part int, place int, open boolean, host string, digest string, page_id {kind}, url string, "
+        "text string, packed binary"
     )
-    source = ordered.select("part", "page_id", "url", "host", "packed")
+    source = ordered.select("part", "host", "digest", "page_id", "url", "packed")
     stored = stored_texts(map_frames(source, run, schema), "pages")
-    # At most four rows per range; only their places go through the window.
+    # A few pages per range; only their places go through the window.
     edges = stored.where(F.col("part").isNotNull())
     order = F.row_number().over(Window.orderBy("part", "place"))
     edges = edges.join(edges.select("part", "place", order.alias("at")), ["part", "place"])
-
-    def beside(step: int, name: str) -> DataFrame:
-        lines = F.struct("host", "kinds", "lines").alias(name)
-        return edges.select((F.col("at") + step).alias("at"), lines)
-
-    waiting = (
-        edges.where("open")
-        .join(beside(1, "before"), "at", "left")
-        .join(beside(-1, "after"), "at", "left")
-        .select("page_id", "url", "host", "kinds", "lines", "before", "after")
+    steps = [d for d in range(-NEAREST, NEAREST + 1) if d]
+    beside = edges.select("host", "at", "packed", F.explode(F.array(*map(F.lit, steps))).alias("step")).select(
+        "host",
+        (F.col("at") + F.col("step")).alias("at"),
+        # The page before comes first of two at one distance.
+        F.struct((2 * F.abs("step") + (F.col("step") < 0).cast("int")).alias("distance"), "packed").alias("other"),
+    )
+    waiting = edges.where("open").select("host", "at", "digest", "page_id", "url", "packed")
+    near = waiting.select("host", "at").join(beside, ["host", "at"]).groupBy("at").agg(F.sort_array(F.collect_list("other")).alias("others"))
+    waiting = waiting.join(near, "at", "left").select(
+        "host", "digest", "page_id", "url", "packed", F.coalesce(F.col("others.packed"), F.array().cast("array<binary>")).alias("others")
     )
 
-    def finish(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            texts = []
-            for row in frame.to_dict("records"):
-                own = Page((row["host"],), list(zip(row["kinds"], row["lines"], strict=True)))
-                near = [
-                    Page((other["host"],), list(zip(other["kinds"], other["lines"], strict=True)))
-                    for other in (row["before"], row["after"])
-                    if isinstance(other, dict) and other["host"] == row["host"]
-                ]
-                texts.append(main_text(own, near))
-            yield pd.DataFrame({"page_id": frame["page_id"], "url": frame["url"], "text": texts})
-
-    finished = map_frames(waiting, finish, f"page_id {kind}, url string, text string")
-    return stored.where(F.col("part").isNull()).select("page_id", "url", "text").unionByName(finished)
+            bodies, others = frame.pop("packed"), frame.pop("others")
+            texts = [main_text(unpacked(own), [unpacked(x) for x in near]) for own, near in zip(bodies, others, strict=True)]
+            yield frame.assign(text=texts)
+
+    names = f"host string, digest string, page_id {kind}, url string, text string"
+    finished = map_frames(waiting, compare, names)
+    done = stored.where(F.col("part").isNull()).select("host", "digest", "page_id", "url", "text")
+    return materialize(done.unionByName(finished), "page-texts")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from blotterline.llm import language_id as li
 from blotterline.llm import quality as qu
 from blotterline.llm import toxicity as tx
+from blotterline.llm import html_text as ht
 from blotterline.llm.html_text import common_lines, extract, page_lines
 
 SF = "/root/testdata/sf0.01"
@@ -290,3 +291,80 @@ def test_extraction_does_not_depend_on_partitions(spark):
         results.append(sorted((r["page_id"], r["text"]) for r in with_parts))
     spark.conf.set("spark.sql.shuffle.partitions", before)
     assert results[0] == results[1] and len(results[0]) == pages.count()
+
+
+def test_long_pages_need_no_table_of_their_product(monkeypatch):
+    draw = random.Random(1)
+    a = [str(draw.randrange(40)) for _ in range(300)]
+    b = [str(draw.randrange(40)) for _ in range(280)]
+    whole = common_lines(a, b)
+    monkeypatch.setattr(ht, "MOST_BITS", 50)
+    shared = sorted(common_lines(a, b))
+    rest = iter(b)
+    assert all(a[i] in rest for i in shared) and len(shared) == len(whole) == brute_lcs(a, b)
+
+
+def brute_extract(rows: list[tuple]) -> dict[int, str]:
+    """Each page's text by its definition: hosts as lists of different pages in URL order."""
+    import hashlib
+    import re as regex
+
+    hosts: dict[str, dict[str, list]] = {}
+    for at, (_, url, html) in enumerate(rows):
+        host, path = regex.match(r"^(?:\w+:)?(?://)?([^/?#]*)(.*)$", url or "", regex.S).groups()
+        digest = hashlib.md5((html or "").encode()).hexdigest()
+        hosts.setdefault(host, {}).setdefault(digest, []).append((path, at))
+    found = {}
+    for pages in hosts.values():
+        order = sorted(pages, key=lambda d: min(pages[d])[0])
+        lines = [page_lines(rows[pages[d][0][1]][2] or "") for d in order]
+        for place, digest in enumerate(order):
+            near = []
+            for step in range(1, ht.NEAREST + 1):
+                near += [lines[i] for i in (place - step, place + step) if 0 <= i < len(order)]
+            text = ht.main_text(lines[place], near)
+            found.update({rows[at][0]: text for _, at in pages[digest]})
+    return found
+
+
+def hosts_without_names(draw: random.Random) -> list[tuple]:
+    words = ["".join(draw.choices("aeioulnrst", k=5)) for _ in range(400)]
+
+    def sentence(n: int) -> str:
+        return " ".join(draw.choices(words, k=n)) + "."
+
+    rows: list[tuple] = []
+    for host in range(6):
+        top, bottom = [sentence(3) for _ in range(4)], [sentence(4) for _ in range(3)]
+        for number in range(draw.randrange(4, 40)):
+            body = [sentence(draw.randrange(8, 30)) for _ in range(draw.randrange(2, 7))]
+            versions = [body] * draw.choice([1, 1, 1, 4])  # a run of copies
+            if draw.random() < 0.2:
+                versions.append([*body, "Changed on the 5th."])  # a near copy
+            for version, lines in enumerate(versions):
+                html = "".join(f"<div>{x}</div>" for x in [*top, *lines, *bottom])
+                rows.append((len(rows), f"https://h{host}.example/{number:03d}/{len(rows):05d}", html))
+                if version and draw.random() < 0.3:
+                    rows.append((len(rows), f"https://h{host}.example/zz/{len(rows):05d}", html))
+    rows.append((len(rows), "https://alone.example/", "<p>One</p><p>Page</p>"))
+    return rows
+
+
+@pytest.mark.parametrize("partitions", ["1", "4", "40"])
+def test_whole_extraction_equals_its_definition(spark, partitions):
+    rows = hosts_without_names(random.Random(3))
+    expected = brute_extract(rows)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7)
+        got = {r["page_id"]: r["text"] for r in extract(pages).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got == expected
+    for i, (_, url, html) in enumerate(rows[:-1]):
+        host = url.split("/")[2]
+        inside = [x for x in html[5:-6].split("</div><div>")][4:-3]
+        # No line of the article is lost, and templates go.
+        assert all(x in got[i] for x in inside), (url, got[i])
+        assert got[i] == " ".join(inside), (host, got[i])
