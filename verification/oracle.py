@@ -363,6 +363,7 @@ ORACLE: dict[str, str] = {
     "stream_bronze": BRONZE_ROWS,
     "stream_silver": SILVER_ROWS,
     "stream_gold": GOLD_ROWS,
+    "stream_default_trigger": GOLD_ROWS,
     "stream_silver_bounded": SILVER_ROWS,
     "history_then_stream": FIRST_ARRIVALS,
     "history_then_stream_gold": GOLD_ROWS,

@@ -104,6 +104,21 @@ def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bl.read_layer(spark, f"{_stream(spark, sf_dir)}/gold")
 
 
+def stream_default_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold of a job without a trigger: batches follow each other until all messages are in."""
+    base = work_folder(spark, "endless")
+    message_feed(spark, sf_dir).write.text(f"{base}/landing")
+    source = bl.file_source(spark, f"{base}/landing", max_files_per_trigger=4)
+    queries = bl.start_medallion(source, f"{base}/layers", f"{base}/checkpoints")
+    try:
+        for query in queries:
+            query.processAllAvailable()
+    finally:
+        for query in queries:
+            query.stop()
+    return bl.read_layer(spark, f"{base}/layers/gold")
+
+
 def stream_silver_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``stream_silver`` with bounded state; all copies here are close in time."""
     return bl.read_layer(spark, f"{_stream(spark, sf_dir, delay='2 days')}/silver")
@@ -586,6 +601,7 @@ QUERIES: dict[str, Query] = {
     "stream_bronze": stream_bronze,
     "stream_silver": stream_silver,
     "stream_gold": stream_gold,
+    "stream_default_trigger": stream_default_trigger,
     "stream_silver_bounded": stream_silver_bounded,
     "history_then_stream": history_then_stream,
     "history_then_stream_gold": history_then_stream_gold,
