@@ -112,6 +112,26 @@ def test_site_posteriors_equal_plain_python(spark):
     assert own < hosts.loc["one", "post"] < hosts.loc["good", "post"]
 
 
+def test_the_final_score_equals_its_formula(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = qu.fit_quality(docs, labels)
+    got = {r["doc_id"]: r for r in qu.judged(docs, model).collect()}
+    rows = docs.select("doc_id", "text", "source").collect()
+    evidence = dict(zip([r["doc_id"] for r in rows], model.evidence([r["text"] or "" for r in rows])))
+    prior = sum(evidence.values()) / len(evidence)
+
+    def logit(p: float) -> float:
+        p = min(max(p, 1e-9), 1 - 1e-9)
+        return float(np.log(p / (1 - p)))
+
+    assert len(got) == len(rows)
+    for r in rows:
+        row = got[r["doc_id"]]
+        assert row["evidence"] == pytest.approx(evidence[r["doc_id"]]) and row["host"] == (r["source"] or "")
+        odds = logit(row["evidence"]) + logit(row["path_posterior"]) - logit(prior)
+        assert row["quality_score"] == pytest.approx(1 / (1 + np.exp(-odds)), abs=1e-9)
+
+
 def test_quality_dirt(spark):
     good = "Plain words make a sentence, and another one follows it. " * 4
     junk = "BUY!! NOW!! " * 30
