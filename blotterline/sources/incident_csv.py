@@ -18,7 +18,7 @@ def read_incident_csv(
     a present column is the empty string. Quotes inside a quoted value are doubled.
 
     ``multi_line`` allows line breaks inside quoted values. Files are split over tasks all the same
-    (:mod:`split_csv`), at the price of scanning them three times; quotes have to stand around whole
+    (:mod:`split_csv`), at the price of scanning them twice; quotes have to stand around whole
     values. ``split=False`` leaves the reading to Spark, one task per file. Without line breaks in
     values, ``multi_line=False`` reads in one scan.
     """

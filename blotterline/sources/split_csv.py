@@ -19,7 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Splits (a row each) up to which their parities are sent to all tasks; beyond it, Spark decides.
+from blotterline.session import materialize
+
+#: Splits (a row each) up to which their parities go by way of the driver to all tasks; beyond it, they
+#: are stored and joined.
 MOST_BROADCAST = 200_000
 RECORD, TAIL, HEAD = range(3)
 _PIECES = "file string, start long, kind int, header boolean, text string"
@@ -34,12 +37,17 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _insides(lines: DataFrame) -> DataFrame:
-    """file, start, inside: whether a split begins inside a quoted value."""
+    """file, start, inside and ends_inside: whether a split begins and ends inside a quoted value."""
     quotes = F.length("text") - F.length(F.replace("text", F.lit('"'), F.lit("")))
     sums = lines.groupBy("file", "start").agg(F.sum(quotes).alias("quotes"))
     before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    inside = F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1
-    return sums.select("file", "start", inside.alias("inside"))
+    quotes_before = F.coalesce(F.sum("quotes").over(before), F.lit(0))
+    return sums.select(
+        "file",
+        "start",
+        (quotes_before % 2 == 1).alias("inside"),
+        ((quotes_before + F.col("quotes")) % 2 == 1).alias("ends_inside"),
+    )
 
 
 def _cut(lines: DataFrame, fragments: bool) -> DataFrame:
@@ -131,21 +139,33 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     """text and ``header`` (whether it is a file's first) of each record of the CSV files at ``path``.
 
     Records come in no order; empty ones are left out. A record that ends with CR and LF has LF for
-    these inside its values. The files are scanned three times and not shuffled.
+    these inside its values. The files are scanned twice, and the splits whose ends cut a record once
+    more; lines are not shuffled.
     """
     lines = _lines(spark, path)
     insides = _insides(lines)
-    if insides.count() <= MOST_BROADCAST:
-        insides = F.broadcast(insides)
-    marked = lines.join(insides, ["file", "start"]).select("file", "start", "inside", "text")
-    pieces = _cut(marked, fragments=True)
+    known = insides.limit(MOST_BROADCAST + 1).collect()
+    few = len(known) <= MOST_BROADCAST
+    if few:
+        insides = F.broadcast(spark.createDataFrame(known, insides.schema))
+    else:
+        insides = materialize(insides, "csv-splits")
+    marked = lines.join(insides, ["file", "start"])
+    whole = _cut(marked.select("file", "start", "inside", "text"), fragments=False).select("header", "text")
+    if few and not any(row["inside"] or row["ends_inside"] for row in known):
+        return _plain(whole)
+    open_ends = marked.where("inside OR ends_inside").select("file", "start", "inside", "text")
+    pieces = _cut(open_ends, fragments=True)
     order = Window.partitionBy("file").orderBy("start", F.col("kind").desc())
     opened = F.sum((F.col("kind") == TAIL).cast("int")).over(order)
     stitched = pieces.withColumn("record", opened).groupBy("file", "record").agg(
         F.max("header").alias("header"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", (-F.col("kind")).alias("kind"), "text"))), lambda p: p["text"]), "\n").alias("text"),
     )
-    both = _cut(marked, fragments=False).select("header", "text").unionByName(stitched.select("header", "text"))
+    return _plain(whole.unionByName(stitched.select("header", "text")))
+
+
+def _plain(both: DataFrame) -> DataFrame:
     # Where a record ends with CR and LF, these are the line ends inside its values as well.
     plain = F.replace(F.expr("substring(text, 1, length(text) - 1)"), F.lit("\r\n"), F.lit("\n"))
     text = F.when(F.endswith("text", F.lit("\r")), plain).otherwise(F.col("text"))

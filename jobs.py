@@ -107,7 +107,7 @@ def parser() -> argparse.ArgumentParser:
     add_feed(sub)
     form = sub.add_mutually_exclusive_group(required=True)
     form.add_argument(
-        "--multi-line", action="store_true", help="values may hold line breaks; three scans"
+        "--multi-line", action="store_true", help="values may hold line breaks; two scans"
     )
     form.add_argument(
         "--single-line", action="store_true", help="no line breaks in values; one scan"

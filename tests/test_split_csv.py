@@ -85,6 +85,16 @@ def test_files_with_other_headers_fail(spark, tmp_path):
         bl.read_incident_csv(spark, str(tmp_path)).collect()
 
 
+def test_many_splits_are_joined_from_storage(spark, tmp_path, small_splits, monkeypatch):
+    from blotterline.sources import split_csv
+
+    rows = [[str(i), "", "two\nlines" * (i % 50)] for i in range(100)]
+    write(tmp_path / "a.csv", rows, headers=["ID", "Case Number", "Description"])
+    monkeypatch.setattr(split_csv, "MOST_BROADCAST", 3)
+    got = {r["ID"]: r["Description"] for r in bl.read_incident_csv(spark, str(tmp_path)).collect()}
+    assert got == {row[0]: row[2] for row in rows}
+
+
 def test_lines_are_not_shuffled(spark, tmp_path):
     write(tmp_path / "a.csv", [["1", "a\nb"]], headers=["ID", "Block"])
     plan = plan_of(bl.read_incident_csv(spark, str(tmp_path)))
