@@ -34,6 +34,8 @@ GROUP = 8_192
 FAN_OUT = 16
 LEAF, LEAVES = 64, 8
 AT_ONCE = 256  # leaf pairs
+#: Pairs of groups share tasks beyond half this number of them.
+MOST_TASKS = 20_000
 SHINGLES_AT_ONCE = 100_000
 
 
@@ -203,12 +205,14 @@ def fingerprint_links(distinct: DataFrame, most: int = MOST_DIFFERENT) -> DataFr
         ),
         "gray-groups",
     )
-    pairs = group_pairs(groups.drop("members"), -(-count // GROUP), most)
+    pairs = materialize(group_pairs(groups.drop("members"), -(-count // GROUP), most), "gray-pairs")
+    # Few rows with much work each: the number of tasks is given, as adaptive execution goes by bytes.
+    tasks = max(1, min(MOST_TASKS, 2 * pairs.count()))
     members = groups.select("id", "members")
     cells = (
         pairs.join(members.select(F.col("id").alias("a"), F.col("members").alias("x")), "a")
         .join(members.select(F.col("id").alias("b"), F.col("members").alias("y")), "b")
-        .repartition("a", "b")
+        .repartition(tasks, "a", "b")
     )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
