@@ -22,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -222,19 +223,34 @@ def similar_documents(
         "fingerprint",
     )
 
-    def verify(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("second", kind="stable")
-        prints = np.frombuffer(b"".join(frame["fingerprint"]), np.uint8).reshape(-1, SLOTS)
-        nodes, second = frame["node"].to_numpy(), frame["second"].to_numpy(bool)
-        parent = np.arange(len(nodes))
-        columns = np.flatnonzero(second) if second.any() else np.arange(len(nodes))
-        for row in np.flatnonzero(~second):
-            near = columns[(prints[columns] == prints[row]).mean(axis=1) >= least]
-            parent = connect(parent, np.full(len(near), row), near)
-        linked = np.flatnonzero(parent != np.arange(len(parent)))
-        return pd.DataFrame({"u": nodes[linked], "v": nodes[parent[linked]]})
-
-    edges = cells.groupBy("key", "a", "b").applyInPandas(verify, "u long, v long")
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Spanning forests of the links within each cell."""
+        for batch in batches:
+            members = batch["members"]
+            bounds = (members.offsets.to_numpy() - members.offsets[0].as_py()).tolist()
+            flat = members.flatten()
+            prints = np.frombuffer(b"".join(flat.field("fingerprint").to_pylist()), np.uint8).reshape(-1, SLOTS)
+            nodes, second = flat.field("node").to_numpy(), flat.field("second").to_numpy(zero_copy_only=False)
+            sizes = np.diff(bounds)
+            # Most cells are two documents: all of these at once.
+            twos = np.array(bounds[:-1], np.int64)[sizes == 2]
+            linked = twos[likeness(prints[twos], prints[twos + 1]) >= least]
+            u, v = [nodes[linked]], [nodes[linked + 1]]
+            for at in np.flatnonzero(sizes > 2).tolist():
+                own = slice(bounds[at], bounds[at + 1])
+                cell, is_second = prints[own], second[own]
+                parent = np.arange(len(cell))
+                columns = np.flatnonzero(is_second) if is_second.any() else parent
+                for row in np.flatnonzero(~is_second).tolist():
+                    near = columns[likeness(cell[columns], cell[row]) >= least]
+                    parent = connect(parent, np.full(len(near), row), near)
+                linked = np.flatnonzero(parent != np.arange(len(parent)))
+                u.append(nodes[own][linked])
+                v.append(nodes[own][parent[linked]])
+            yield pa.record_batch([np.concatenate(u), np.concatenate(v)], names=["u", "v"])
+
+    together = cells.groupBy("key", "a", "b").agg(F.collect_list(F.struct("second", "node", "fingerprint")).alias("members"))
+    edges = together.where(F.size("members") > 1).select("members").mapInArrow(verify, "u long, v long")
     found = components(edges)
     owner = distinct.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = owner.groupBy("component").agg(F.min("least").alias("class_id"))
