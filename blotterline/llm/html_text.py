@@ -297,7 +297,7 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     kind = pages.schema[page_id].dataType.simpleString()
     address = F.coalesce(F.col(url).cast("string"), F.lit(""))
     source = F.coalesce(F.col(html).cast("string"), F.lit(""))
-    digest = F.md5(source.cast("binary"))
+    digest = F.unhex(F.md5(source.cast("binary")))
     chosen = pages.select(
         F.regexp_extract(address, r"^(?:\w+:)?(?://)?([^/?#]*)", 1).alias("host"),
         F.regexp_replace(address, r"^(?:\w+:)?(?://)?[^/?#]*", "").alias("path"),
@@ -308,7 +308,8 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
         source.alias("html"),
     )
     key = ["host", "digest"]
-    keys = materialize(chosen.drop("html"), "page-keys")
+    place = ["host", "path", "tie"]
+    keys = stored_texts(chosen.select(*place, "digest"), "page-keys")
     copied = materialize(keys.groupBy(*key).count().where("count > 1").select(*key), "copied-pages")
     few = copied.count() <= MOST_BROADCAST
     marks = F.broadcast(copied) if few else copied
@@ -319,14 +320,14 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
         .agg(F.min("path").alias("path"), F.first("html").alias("html"))
         .select("host", "path", F.xxhash64("digest").alias("tie"), "digest", F.lit(None).cast(kind).alias("page_id"), F.lit(None).cast("string").alias("url"), "html")
     )
-    single = chosen.join(marks, key, "left_anti").withColumn("digest", F.lit(None).cast("string"))
-    place = ["host", "path", "tie"]
+    single = chosen.join(marks, key, "left_anti").withColumn("digest", F.lit(None).cast("binary"))
     ranges = 3 * parallelism(spark)
     part = _range_of(keys, place, ranges).cast("int")
     texts = _differenced(single.unionByName(groups).withColumn("part", part), ranges, kind)
     shared = texts.where(F.col("digest").isNotNull()).select(*key, "text")
     size = shared.agg(F.sum(F.octet_length("text") + 100)).first()[0] or 0
-    copies = keys.join(F.broadcast(shared) if size <= MOST_BYTES else shared, key)
+    together = chosen.drop("html").join(marks, key, "left_semi")
+    copies = together.join(F.broadcast(shared) if size <= MOST_BYTES else shared, key)
     alone = texts.where(F.col("digest").isNull())
     return alone.select("page_id", "url", "text").unionByName(copies.select("page_id", "url", "text"))
 
@@ -338,7 +339,7 @@ def _differenced(pages: DataFrame, ranges: int, kind: str) -> DataFrame:
         for frame in frames:
             yield frame.assign(packed=[packed(page_lines(source)) for source in frame.pop("html")])
 
-    schema = f"part int, host string, path string, tie long, digest string, page_id {kind}, url string, packed binary"
+    schema = f"part int, host string, path string, tie long, digest binary, page_id {kind}, url string, packed binary"
     cut_pages = map_frames(pages.select("part", "host", "path", "tie", "digest", "page_id", "url", "html"), cut, schema)
     ordered = cut_pages.repartition(ranges, "part").sortWithinPartitions("part", "host", "path", "tie")
 
@@ -386,7 +387,7 @@ def _differenced(pages: DataFrame, ranges: int, kind: str) -> DataFrame:
             yield pd.DataFrame(rows, columns=columns)
 
     schema = (
-        f"part int, place int, open boolean, host string, digest string, page_id {kind}, url string, "
+        f"part int, place int, open boolean, host string, digest binary, page_id {kind}, url string, "
         "text string, packed binary"
     )
     source = ordered.select("part", "host", "digest", "page_id", "url", "packed")
@@ -414,7 +415,7 @@ def _differenced(pages: DataFrame, ranges: int, kind: str) -> DataFrame:
             texts = [main_text(unpacked(own), [unpacked(x) for x in near]) for own, near in zip(bodies, others, strict=True)]
             yield frame.assign(text=texts)
 
-    names = f"host string, digest string, page_id {kind}, url string, text string"
-    finished = map_frames(waiting, compare, names)
+    names = f"host string, digest binary, page_id {kind}, url string, text string"
+    finished = stored_texts(map_frames(waiting, compare, names), "edge-texts")
     done = stored.where(F.col("part").isNull()).select("host", "digest", "page_id", "url", "text")
-    return materialize(done.unionByName(finished), "page-texts")
+    return done.unionByName(finished)
