@@ -17,20 +17,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from blotterline.llm.common import bound_batches, crc32_of, map_frames, small_frames
-from blotterline.llm.models import (
-    LETTER,
-    UPPER,
-    bounded_sample,
-    character_classes,
-    code_points,
-    sums_by_text,
+from blotterline.llm.common import (
+    bound_batches,
+    crc32_of,
+    map_frames,
+    materialize,
+    numbered_rows,
+    small_frames,
 )
+from blotterline.llm.models import LETTER, UPPER, character_classes, code_points, sums_by_text
 
-#: Training texts per language (chosen by a hash of doc_id), and languages that are learned: those
-#: with the most labelled texts.
-SAMPLE_PER_LANGUAGE = 2_000
+#: Languages that are learned: those with the most labelled texts.
 MOST_LANGUAGES = 256
+#: Rows of the filters times their words of 64 languages. Filters of more n-grams get denser instead
+#: of larger: they hold all of them, and the rate of false reports, which judgments subtract, rises.
+MOST_WORDS = 1 << 24
 #: An n-gram is typical of a language if it is there at least this part as frequent as where it
 #: is most frequent.
 TYPICAL = 0.25
@@ -79,8 +80,9 @@ class LanguageFilters:
     def __init__(self, languages: list[str], ngrams: dict[str, np.ndarray], usual: str):
         self.languages, self.usual = languages, usual
         most = max([1, *(len(n) for n in ngrams.values())])
-        self.bits = 1 << int(16 * most - 1).bit_length()
-        self.rows = np.zeros((self.bits, -(-max(1, len(languages)) // 64)), np.uint64)
+        words = -(-max(1, len(languages)) // 64)
+        self.bits = 1 << min(int(16 * most - 1).bit_length(), (MOST_WORDS // words).bit_length() - 1)
+        self.rows = np.zeros((self.bits, words), np.uint64)
         for at, language in enumerate(languages):
             flag = np.uint64(1 << (at % 64))
             for rows in self._places(ngrams[language]):
@@ -143,21 +145,18 @@ class LanguageFilters:
 def fit_filters(
     training: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id"
 ) -> LanguageFilters:
-    """Filters from the text and the language of ``training``; rows without a language are left out.
+    """Filters from the text and the language of ``training``; rows without a language or a doc_id are
+    left out.
 
-    Fitted on at most ``SAMPLE_PER_LANGUAGE`` texts (whole ones) of each of at most ``MOST_LANGUAGES``
-    languages, counted in Spark; the driver gets the n-grams that are typical of each.
+    All texts of at most ``MOST_LANGUAGES`` languages are counted, in Spark; the driver gets the
+    n-grams that are typical of each, no more than there are distinct letter trigrams.
     """
-    bound_batches(training.sparkSession)
-    labelled = training.where(F.col(lang).isNotNull()).select(
-        F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")
-    )
+    spark = training.sparkSession
+    bound_batches(spark)
+    labelled = _labelled(training, text, lang, doc_id)
     most = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
     learned = [row["lang"] for row in most.collect()]
-    labelled = labelled.where(F.col("lang").isin(learned))
-    chosen = bounded_sample(labelled, SAMPLE_PER_LANGUAGE, "lang")
-    # At most SAMPLE_PER_LANGUAGE * MOST_LANGUAGES ids: a bounded broadcast spares a shuffle of all texts.
-    sample = labelled.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
+    labelled = labelled.where(F.col("lang").isin(learned) & F.col("doc_id").isNotNull())
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in small_frames(frames, "text", FRAME_CHARS):
@@ -166,18 +165,27 @@ def fit_filters(
                 found, times = np.unique(hashes.view(np.int64), return_counts=True)
                 yield pd.DataFrame({"lang": language, "ngram": found, "times": times})
 
-    counts = (
-        sample.mapInPandas(count, "lang string, ngram long, times long")
+    counts = materialize(
+        labelled.select("text", "lang").mapInPandas(count, "lang string, ngram long, times long")
         .groupBy("lang", "ngram")
-        .agg(F.sum("times").alias("times"))
+        .agg(F.sum("times").alias("times")),
+        "ngrams",
     )
-    share = F.col("times") / F.sum("times").over(Window.partitionBy("lang"))
-    shares = counts.withColumn("share", share)
+    totals = counts.groupBy("lang").agg(F.sum("times").alias("total"))
+    shares = counts.join(F.broadcast(totals), "lang").withColumn("share", F.col("times") / F.col("total"))
     typical = F.col("share") >= TYPICAL * F.max("share").over(Window.partitionBy("ngram"))
-    kept = shares.withColumn("_typical", typical).where("_typical").select("lang", "ngram").toPandas()
-    languages = sorted(kept["lang"].unique())
-    ngrams = {x: kept.loc[kept["lang"] == x, "ngram"].to_numpy(np.int64).view(np.uint64) for x in languages}
-    return LanguageFilters(languages, ngrams, learned[0] if learned else UNKNOWN)
+    kept = shares.withColumn("_typical", typical).where("_typical").select("lang", "ngram").toArrow()
+    found = kept["lang"].combine_chunks().dictionary_encode()
+    code, hashes = found.indices.to_numpy(), kept["ngram"].to_numpy().view(np.uint64)
+    ngrams = {language: hashes[code == at] for at, language in enumerate(found.dictionary.to_pylist())}
+    return LanguageFilters(sorted(ngrams), ngrams, learned[0] if learned else UNKNOWN)
+
+
+def _labelled(rows: DataFrame, text: str, lang: str, doc_id: str) -> DataFrame:
+    """doc_id, text, lang of the rows that have a language."""
+    return rows.where(F.col(lang).isNotNull()).select(
+        F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")
+    )
 
 
 def with_language(docs: DataFrame, filters: LanguageFilters, text: str = "text") -> DataFrame:
@@ -207,16 +215,12 @@ def fit_bounds(
 ) -> tuple[float, float]:
     """Least share and least lead of a text in a known language, from rows ``filters`` never saw.
 
-    Judged on at most ``SAMPLE_PER_LANGUAGE`` texts of each language that ``filters`` know; the
-    language with the lowest shares or leads sets the bound. No rows give bounds of 0.
+    Judged on all texts of each language that ``filters`` know; the language with the lowest shares
+    or leads sets the bound. No rows give bounds of 0.
     """
     bound_batches(labelled.sparkSession)
-    rows = labelled.where(F.col(lang).isNotNull()).select(
-        F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")
-    )
-    rows = rows.where(F.col("lang").isin(filters.languages))
-    chosen = bounded_sample(rows, SAMPLE_PER_LANGUAGE, "lang")
-    sample = rows.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
+    rows = _labelled(labelled, text, lang, doc_id)
+    rows = rows.where(F.col("lang").isin(filters.languages) & F.col("doc_id").isNotNull())
     shared = labelled.sparkSession.sparkContext.broadcast(filters)
 
     def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -224,12 +228,28 @@ def fit_bounds(
             share, lead = shared.value.evidence(frame["text"].fillna("").tolist())
             yield pd.DataFrame({"lang": frame["lang"], "share": share, "lead": lead})
 
-    judged = sample.mapInPandas(judge, "lang string, share double, lead double")
-    usual = judged.groupBy("lang").agg(
-        F.percentile("share", F.lit(UNUSUAL)).alias("share"), F.percentile("lead", F.lit(UNUSUAL)).alias("lead")
-    )
-    share, lead = usual.agg(F.min("share"), F.min("lead")).first()
-    return LEAST_SHARE * (share or 0.0), LEAST_LEAD * (lead or 0.0)
+    judged = materialize(rows.select("text", "lang").mapInPandas(judge, "lang string, share double, lead double"), "evidence")
+    usual = percentiles(judged, "lang", ["share", "lead"], UNUSUAL)
+    found = {row["name"]: row["least"] for row in usual.groupBy("name").agg(F.min("value").alias("least")).collect()}
+    return LEAST_SHARE * (found.get("share") or 0.0), LEAST_LEAD * (found.get("lead") or 0.0)
+
+
+def percentiles(rows: DataFrame, by: str, columns: list[str], part: float) -> DataFrame:
+    """``by``, name (of the column), value: the exact percentile of each column for each value of ``by``.
+
+    As ``F.percentile``, which holds all values of a group in one task; here the values are sorted
+    and numbered by ranges, and the two beside the place are looked up. Values that are null count
+    nowhere.
+    """
+    entries = [F.struct(F.lit(name).alias("name"), F.col(name).cast("double").alias("value")) for name in columns]
+    values = rows.select(by, F.inline(F.array(*entries))).where(F.col("value").isNotNull())
+    numbered, _ = numbered_rows(values, by, "name", "value", column="_at")
+    place = (F.count(F.lit(1)) - 1) * F.lit(part)
+    groups = numbered.groupBy(by, "name").agg(F.min("_at").alias("_first"), place.alias("_place"))
+    at = F.col("_at") - F.col("_first")
+    beside = numbered.join(F.broadcast(groups), [by, "name"]).where((at >= F.floor("_place")) & (at <= F.ceil("_place")))
+    low, high, over = F.min("value"), F.max("value"), F.first(F.col("_place") - F.floor("_place"))
+    return beside.groupBy(by, "name").agg(((1 - over) * low + over * high).alias("value"))
 
 
 def in_known_language(

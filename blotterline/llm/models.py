@@ -1,10 +1,12 @@
-"""Small models fitted on the driver from bounded samples, and characters as arrays."""
+"""Small models, fitted on the driver or by sums over tasks, and characters as arrays."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -46,19 +48,55 @@ def fit_logistic(
     """Weights of a ridge logistic regression by Newton steps; the last one is the constant."""
     rows = np.ones(len(y)) if sample_weights is None else sample_weights
     x = np.column_stack([x, np.ones(len(x))])
-    penalty = np.diag([ridge] * (x.shape[1] - 1) + [1e-3])
-    weights = np.zeros(x.shape[1])
+    return _newton(lambda weights: _slopes(x, y, rows, weights), x.shape[1], ridge, rounds)
+
+
+def _slopes(x: np.ndarray, y: np.ndarray, rows: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and Hessian of the rows' log loss."""
+    p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
+    return x.T @ (rows * (p - y)), (x * (rows * p * (1 - p))[:, None]).T @ x
+
+
+def _newton(
+    slopes: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], width: int, ridge: float, rounds: int
+) -> np.ndarray:
+    penalty = np.diag([ridge] * (width - 1) + [1e-3])
+    weights = np.zeros(width)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-        gradient = x.T @ (rows * (p - y)) + penalty @ weights
-        hessian = (x * (rows * p * (1 - p))[:, None]).T @ x + penalty
-        step = np.linalg.solve(hessian, gradient)
+        gradient, hessian = slopes(weights)
+        step = np.linalg.solve(hessian + penalty, gradient + penalty @ weights)
         weights = weights - step
         if np.abs(step).max() < 1e-8:
             break
     return weights
 
 
+def fit_logistic_rows(
+    rows: DataFrame, centre: np.ndarray, spread: np.ndarray, ridge: float = 1.0, rounds: int = 50
+) -> np.ndarray:
+    """As ``fit_logistic`` on all rows (x array<double>, y double) of a table, standardized by ``centre``
+    and ``spread``: each task adds up its rows' slopes, each step is one job over the table."""
+    width = len(centre) + 1
+
+    def slopes(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = np.zeros((width + 1, width))
+            for frame in frames:
+                if len(frame):
+                    x = (np.stack(frame["x"].to_list()) - centre) / spread
+                    x = np.column_stack([x, np.ones(len(x))])
+                    gradient, hessian = _slopes(x, frame["y"].to_numpy(float), np.ones(len(x)), weights)
+                    total += np.vstack([gradient, hessian])
+            yield pd.DataFrame({"at": np.arange(total.size), "value": total.ravel()})
+
+        sums = rows.select("x", "y").mapInPandas(run, "at int, value double")
+        found = sums.groupBy("at").agg(F.sum("value").alias("value")).orderBy("at").collect()
+        total = np.array([row["value"] for row in found]).reshape(width + 1, width)
+        return total[0], total[1:]
+
+    return _newton(slopes, width, ridge, rounds)
+
+
 def logistic(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30)))
 

@@ -24,16 +24,15 @@ from blotterline.llm.models import (
     LETTER,
     OTHER,
     UPPER,
-    bounded_sample,
     character_classes,
     code_points,
-    fit_logistic,
+    fit_logistic_rows,
     logistic,
     sums_by_text,
 )
 
-#: Labelled documents per class that the classifier is fitted on (chosen by a hash of doc_id).
-SAMPLE_PER_CLASS = 4_000
+#: Numbers that ``features`` gives per text.
+WIDTH = 7
 FRAME_CHARS = 1_000_000
 #: Shrinkage where groups do not differ more than chance explains: all the way to the prior.
 ALL_THE_WAY = 1e12
@@ -70,15 +69,22 @@ def features(texts: list[str]) -> np.ndarray:
 
 
 class QualityModel:
-    """A logistic regression over standardized features, or a constant where labels lack a class."""
+    """A logistic regression over standardized features, or a constant where labels lack a class.
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, share: float):
-        self.constant = float(np.mean(y)) if len(y) and len(set(y)) < 2 else None if len(y) else 0.5
+    Fitted on all rows (x array<double>, y 0 or 1) of a stored table; ``share`` is the mean of all labels.
+    """
+
+    def __init__(self, rows: DataFrame, share: float | None):
+        x = [F.col("x")[i] for i in range(WIDTH)]
+        n, mean, *moments = rows.agg(
+            F.count(F.lit(1)), F.avg("y"), *[F.avg(c) for c in x], *[F.stddev_pop(c) for c in x]
+        ).first()
+        self.constant = 0.5 if not n else mean if mean in (0, 1) else None
         if self.constant is None:
-            self.centre, self.spread = x.mean(axis=0), x.std(axis=0) + 1e-9
-            self.weights = fit_logistic((x - self.centre) / self.spread, y)
-            # The sample has other shares of the classes than all labels have.
-            odds, own = share / (1 - share), y.mean() / (1 - y.mean())
+            self.centre, self.spread = np.array(moments[:WIDTH]), np.array(moments[WIDTH:]) + 1e-9
+            self.weights = fit_logistic_rows(rows, self.centre, self.spread)
+            # Labels without a document have other shares of the classes than those with one.
+            odds, own = share / (1 - share), mean / (1 - mean)
             self.weights[-1] += np.log(odds / own)
 
     def evidence(self, texts: list[str]) -> np.ndarray:
@@ -90,29 +96,28 @@ class QualityModel:
 def fit_quality(docs: DataFrame, labels: DataFrame) -> QualityModel:
     """The classifier from ``labels`` (doc_id, quality 0 or 1) and the texts they belong to.
 
-    At most ``SAMPLE_PER_CLASS`` documents of each class, whole texts; a repeated doc_id counts
-    once. Labels that are null or have no document are left out.
+    All labelled documents, whole texts; a repeated doc_id counts once. Labels that are null or have
+    no document are left out. Only the few numbers of each text are joined to its label, so no text
+    is shuffled, and the fit adds them up in the tasks that hold them.
     """
     bound_batches(docs.sparkSession)
     known = labels.where(F.col("quality").isin(0, 1)).select("doc_id", "quality")
-    chosen = bounded_sample(known, SAMPLE_PER_CLASS, "quality")
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    # A bounded number of rows: two classes of SAMPLE_PER_CLASS ids.
-    sample = texts.join(F.broadcast(chosen), "doc_id")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in small_frames(frames, "text", FRAME_CHARS):
             x = features(frame["text"].fillna("").tolist())
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "quality": frame["quality"], "x": list(x)})
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "x": list(x)})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = (
-        map_frames(sample, run, f"doc_id {kind}, quality int, x array<double>")
+        map_frames(texts, run, f"doc_id {kind}, x array<double>")
+        .join(known.distinct(), "doc_id")
         .dropDuplicates(["doc_id", "quality"])
-        .toPandas()
+        .select("x", F.col("quality").cast("double").alias("y"))
     )
     share = known.agg(F.avg("quality")).first()[0]
-    return QualityModel(np.array(rows["x"].tolist()), rows["quality"].to_numpy(float), share)
+    return QualityModel(materialize(rows, "labelled"), share)
 
 
 def with_evidence(docs: DataFrame, model: QualityModel) -> DataFrame:
