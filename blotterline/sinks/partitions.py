@@ -20,9 +20,13 @@ from blotterline.schema import EVENT_DAY
 from blotterline.session import materialize
 
 WRITER, BATCH = "writer", "batch"
+_PARTS = "__parts"
 #: The writer name of batch backfills.
 BACKFILL = "backfill"
 
+#: About as many rows of a batch are sorted and written by one task when it is compacted.
+TASK_ROWS = 1 << 19
+
 #: Error conditions that mean "nothing stored there yet".
 MISSING = {
     "PATH_NOT_FOUND",
@@ -128,8 +132,8 @@ def compact_layer(
     again), a second one overwrites their partitions from that copy; should it be stopped, the next
     call finds the partitions as they were or rewritten. Files are cut by ``order`` within a batch
     (gold: by the day of the event), so that their minima and maxima tell readers of a range which
-    to skip. ``file_rows`` bounds
-    the rows of a file. A read under way may miss files that were replaced.
+    to skip. A batch of more than ``TASK_ROWS`` rows is dealt over several tasks, which write a file
+    each. ``file_rows`` bounds the rows of a file. A read under way may miss files that were replaced.
     """
     layer = stored(spark, path)
     if layer is None or not is_partitioned(layer):
@@ -141,6 +145,18 @@ def compact_layer(
     if order is None:
         order = [EVENT_DAY] if EVENT_DAY in layer.columns else []
     keys = [WRITER, BATCH, *order]
-    rows = materialize(finished, "compacted").repartitionByRange(*keys).sortWithinPartitions(*keys)
+    copy = materialize(finished, "compacted")
+    # Batches of up to TASK_ROWS rows have one part, so nothing but their keys decides where they go. Others
+    # have many more than tasks, for ranges of even size.
+    count_parts = F.ceil(F.count(F.lit(1)) / TASK_ROWS)
+    sizes = copy.groupBy(WRITER, BATCH).agg(F.when(count_parts == 1, 1).otherwise(16 * count_parts).alias(_PARTS))
+    part = F.monotonically_increasing_id() % F.col(_PARTS)
+    dealt = copy.join(F.broadcast(sizes), [WRITER, BATCH]).withColumn(_PARTS, part)
+    tasks = -(-copy.count() // TASK_ROWS)
+    if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        dealt = dealt.repartitionByRange(tasks, *keys, _PARTS)
+    else:
+        dealt = dealt.repartitionByRange(*keys, _PARTS)
+    rows = dealt.sortWithinPartitions(*keys).select(*copy.columns)
     _overwrite(rows, path, file_rows)
     return count
