@@ -22,6 +22,10 @@ from blotterline.schema import ENCODED, FEATURE_INPUTS, RUN_SCHEMA
 from blotterline.session import materialize
 from blotterline.sinks.tables import append_runs, save_model
 
+#: Rows times slots of the feature vector that one task of a fit reads. Boosted trees keep some 18 bytes
+#: of each.
+TASK_CELLS = 1 << 23
+
 # Ensembles whose feature importances are reported.
 ENSEMBLES = ["RandomForest", "GBTClassifier"]
 
@@ -87,9 +91,15 @@ def _train_and_measure(
 
 
 def _prepared(prep: PipelineModel, part: DataFrame) -> DataFrame:
-    # Iterative fits read this many times. The lineage below is narrow, so a lost
-    # executor costs a rescan of its partitions only.
+    # Iterative fits read this many times. The lineage below is narrow unless large
+    # partitions are dealt out, so a lost executor costs a rescan of its partitions only.
     vectors = prep.transform(part).select("features", "label")
+    sizes = part.groupBy(F.spark_partition_id().alias("part")).count()
+    largest, total, parts = sizes.agg(F.max("count"), F.sum("count"), F.count(F.lit(1))).head()
+    task_rows = max(1, TASK_CELLS // vectors.schema["features"].metadata["ml_attr"]["num_attrs"])
+    if (largest or 0) > task_rows:
+        # Every fit reads whole partitions from here: their size must not grow with the input.
+        vectors = vectors.repartition(max(parts, -(-total // task_rows)))
     return vectors.persist(StorageLevel.MEMORY_AND_DISK)
 
 

@@ -6,6 +6,9 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 import blotterline as bl
+from blotterline.operators.encoding import fit_prep
+from blotterline.plans import training
+from blotterline.schema import FEATURE_INPUTS
 from blotterline.sinks import partitions
 
 
@@ -28,3 +31,30 @@ def test_a_large_batch_is_compacted_by_several_tasks(spark, tmp_path, monkeypatc
     layer = spark.read.parquet(path)
     assert layer.columns == ["id", "text", "writer", "batch"]
     assert sorted(r["id"] for r in layer.collect()) == list(range(1_300))
+
+
+def test_fits_read_bounded_partitions(spark, monkeypatch):
+    rows = spark.range(0, 2_000, 1, 1).select(
+        F.concat(F.lit("t"), F.col("id") % 5).alias("Primary_Type"),
+        F.concat(F.lit("l"), F.col("id") % 7).alias("Location_Description"),
+        *[(F.col("id") % 24).cast("double").alias(n) for n in FEATURE_INPUTS if not n.endswith("_Vec")],
+        (F.col("id") % 2).cast("int").alias("label"),
+    )
+    prep = fit_prep(rows)
+
+    def sizes() -> tuple[list[int], list[str]]:
+        vectors = training._prepared(prep, rows)
+        counts = vectors.groupBy(F.spark_partition_id()).count().collect()
+        content = sorted(str(r) for r in vectors.collect())
+        vectors.unpersist()
+        return [r["count"] for r in counts], content
+
+    few, whole = sizes()
+    assert few == [2_000]
+    width = len(prep.transform(rows).head()["features"])
+    monkeypatch.setattr(training, "TASK_CELLS", 100 * width)
+    many, dealt = sizes()
+    assert len(many) == 20 and max(many) <= 150 and dealt == whole
+    empty = training._prepared(prep, rows.limit(0))
+    assert empty.count() == 0
+    empty.unpersist()
