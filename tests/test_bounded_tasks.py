@@ -10,6 +10,7 @@ from blotterline.operators.encoding import fit_prep
 from blotterline.plans import training
 from blotterline.schema import FEATURE_INPUTS
 from blotterline.sinks import partitions
+from verification import feed, queries
 
 
 def test_a_large_batch_is_compacted_by_several_tasks(spark, tmp_path, monkeypatch):
@@ -58,3 +59,22 @@ def test_fits_read_bounded_partitions(spark, monkeypatch):
     empty = training._prepared(prep, rows.limit(0))
     assert empty.count() == 0
     empty.unpersist()
+
+
+def test_a_large_table_lands_as_more_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(feed, "FILE_EVENTS", 100, raising=False)
+    rows = spark.range(0, 1_000, 1, 1).select(
+        F.col("id").alias("event_id"),
+        F.lit("2024-01-08 10:00:00").cast("timestamp_ntz").alias("ts"),
+        (F.col("id") % 9).alias("user_id"),
+        F.lit("click").alias("event_type"),
+        F.col("id").cast("double").alias("value"),
+        F.lit("{}").alias("props"),
+    )
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    histories = queries._history_arrivals(spark, str(tmp_path))
+    assert [h.rdd.getNumPartitions() for h in histories] == [7, 7, 10]
+    own = feed.arrivals(spark, str(tmp_path), F.lit(True), "file 2")
+    assert sorted(histories[2].collect()) == sorted(own.collect())
+    monkeypatch.setattr(feed, "FILE_EVENTS", 10_000)
+    assert [h.rdd.getNumPartitions() for h in queries._history_arrivals(spark, str(tmp_path))] == [4, 4, 4]

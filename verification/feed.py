@@ -77,10 +77,25 @@ def message_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(F.explode(F.array_append(copies, F.col("props"))).alias("value"))
 
 
-def arrivals(spark: SparkSession, sf_dir: str, chosen: Column, block: str) -> DataFrame:
+#: Events whose messages one task of :func:`landed` makes and writes as one file.
+FILE_EVENTS = 250_000
+
+
+def landed(spark: SparkSession, sf_dir: str, chosen: Column, block: str, least: int = 4) -> DataFrame:
+    """As :func:`arrivals`, over ``least`` partitions and more of a large table: the events are dealt
+    out before their messages, many times as long, are made."""
+    count = spark.read.parquet(f"{sf_dir}/events.parquet").where(chosen).count()
+    return arrivals(spark, sf_dir, chosen, block, max(least, -(-count // FILE_EVENTS)))
+
+
+def arrivals(
+    spark: SparkSession, sf_dir: str, chosen: Column, block: str, parts: int | None = None
+) -> DataFrame:
     """Messages of the chosen events, each once and with ``block`` in its record, and some that
     are no record: cut off, no JSON, JSON ``null``."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet").where(chosen)
+    if parts is not None:
+        events = spread(events, parts)
     made = {**_fields(), "Block": F.lit(block)}
     record = F.struct(
         *[made.get(name, F.lit(None)).cast("string").alias(name) for name in FIELDS]

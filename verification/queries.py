@@ -16,7 +16,7 @@ from blotterline.functions import percent_bucket
 from blotterline.schema import FIELD_TO_HEADER, GOLD_SCHEMA, SILVER_SCHEMA
 from blotterline.session import work_folder
 from blotterline.sources import as_envelope
-from verification.feed import arrivals, incident_feed, message_feed
+from verification.feed import arrivals, incident_feed, landed, message_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -126,7 +126,7 @@ def stream_silver_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _arrive(spark: SparkSession, base: str, messages: DataFrame, **options) -> None:
     """Land messages as several files and run the streaming job until it has read them, as one batch."""
-    messages.repartition(4).write.mode("append").text(f"{base}/landing")
+    messages.write.mode("append").text(f"{base}/landing")
     queries = bl.start_medallion(
         bl.file_source(spark, f"{base}/landing"),
         f"{base}/layers",
@@ -141,7 +141,7 @@ def _history_arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """History, and two later arrivals with overlapping IDs."""
     third = F.col("event_id") % 3
     chosen = (third != 2, third != 0, F.lit(True))
-    return [arrivals(spark, sf_dir, some, f"file {number}") for number, some in enumerate(chosen)]
+    return [landed(spark, sf_dir, some, f"file {number}") for number, some in enumerate(chosen)]
 
 
 def _history_then_stream(spark: SparkSession, sf_dir: str, **options) -> str:
@@ -180,7 +180,7 @@ def stream_old_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = work_folder(spark, "old-files")
     half = F.col("event_id") % 2
     for number in range(2):
-        files = arrivals(spark, sf_dir, half == number, "file 0").repartition(4)
+        files = landed(spark, sf_dir, half == number, "file 0")
         files.write.mode("append").text(f"{base}/landing")
         path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/landing")
         fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -204,7 +204,7 @@ def _bounded_late(spark: SparkSession, sf_dir: str) -> str:
     base = work_folder(spark, "late")
     half = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.max("event_id")).head()[0] // 2
     for number, chosen in enumerate((F.col("event_id") > half, F.col("event_id") <= half)):
-        _arrive(spark, base, arrivals(spark, sf_dir, chosen, f"file {number}"), delay="2 days")
+        _arrive(spark, base, landed(spark, sf_dir, chosen, f"file {number}"), delay="2 days")
     return base
 
 
