@@ -204,7 +204,9 @@ def _bounded_late(spark: SparkSession, sf_dir: str) -> str:
     base = work_folder(spark, "late")
     half = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.max("event_id")).head()[0] // 2
     for number, chosen in enumerate((F.col("event_id") > half, F.col("event_id") <= half)):
-        _arrive(spark, base, landed(spark, sf_dir, chosen, f"file {number}"), delay="2 days")
+        # Which copies come together decides how many are late, so these are dealt out as messages.
+        messages = arrivals(spark, sf_dir, chosen, f"file {number}").repartition(4)
+        _arrive(spark, base, messages, delay="2 days")
     return base
 
 
